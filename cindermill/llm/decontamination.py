@@ -34,7 +34,7 @@ WINDOW = 10
 MAX_WORDS = 2_000_000
 #: A word is a run of digits, letters and bytes beyond ASCII; A-Z become a-z, all else a space.
 FOLD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
-WORD = re.compile(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+WORD = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
 
 def words_of(text: str | None) -> list[bytes]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cindermill.llm import decontamination, line_dedup, lm_scoring, packing, pii, quality, token_counts, toxicity, url_filter
+from cindermill.llm import decontamination, jaccard_join, line_dedup, lm_scoring, packing, pii, quality, token_counts, toxicity, url_filter
 from cindermill.llm.common import table
 
 
@@ -44,5 +44,9 @@ def op9_url_filter(spark, sf_dir):
     return url_filter.judged(table(spark, sf_dir, "pages"), url_filter.block_list(spark))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_best_fit_packing, op4_decontamination, op5_pii, op6_line_dedup, op7_toxicity, op8_lm_scoring, op9_url_filter)}
-ORACLE_SQL = {"op4_decontamination": decontamination.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op9_url_filter": url_filter.ORACLE}
+def op10_jaccard_join(spark, sf_dir):
+    return jaccard_join.joined(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_best_fit_packing, op4_decontamination, op5_pii, op6_line_dedup, op7_toxicity, op8_lm_scoring, op9_url_filter, op10_jaccard_join)}
+ORACLE_SQL = {"op4_decontamination": decontamination.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op9_url_filter": url_filter.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE}
