@@ -1,6 +1,6 @@
 """Quality rules by weak supervision.
 
-Each rule votes good (1), junk (-1) or abstains (0) on a whole text. Spark counts the vote patterns, at most
+Seven rules vote junk (-1) or abstain (0), two vote good (1) or abstain, each on a whole text. Spark counts the vote patterns, at most
 3 to the number of rules, whatever the corpus; expectation-maximisation over those counts estimates what
 each rule votes on good and on junk documents, and the posterior probability of good decides.
 
@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 
 from cindermill.llm.common import columns_ddl, map_batches, staged
 
-RULES = ("symbols", "repetition", "shouting", "vocabulary", "exclamation", "tables", "sentences", "word_length")
+RULES = ("symbols", "repetition", "shouting", "vocabulary", "exclamation", "tables", "lines", "clean", "prose")
 SYMBOLS = "#*$%&|<>"
 NAMES = ("n_words_", "word_chars_", "n_symbols_", "n_dup_lines_", "n_repeat_words_")
 STATS = ", ".join(f"{c} long" for c in NAMES)
-#: Start of the estimation: share of good documents, and how much likelier a right vote is than a wrong one.
-PRIOR, RIGHT, WRONG, ROUNDS, SMOOTH = 0.85, 0.45, 0.05, 50, 0.5
+#: Start of the estimation: share of good documents; how often a rule speaks rightly (junk rules, good rules) and wrongly.
+PRIOR, RIGHT_JUNK, RIGHT_GOOD, WRONG, ROUNDS, SMOOTH = 0.85, 0.25, 0.9, 0.02, 50, 0.5
+GOOD_RULES = ("clean", "prose")
 
 
 def repeated_words(words: list[bytes]) -> tuple[int, int]:
@@ -59,19 +60,20 @@ def measured(text: str | None) -> tuple[list[int], list[int]]:
     dup = len(lines) - len(set(lines))
     upper = sum(w.isupper() for w in words)
     stops = sum(raw.count(c) for c in (b".", b"?", b"!"))
-    low, high = (lambda x, a, b: 1 if x <= a else -1 if x >= b else 0), (lambda x, a, b: 1 if x >= a else -1 if x <= b else 0)
     votes = [0] * len(RULES)
     if n:
-        votes = [
-            low(symbols / n, 0.01, 0.1),
-            low(repeats / n, 0.1, 0.3),
-            low(upper / n, 0.05, 0.3),
-            high(distinct / n, 0.5, 0.3) if n >= 50 else 0,
-            low(raw.count(b"!") / n, 0.02, 0.15),
-            low(counts["|"] / n, 0.01, 0.08),
-            high(stops / n, 0.02, 0.005) if n >= 50 else 0,
-            1 if 3 <= chars / n <= 9 else -1 if chars / n > 15 else 0,
-        ]
+        junk = (
+            symbols / n >= 0.1,
+            repeats / n >= 0.3,
+            upper / n >= 0.3,
+            n >= 50 and distinct / n <= 0.2,
+            raw.count(b"!") / n >= 0.15,
+            counts["|"] / n >= 0.08,
+            len(lines) >= 4 and dup / len(lines) >= 0.5,
+        )
+        clean = symbols / n <= 0.02 and upper / n <= 0.2 and raw.count(b"!") / n <= 0.05 and repeats / n <= 0.25
+        prose = stops / n >= 0.02 and 3 <= chars / n <= 9
+        votes = [-bool(x) for x in junk] + [int(clean), int(prose)]
     return [n, chars, symbols, dup, repeats], votes
 
 
@@ -91,7 +93,9 @@ def estimate(patterns: dict[tuple[int, ...], int]) -> tuple[float, np.ndarray]:
     v = np.array(list(patterns), dtype=np.int64).reshape(len(patterns), -1)
     c = np.array(list(patterns.values()), dtype=float)
     share, p = PRIOR, np.empty((v.shape[1], 3, 2))
-    p[:, 0], p[:, 1], p[:, 2] = (RIGHT, WRONG), (0.5, 0.5), (WRONG, RIGHT)
+    for i, rule in enumerate(RULES):
+        right, tiny = (RIGHT_GOOD, 0.5) if rule in GOOD_RULES else (RIGHT_JUNK, WRONG), 1e-6
+        p[i] = ((tiny, tiny), (1 - right[1], 1 - right[0]), (right[1], right[0])) if rule in GOOD_RULES else ((right[0], right[1]), (1 - right[0], 1 - right[1]), (tiny, tiny))
     for _ in range(ROUNDS if c.sum() else 0):
         good = posterior(v, share, p)
         share = float(np.clip((good @ c) / c.sum(), 0.01, 0.99))

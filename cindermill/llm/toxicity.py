@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic documents (label 1) are the positive sample, documents of any label or none the unlabelled
-one. A logistic classifier over the presence of words is trained by gradient descent in numpy on the risk
+one. A logistic classifier over the presence of words and of stems (beginnings of words) is trained by gradient descent in numpy on the risk
 pi * E_pos[l(g)] + max(0, E_unl[l(-g)] - pi * E_pos[l(-g)]), with the class prior pi taken from the labelled
 rows; where the second part is negative, its gradient is reversed.
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,14 +27,25 @@ from pyspark.sql import functions as F
 from cindermill.llm.common import crc_mod, map_batches, py_crc_mod
 
 MAX_POSITIVE, MAX_UNLABELLED, MAX_WORDS = 4000, 16000, 4096
-MIN_DOCUMENTS = 5
-EPOCHS, RATE, DECAY = 300, 0.1, 1e-4
+#: A word is learnt from if this share of the positive sample, or MIN_DOCUMENTS rows if more, holds it,
+#: and if it is so much more frequent there than in the unlabelled sample.
+MIN_SHARE, MIN_DOCUMENTS, MIN_RATIO = 0.02, 5, 3.0
+EPOCHS, RATE, DECAY = 300, 0.1, 5e-4
 THRESHOLD = 0.3
+STEMS = (4, 5, 6, 7)
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def words_of(text: str | None) -> set[str]:
-    return set(WORD.findall((text or "").lower()))
+def features(text: str | None, stems: set[str] | None = None) -> set[str]:
+    """A text's distinct words; and stems (beginnings of STEMS letters) that begin 1, 2 or 4 distinct words or more.
+
+    ``stems``: the first letters of the stems and words that matter; others are skipped.
+    """
+    words = set(WORD.findall((text or "").lower()))
+    if stems is not None:
+        words = {w for w in words if w[: STEMS[0]] in stems}
+    begun = Counter(w[:k] for w in words for k in STEMS if len(w) > k)
+    return words | {f"{least}^{stem}" for stem, n in begun.items() for least in (1, 2, 4) if n >= least}
 
 
 def train(positive: list[list[int]], unlabelled: list[list[int]], n_words: int, prior: float) -> tuple[np.ndarray, float]:
@@ -64,10 +76,11 @@ def train(positive: list[list[int]], unlabelled: list[list[int]], n_words: int,
 class Model:
     def __init__(self, words: list[str], weights: np.ndarray, bias: float):
         self.weight, self.bias = dict(zip(words, weights.tolist(), strict=True)), bias
+        self.stems = {w.rpartition("^")[2][: STEMS[0]] for w in words}
 
     def score(self, text: str | None) -> float:
         get = self.weight.get
-        g = self.bias + sum(get(w, 0.0) for w in words_of(text) & self.weight.keys())
+        g = self.bias + math.fsum(get(w, 0.0) for w in features(text, self.stems))
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, g))))
 
 
@@ -85,15 +98,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return Model([], np.zeros(0), math.log(prior / (1 - prior)))
     ids = F.broadcast(spark.createDataFrame(chosen, f"doc_id {kind}, positive int"))  # at most MAX_POSITIVE + MAX_UNLABELLED rows
     sample = docs.select("doc_id", "text").join(ids, "doc_id")
-    bags = map_batches(sample, lambda b: {"positive": b.column(2), "words": [sorted(words_of(t)) for t in b.column(1).to_pylist()]}, "positive int, words array<string>")
+    bags = map_batches(sample, lambda b: {"positive": b.column(2), "words": [sorted(features(t)) for t in b.column(1).to_pylist()]}, "positive int, words array<string>")
     counts = bags.select("positive", F.explode("words").alias("word")).groupBy("word").agg(F.sum("positive").alias("p"), F.count("*").alias("n"))
     sizes = {r.positive: r.n for r in ids.groupBy("positive").agg(F.count("*").alias("n")).collect()}
     n_p, n_u = sizes.get(1, 1), sizes.get(0, 1)
     rate_p, rate_u = (F.col("p") + 0.5) / (n_p + 1), (F.col("n") - F.col("p") + 0.5) / (n_u + 1)
     gain = F.abs(F.sqrt(rate_p) - F.sqrt(rate_u))
-    words = [r.word for r in counts.where(F.col("n") >= MIN_DOCUMENTS).orderBy(gain.desc(), "word").limit(MAX_WORDS).collect()]
+    words = [r.word for r in counts.where((F.col("p") >= max(MIN_DOCUMENTS, MIN_SHARE * n_p)) & (rate_p >= MIN_RATIO * rate_u)).orderBy(gain.desc(), "word").limit(MAX_WORDS).collect()]
     number = {w: i for i, w in enumerate(words)}
-    rows = map_batches(sample, lambda b: {"positive": b.column(2), "row": [sorted(number[w] for w in words_of(t) & number.keys()) for t in b.column(1).to_pylist()]}, "positive int, row array<int>")
+    rows = map_batches(sample, lambda b: {"positive": b.column(2), "row": [sorted(number[w] for w in features(t) & number.keys()) for t in b.column(1).to_pylist()]}, "positive int, row array<int>")
     got = sorted((r.positive, r.row) for r in rows.collect())
     return Model(words, *train([r for y, r in got if y], [r for y, r in got if not y], len(words), prior))
 
