@@ -51,19 +51,34 @@ def discard(*frames: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
-def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
-    """``mapInArrow`` with small batches; ``f`` turns a batch into columns (lists) by name."""
+def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], dict | None], schema: str, rows: int = 0) -> DataFrame:
+    """``mapInArrow`` with small batches; ``f`` turns a batch into columns (lists) by name.
+
+    ``rows``: join batches of small values up to so many rows first.
+    """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     target = pa_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in joined(batches, rows) if rows else batches:
             if batch.num_rows and (out := f(batch)) is not None:
                 yield pa.RecordBatch.from_arrays([as_arrow(out[x.name], x.type) for x in target], schema=target)
 
     return df.mapInArrow(run, schema)
 
 
+def joined(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def as_arrow(values, kind: pa.DataType) -> pa.Array:
     return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
 
