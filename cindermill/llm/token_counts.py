@@ -24,8 +24,8 @@ from tokenizers import Tokenizer
 from cindermill.llm.common import map_batches
 
 VOCABULARY = "word_bpe_49k.json"
-#: Chunks kept by a worker beside the whole-token table, before the kept ones are given up.
-CACHE_ENTRIES = 800_000
+#: Chunks kept by a worker beside the whole-token table: those met last, and as many met before.
+CACHE_ENTRIES = 200_000
 #: The pre-token pattern of the vocabulary file.
 PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: What Python splits at and the tokenizer's white space class does not hold.
@@ -68,16 +68,20 @@ class Chunks(dict):
     def __init__(self, name: str, of_ids: Callable[[list[int]], object]):
         self.name, self.tokenizer, self.whole, self.of_ids = name, tokenizer(name), whole_tokens(name), of_ids
         self.base = {s: of_ids([i]) for s, i in self.whole.items()}
+        self.before: dict = {}
         super().__init__(self.base)
 
     def learn(self, chunks: set[str]) -> None:
         """Cut unknown chunks into pre-tokens and merge those that are no whole tokens, all in one call."""
         if len(self) > len(self.base) + CACHE_ENTRIES:
+            self.before = dict(self)
             self.clear()
             self.update(self.base)
         cut: dict[str, list[str]] = {}
         for chunk in chunks.difference(self):
-            if max(chunk) < "\u0250" and "<|" not in chunk and unicodedata.is_normalized("NFC", chunk):
+            if chunk in self.before:
+                self[chunk] = self.before[chunk]
+            elif max(chunk) < "\u0250" and "<|" not in chunk and unicodedata.is_normalized("NFC", chunk):
                 cut[chunk] = PRE_TOKENS.findall(chunk.lower())
             else:
                 self[chunk] = self.of_ids(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
