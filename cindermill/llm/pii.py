@@ -22,13 +22,16 @@ from pyspark.sql import functions as F
 
 from cindermill.llm.common import map_batches, staged
 
-#: The detectors, in the order of kinds.
+#: The detectors, in the order of kinds. An email's local part, which ends at an at sign, is found
+#: backwards from there; an IP starts where a run of digits does. So both are linear on texts without spaces.
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-CANDIDATE = re.compile(r"[^\s\"'<>,;=]*(?:[0-9][^\s\"'<>,;=]*){3}|[^\s\"'<>,;=]+@[^\s\"'<>,;=]+")
+RUN = re.compile(r"[^\s\"'<>,;=]+")
+DIGITS = re.compile(r"[0-9]")
 QUICK = re.compile(r"[0-9]|@")
 AROUND = 24
 ROUNDS, CONFIDENT, ACCEPT, SUPPORT = 3, 0.8, 0.9, 5
@@ -47,8 +50,23 @@ def digits_of(s: str) -> str:
 
 
 def emails(text: str) -> list[tuple[int, int]]:
-    """Matches of EMAIL, tried only around at signs: the local part is a run, so nothing else can match."""
-    return [m.span() for m in EMAIL.finditer(text)] if "@" in text else []
+    """Leftmost matches: for every at sign, the run of local characters before it and the domain after it."""
+    out, edge, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > edge and text[start - 1] in LOCAL:
+            start -= 1
+        if start < at and (m := DOMAIN.match(text, at)):
+            out.append((start, edge := m.end()))
+        at = text.find("@", at + 1)
+    return out
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Runs that hold three digits or more, or an at sign inside."""
+    if not QUICK.search(text):
+        return []
+    return [m.span() for m in RUN.finditer(text) if len(DIGITS.findall(m[0])) >= 3 or "@" in m[0][1:-1]]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -81,8 +99,7 @@ def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int
     """(start, end, kind or None, instance, left word, right word) of seeds and of candidates apart from them."""
     out = [(a, b, k, text[a:b].lower(), *context(text, a, b)) for a, k, b in base]
     edge, held = 0, [(a, b) for a, _, b in base]
-    for m in CANDIDATE.finditer(text) if QUICK.search(text) else ():
-        a, b = m.span()
+    for a, b in candidates(text):
         while edge < len(held) and held[edge][1] <= a:
             edge += 1
         if not (edge < len(held) and held[edge][0] < b) and b - a <= 200:
