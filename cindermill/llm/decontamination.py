@@ -6,8 +6,9 @@ document's normalised text passes once. A match's end, counted in spaces, is a w
 lead back to places in the original text.
 
 The automaton is sent to the workers only while the items hold at most ``MAX_WORDS`` words; beyond that the
-items are dealt into as many automata as that bound needs, each scanned in a pass of its own, and the hit
-words of a document are united.
+items are dealt into as many shards as that bound needs. Each shard is sent for a pass of its own over the
+documents, written before the next one begins, and the hit words of a document are united; no worker and no
+broadcast ever holds more than one shard.
 
 Null and empty texts have no words, hit nothing and are not contaminated; null items are ignored; repeated
 rows give repeated rows; other columns are not read; without items nothing is contaminated.
@@ -27,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cindermill.llm.common import columns_ddl, map_batches
+from cindermill.llm.common import columns_ddl, map_batches, staged
 
 WINDOW = 10
-#: Words of benchmark items in one automaton: about 2 GB at the longest words met.
-MAX_WORDS = 2_000_000
+#: Words of benchmark items in one automaton: about 0.35 GB at 7 letters a word.
+MAX_WORDS = 100_000
 #: A word is a run of digits, letters and bytes beyond ASCII; A-Z become a-z, all else a space.
 FOLD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 WORD = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -50,7 +51,7 @@ def windows(words: list[bytes]) -> list[str]:
     return [padded(words[i : i + WINDOW]) for i in range(max(1, len(words) - WINDOW + 1))] if words else []
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def automaton(items: tuple[tuple[str, str], ...]) -> ahocorasick.Automaton:
     of: dict[str, set[str]] = defaultdict(set)
     for item_id, text in items:
@@ -92,32 +93,47 @@ def spans(text: str, hit: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-def item_shards(benchmark: DataFrame) -> list[tuple[tuple[str, str], ...]]:
-    """The items as tuples of at most ``MAX_WORDS`` words each."""
+def item_shards(benchmark: DataFrame, max_words: int) -> tuple[DataFrame, int]:
+    """The items with the shard each belongs to, and the number of shards."""
     items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text")
     total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    n = -(-total // MAX_WORDS) or 1
-    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(n)))
-    return [tuple(sorted((r.item_id, r.text) for r in (dealt.where(F.col("shard") == i) if n > 1 else dealt).collect())) for i in range(n)]
+    n = -(-total // max_words) or 1
+    return items.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(n))), n
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Of every row: doc_id, n_words, the hit word indices, item ids and [start, end) spans in the original text."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    shards = docs.sparkSession.sparkContext.broadcast(item_shards(benchmark))
+def sent(dealt: DataFrame, shard: int):
+    """The items of one shard, broadcast: about ``max_words`` words."""
+    items = dealt.where(F.col("shard") == shard).select("item_id", "text")
+    return dealt.sparkSession.sparkContext.broadcast(tuple(sorted((r.item_id, r.text) for r in items.collect())))
 
-    def run(batch):
-        texts, hits, found = batch.column(1).to_pylist(), [set() for _ in range(batch.num_rows)], [set() for _ in range(batch.num_rows)]
-        for items in shards.value:
-            done = scan(texts, items)
-            for k, (_, hit, ids) in enumerate(done):
-                hits[k].update(hit.tolist())
-                found[k] |= ids
-        hits = [sorted(x) for x in hits]
-        places = [spans(t, h) if h else [] for t, h in zip(texts, hits, strict=True)]
-        return {"doc_id": batch.column(0), "n_words": [n for n, _, _ in done], "hit_words": hits, "items": [sorted(x) for x in found], "spans": [[{"start": a, "end": b} for a, b in x] for x in places]}
 
-    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_words long, hit_words array<long>, items array<string>, spans array<struct<start:long,end:long>>")
+def one_pass(rows: DataFrame, items, last: bool) -> DataFrame:
+    """Add a shard's hit words and items to those of the passes before; the last pass drops the text and adds spans."""
+    kind, held = rows.schema["doc_id"].dataType.simpleString(), len(rows.columns) > 2
+
+    def run(batch):
+        texts = batch.column(1).to_pylist()
+        done = scan(texts, items.value)
+        before = list(zip(*(batch.column(k).to_pylist() for k in (2, 3)), strict=True)) if held else [((), ())] * len(texts)
+        hits = [sorted({*hit.tolist(), *old}) for (_, hit, _), (old, _) in zip(done, before, strict=True)]
+        out = {"doc_id": batch.column(0), "text": batch.column(1), "n_words": [n for n, _, _ in done], "hit_words": hits}
+        out["items"] = [sorted({*ids, *old}) for (_, _, ids), (_, old) in zip(done, before, strict=True)]
+        if last:
+            out["spans"] = [[{"start": a, "end": b} for a, b in spans(t, h)] if h else [] for t, h in zip(texts, hits, strict=True)]
+        return out
+
+    if last:
+        return map_batches(rows, run, f"doc_id {kind}, n_words long, hit_words array<long>, items array<string>, spans array<struct<start:long,end:long>>")
+    return staged(map_batches(rows, run, f"doc_id {kind}, text string, hit_words array<long>, items array<string>"))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
+    """Of every row: doc_id, n_words, the hit word indices, item ids and [start, end) spans in the original text."""
+    dealt, n = item_shards(benchmark, max_words)
+    rows = docs.select("doc_id", "text")
+    for i in range(n):
+        rows = one_pass(rows, sent(dealt, i), i == n - 1)
+    return rows
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -127,19 +143,22 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
     """The rows of ``docs`` that hit no window, with the columns of ``docs``."""
-    shards = docs.sparkSession.sparkContext.broadcast(item_shards(benchmark))
+    dealt, n = item_shards(benchmark, max_words)
     names = docs.columns
 
-    def run(batch):
-        texts = batch.column(names.index("text")).to_pylist()
-        hit = np.zeros(len(texts), bool)
-        for items in shards.value:
-            hit |= [bool(found) for _, _, found in scan(texts, items)]
-        return dict(zip(names, batch.filter(pa.array(~hit)).columns, strict=True))
+    def clean(rows: DataFrame, items) -> DataFrame:
+        def run(batch):
+            texts = batch.column(names.index("text")).to_pylist()
+            hit = np.array([bool(found) for _, _, found in scan(texts, items.value)])
+            return dict(zip(names, batch.filter(pa.array(~hit)).columns, strict=True))
+
+        return map_batches(rows, run, columns_ddl(docs))
 
-    return map_batches(docs, run, columns_ddl(docs))
+    for i in range(n):
+        docs = clean(docs if i == 0 else staged(docs), sent(dealt, i))
+    return docs
 
 
 #: DuckDB: windows of both sides as word lists, joined.
