@@ -97,7 +97,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not any(y for _, y in chosen):
         return Model([], np.zeros(0), math.log(prior / (1 - prior)))
     ids = F.broadcast(spark.createDataFrame(chosen, f"doc_id {kind}, positive int"))  # at most MAX_POSITIVE + MAX_UNLABELLED rows
-    sample = docs.select("doc_id", "text").join(ids, "doc_id")
+    # of rows with one id the least text alone, so that repeats keep the bound
+    sample = docs.select("doc_id", "text").join(ids, "doc_id").groupBy("doc_id", "positive").agg(F.min("text").alias("text")).select("doc_id", "text", "positive")
     bags = map_batches(sample, lambda b: {"positive": b.column(2), "words": [sorted(features(t)) for t in b.column(1).to_pylist()]}, "positive int, words array<string>")
     counts = bags.select("positive", F.explode("words").alias("word")).groupBy("word").agg(F.sum("positive").alias("p"), F.count("*").alias("n"))
     sizes = {r.positive: r.n for r in ids.groupBy("positive").agg(F.count("*").alias("n")).collect()}
