@@ -90,7 +90,7 @@ def votes(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 
 def estimate(patterns: dict[tuple[int, ...], int]) -> tuple[float, np.ndarray]:
     """Share of good documents and, by rule and vote (-1, 0, 1), its probability on junk and on good ones."""
-    v = np.array(list(patterns), dtype=np.int64).reshape(len(patterns), -1)
+    v = np.array(list(patterns), dtype=np.int64).reshape(len(patterns), len(RULES))
     c = np.array(list(patterns.values()), dtype=float)
     share, p = PRIOR, np.empty((v.shape[1], 3, 2))
     for i, rule in enumerate(RULES):
