@@ -104,25 +104,32 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return covered.where(F.col("e") > F.col("s")).select(*KEY, "i")
 
 
-def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The rows and columns of ``docs``, with ``text`` less its deleted lines, and ``n_lines``, ``n_deleted``."""
+def shortened(docs: DataFrame, min_words: int) -> DataFrame:
+    """row (all columns of ``docs``), left (the text less its deleted lines), n_lines, n_deleted."""
     gone = deleted_lines(docs, min_words).groupBy(*KEY).agg(F.collect_set("i").alias("gone"))
-    lines = F.split("text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     left = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.col("lines")[i]), "\n"))
     # a document that lost every line with a word keeps none of its blank ones
     left = F.when(F.col("gone").isNotNull() & ~left.rlike(WORD), "").otherwise(left)
-    own = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    out = keyed(own).join(gone, list(KEY), "left").withColumn("lines", lines)
-    return out.select(
-        *[left.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_deleted"),
-    )
+    own = keyed(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"))
+    out = own.join(gone, list(KEY), "left").withColumn("lines", F.split("text", "\n", -1))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("lines"))
+    return out.select("row", left.alias("left"), n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_deleted"))
+
+
+def carried(docs: DataFrame) -> list:
+    return [F.col("left").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+
+
+def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The rows of ``docs`` with ``text`` less its deleted lines, and ``n_lines``, ``n_deleted`` (instead of columns of these names)."""
+    own = docs.drop("n_lines", "n_deleted")
+    return shortened(own, min_words).select(*carried(own), "n_lines", "n_deleted")
 
 
 def without_copied_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with later copies of repeated runs deleted; documents left with nothing are dropped."""
-    return dedup(docs, min_words).where((F.col("n_deleted") == 0) | (F.col("text") != "")).select(docs.columns)
+    return shortened(docs, min_words).where((F.col("n_deleted") == 0) | (F.col("left") != "")).select(carried(docs))
 
 
 #: DuckDB: minimal runs as strings instead of ranks.
