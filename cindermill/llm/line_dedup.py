@@ -111,8 +111,8 @@ def shortened(docs: DataFrame, min_words: int) -> DataFrame:
     left = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.col("lines")[i]), "\n"))
     # a document that lost every line with a word keeps none of its blank ones
     left = F.when(F.col("gone").isNotNull() & ~left.rlike(WORD), "").otherwise(left)
-    own = keyed(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"))
-    out = own.join(gone, list(KEY), "left").withColumn("lines", F.split("text", "\n", -1))
+    own = keyed(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")).drop("doc_id", "text")  # the text is shuffled once
+    out = own.join(gone, list(KEY), "left").withColumn("text", F.col("row.text")).withColumn("lines", F.split("text", "\n", -1))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("lines"))
     return out.select("row", left.alias("left"), n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_deleted"))
 
