@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import gc
 import tempfile
 import uuid
 import zlib
@@ -51,6 +53,27 @@ def discard(*frames: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
+_kept: list = []
+_owner = ""
+
+
+def kept(f: Callable) -> Callable:
+    """Keep the last result in a Python worker, between the tasks of one operator."""
+    _kept.append(f := functools.lru_cache(maxsize=1)(f))
+    return f
+
+
+def make_room(owner: str) -> None:
+    """Workers are used again: what another operator's tasks have left goes, and free memory returns to the system."""
+    global _owner
+    if owner != _owner:
+        for f in _kept:
+            f.cache_clear()
+        gc.collect()
+        _owner = owner
+    pa.default_memory_pool().release_unused()
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], dict | None], schema: str, rows: int = 0) -> DataFrame:
     """``mapInArrow`` with small batches; ``f`` turns a batch into columns (lists) by name.
 
@@ -60,9 +83,12 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], dict | None], schem
     target = pa_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room(f.__module__)
         for batch in joined(batches, rows) if rows else batches:
             if batch.num_rows and (out := f(batch)) is not None:
                 yield pa.RecordBatch.from_arrays([as_arrow(out[x.name], x.type) for x in target], schema=target)
+                out = None
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

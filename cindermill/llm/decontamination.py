@@ -16,7 +16,6 @@ rows give repeated rows; other columns are not read; without items nothing is co
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import itertools
 import re
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cindermill.llm.common import columns_ddl, map_batches, staged
+from cindermill.llm.common import columns_ddl, kept, map_batches, staged
 
 WINDOW = 10
 #: Words of benchmark items in one automaton: about 0.35 GB at 7 letters a word.
@@ -51,7 +50,7 @@ def windows(words: list[bytes]) -> list[str]:
     return [padded(words[i : i + WINDOW]) for i in range(max(1, len(words) - WINDOW + 1))] if words else []
 
 
-@functools.lru_cache(maxsize=1)
+@kept
 def automaton(items: tuple[tuple[str, str], ...]) -> ahocorasick.Automaton:
     of: dict[str, set[str]] = defaultdict(set)
     for item_id, text in items:

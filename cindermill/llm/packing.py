@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cindermill.llm.common import BATCH_ROWS, map_batches, pa_schema, staged
+from cindermill.llm.common import BATCH_ROWS, make_room, map_batches, pa_schema, staged
 from cindermill.llm.token_counts import VOCABULARY, chunks_of, id_chunks
 
 END = (0).to_bytes(4, "little")
@@ -147,6 +147,7 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int) -> DataFra
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def cut(batches):
+        make_room(__name__)
         known, task, seen = id_chunks(vocabulary), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []
@@ -161,6 +162,7 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int) -> DataFra
                     seen[length] += 1
             columns = zip(*rows, strict=True) if rows else [()] * len(target)
             yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, target, strict=True)], schema=target)
+        pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text").mapInArrow(cut, schema)
 

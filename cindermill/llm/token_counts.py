@@ -10,7 +10,6 @@ Null text counts as empty; an empty text has 0 tokens; repeated rows give repeat
 
 from __future__ import annotations
 
-import functools
 import struct
 import unicodedata
 from collections.abc import Callable
@@ -21,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from cindermill.llm.common import map_batches
+from cindermill.llm.common import kept, map_batches
 
 VOCABULARY = "word_bpe_49k.json"
 #: Chunks kept by a worker beside the whole-token table: those met last, and as many met before.
@@ -33,12 +32,12 @@ NOT_SPACE = "\x1c\x1d\x1e\x1f"
 SPACES = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
 
 
-@functools.cache
+@kept
 def tokenizer(name: str = VOCABULARY) -> Tokenizer:
     return Tokenizer.from_file(public_tokenizers.path(name))
 
 
-@functools.cache
+@kept
 def word_ends(name: str = VOCABULARY) -> np.ndarray:
     """True at the ids that end a pre-token; every pre-token has exactly one, its last."""
     t = tokenizer(name)
@@ -52,7 +51,7 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-@functools.cache
+@kept
 def whole_tokens(name: str = VOCABULARY) -> dict[str, int]:
     """Vocabulary strings proven to encode alone as one token, with its id."""
     t, of = tokenizer(name), byte_characters()
@@ -101,12 +100,12 @@ def chunks_of(text: str) -> list[str]:
     return text.split()
 
 
-@functools.cache
+@kept
 def count_chunks(name: str) -> Chunks:
     return Chunks(name, len)
 
 
-@functools.cache
+@kept
 def id_chunks(name: str) -> Chunks:
     """Chunk -> its ids as little-endian unsigned 32-bit numbers."""
     return Chunks(name, lambda ids: struct.pack(f"<{len(ids)}I", *ids))
