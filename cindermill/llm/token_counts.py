@@ -11,8 +11,8 @@ Null text counts as empty; an empty text has 0 tokens; repeated rows give repeat
 from __future__ import annotations
 
 import struct
-import unicodedata
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -62,11 +62,12 @@ def whole_tokens(name: str = VOCABULARY) -> dict[str, int]:
 
 
 class Chunks(dict):
-    """Chunk of a text -> its value; ``of_ids`` makes the value of token ids. ``learn`` adds those of a batch."""
+    """Chunk of a text -> its value; ``value`` makes it of the ids' bytes (unsigned, 32 bits). ``learn`` adds those of a batch."""
 
-    def __init__(self, name: str, of_ids: Callable[[list[int]], object]):
-        self.name, self.tokenizer, self.whole, self.of_ids = name, tokenizer(name), whole_tokens(name), of_ids
-        self.base = {s: of_ids([i]) for s, i in self.whole.items()}
+    def __init__(self, name: str, value: Callable[[bytes], object]):
+        self.name, self.tokenizer, self.value = name, tokenizer(name), value
+        self.whole = {s: struct.pack("<I", i) for s, i in whole_tokens(name).items()}
+        self.base = {s: value(i) for s, i in self.whole.items()}
         self.before: dict = {}
         super().__init__(self.base)
 
@@ -76,21 +77,35 @@ class Chunks(dict):
             self.before = dict(self)
             self.clear()
             self.update(self.base)
+        before, value = self.before, self.value
+        single: dict[str, str] = {}  # chunks of letters alone: one pre-token
         cut: dict[str, list[str]] = {}
         for chunk in chunks.difference(self):
-            if chunk in self.before:
-                self[chunk] = self.before[chunk]
-            elif max(chunk) < "\u0250" and "<|" not in chunk and unicodedata.is_normalized("NFC", chunk):
-                cut[chunk] = PRE_TOKENS.findall(chunk.lower())
+            if chunk in before:
+                self[chunk] = before[chunk]
+            elif (chunk.isascii() or max(chunk) < "\u0250") and "<|" not in chunk:  # such characters are normalised as they are
+                lower = chunk.lower()
+                if lower.isalpha():
+                    single[chunk] = lower
+                else:
+                    cut[chunk] = PRE_TOKENS.findall(lower)
             else:
-                self[chunk] = self.of_ids(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
-        merge = list({piece for pieces in cut.values() for piece in pieces}.difference(self.whole))
-        joined = [" ".join(merge[i : i + 200]) for i in range(0, len(merge), 200)]
-        ids = [i for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False) for i in e.ids]
-        ends = (np.flatnonzero(word_ends(self.name)[ids]) + 1).tolist() if merge else []
-        merged = {p: ids[a:b] for p, a, b in zip(merge, [0, *ends], ends, strict=False)}
+                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+                self[chunk] = value(struct.pack(f"<{len(ids)}I", *ids))
+        ids_of = self.merged({*single.values(), *chain.from_iterable(cut.values())}) | self.whole
+        for chunk, piece in single.items():
+            self[chunk] = value(ids_of[piece])
         for chunk, pieces in cut.items():
-            self[chunk] = self.of_ids([i for p in pieces for i in (merged.get(p) or (self.whole[p],))])
+            self[chunk] = value(b"".join(map(ids_of.__getitem__, pieces)))
+
+    def merged(self, pieces: set[str]) -> dict[str, bytes]:
+        """Pre-tokens outside the whole-token table -> their ids."""
+        todo = list(pieces.difference(self.whole))
+        lines = [" ".join(todo[i : i + 200]) for i in range(0, len(todo), 200)]
+        ids = np.array([i for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], "<u4")
+        ends = (4 * np.flatnonzero(word_ends(self.name)[ids]) + 4).tolist()
+        data = ids.tobytes()
+        return {p: data[a:b] for p, a, b in zip(todo, [0, *ends], ends, strict=False)}
 
 
 def chunks_of(text: str) -> list[str]:
@@ -102,13 +117,13 @@ def chunks_of(text: str) -> list[str]:
 
 @kept
 def count_chunks(name: str) -> Chunks:
-    return Chunks(name, len)
+    return Chunks(name, lambda ids: len(ids) // 4)
 
 
 @kept
 def id_chunks(name: str) -> Chunks:
     """Chunk -> its ids as little-endian unsigned 32-bit numbers."""
-    return Chunks(name, lambda ids: struct.pack(f"<{len(ids)}I", *ids))
+    return Chunks(name, bytes)
 
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = 2048) -> DataFrame:
