@@ -3,10 +3,10 @@
 Words and word pairs of the training texts are counted by Spark. A count c is quantised to
 q = 1 + floor(log_BASE c), and the filter holds the keys (n-gram, 1) ... (n-gram, q): a look-up probes level
 after level until one is missing, which gives the count back. All bits of a key lie in one 64-bit word. The
-filter is built in slices, one group of n-grams a slice, joined on the driver and sent to the workers. As a
-count c gives at most c keys, the tokens bound the keys, and so the size. Above MAX_BYTES no filter is sent:
-the n-grams of the texts are then joined with the table of quantised counts, with the same scores but for the
-filter's false positives.
+filter consists of slices, one group of n-grams a slice, and is never held in one place, whatever its size: the
+n-grams of a block of texts are taken once each, with how often the block trains on them, and dealt by slice; a
+slice's task sets its bits and probes them for every block, and the levels found go back to the block. As a
+count c gives at most c keys, the tokens bound the keys, and so the size.
 
 The model is a word-pair model with Dirichlet smoothing: p(w | v) = (c(v w) + K p(w)) / (c(v) + K), where
 p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)), counts from the filter. The base score uses exact counts: the MAX_HOT
@@ -28,12 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cindermill.llm.common import BATCH_ROWS, as_arrow, crc_mod, discard, map_batches, pa_schema, py_crc_mod, staged
+from cindermill.llm.common import BATCH_ROWS, as_arrow, crc_mod, map_batches, pa_schema, py_crc_mod, staged
 
 END = b" end"
 BASE, K, ADD = 1.5, 8.0, 0.1
-#: Bits of the filter a training token (keys are fewer than tokens), bits set by an entry; n-grams in a slice; bytes of one filter; words sent to the workers.
+#: Bits of the filter a training token (keys are fewer than tokens), bits set by an entry; training tokens and bytes of a slice; words sent to the workers.
 BITS, PROBES, SLICE, MAX_BYTES, MAX_HOT = 6, 4, 500_000, 1 << 27, 100_000
+#: Characters of the texts in one block.
+BLOCK = 4 << 20
 #: Constants of the 64-bit mixers: odd numbers of no further meaning.
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -99,30 +101,6 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def pair_counts(texts: DataFrame, schema: str, columns) -> DataFrame:
-    """The tasks' own counts of word pairs, in parts of bounded size; ``columns`` makes rows of (hashes, counts)."""
-    target = pa_schema(texts.sparkSession, schema)
-    texts.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-
-    def run(batches):
-        parts, size = [], 0
-
-        def out():
-            cols = columns(*np.unique(np.concatenate(parts), return_counts=True))
-            return pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(cols, target, strict=True)], schema=target)
-
-        for b in batches:
-            parts.append(Tokens(b.column(0).to_pylist()).pairs()[1])
-            size += len(parts[-1])
-            if size > 1_000_000:
-                yield out()
-                parts, size = [], 0
-        if parts:
-            yield out()
-
-    return texts.mapInArrow(run, schema)
-
-
 def quantised(c: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(np.maximum(c, 1)) / math.log(BASE) + 1e-9).astype(np.int64)
 
@@ -148,28 +126,8 @@ def slice_of(grams: np.ndarray, slices: int) -> np.ndarray:
 class Filter:
     """Slices of equal size side by side; an n-gram's keys lie all in its slice."""
 
-    #: 64-bit words in one piece of what a worker receives.
-    PIECE = 2048
-
     def __init__(self, words: np.ndarray, slices: int):
-        self.words, self.slices, self.size, self.filled = words, slices, len(words) // slices, 0
-
-    def __reduce__(self):
-        """Sent in small pieces, filled in as they come: a worker never holds the filter twice."""
-        return Filter.empty, (len(self.words), self.slices), None, (self.words[i : i + self.PIECE].tobytes() for i in range(0, len(self.words), self.PIECE))
-
-    @staticmethod
-    def empty(n: int, slices: int) -> Filter:
-        return Filter(np.empty(n, np.uint64), slices)
-
-    def append(self, piece: bytes) -> None:
-        got = np.frombuffer(piece, np.uint64)
-        self.words[self.filled : self.filled + len(got)] = got
-        self.filled += len(got)
-
-    def extend(self, pieces: list[bytes]) -> None:
-        for piece in pieces:
-            self.append(piece)
+        self.words, self.slices, self.size = words, slices, len(words) // slices
 
     def quantised(self, grams: np.ndarray) -> np.ndarray:
         q, left, base = np.zeros(len(grams), np.int64), np.arange(len(grams)), slice_of(grams, self.slices) * np.uint64(self.size)
@@ -182,55 +140,112 @@ class Filter:
         return q
 
 
-def packed(grams: np.ndarray, n: np.ndarray, slices: int) -> tuple[list, list, list]:
-    """One row a slice: its n-grams and their counts as bytes, so that the shuffle moves few rows."""
+def dealt(grams: np.ndarray, slices: int) -> tuple[np.ndarray, list[int], list[tuple[int, int]]]:
+    """The order of n-grams by slice, the slices met and the span of each in that order."""
     at = slice_of(grams, slices).astype(np.int64)
     order = np.argsort(at, kind="stable")
-    found, first = np.unique(at[order], return_index=True)
+    met, first = np.unique(at[order], return_index=True)
     cut = [*first.tolist(), len(grams)]
-    grams, n = grams[order], np.minimum(n[order], 2**31 - 1).astype(np.int32)
-    spans = list(zip(cut, cut[1:], strict=False))
-    return found.tolist(), [grams[a:b].tobytes() for a, b in spans], [n[a:b].tobytes() for a, b in spans]
+    return order, met.tolist(), list(zip(cut, cut[1:], strict=False))
 
 
-def build_filter(texts: DataFrame, counts: DataFrame, tokens: int) -> Filter:
-    """The filter of the words (``counts``) and word pairs of ``texts``, of ``tokens`` tokens in all."""
-    slices = max(1, -(-tokens // SLICE))
-    size = max(16, -(-tokens * BITS // 64 // slices))
-    schema = "slice long, grams binary, counts binary"
+def sizes_of(tokens: int, max_bytes: int) -> tuple[int, int]:
+    """Number of slices of the filter for so many training tokens, and 64-bit words of each (16 or more).
 
-    def words(batch):
-        cols = packed(word_hashes(batch.column(0).to_pylist()), batch.column(1).to_numpy(), slices)
-        return dict(zip(("slice", "grams", "counts"), cols, strict=True))
+    ``max_bytes`` bounds a slice, but not under 4 KB: small slices fill unevenly.
+    """
+    slices = max(1, -(-tokens // SLICE), -(-tokens * BITS // 8 // max(4096, max_bytes)))
+    return slices, max(16, -(-tokens * BITS // 64 // slices))
 
-    def put(key, group):
-        gram = np.concatenate([np.frombuffer(x, np.uint64) for x in group.column("grams").to_pylist()])
+
+class Block:
+    """The tokens of some texts as they are kept: word hashes, the words' numbers, sizes of the texts and whether they are trained on."""
+
+    FIELDS = (("hashes", np.uint64), ("ids", np.uint8), ("sizes", np.int64), ("trained", np.bool_))
+    TYPE = "struct<" + ",".join(f"{name}:binary" for name, _ in FIELDS) + ">"
+
+    def __init__(self, kept: dict[str, bytes]):
+        self.hashes, _, self.sizes, self.trained = (np.frombuffer(kept[name], kind) for name, kind in self.FIELDS)
+        planes = pa.decompress(kept["ids"], 4 * int(self.sizes.sum()), "zstd", asbytes=True)
+        self.ids = np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel()
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        pairs, self.pair = np.unique(Tokens.pairs(self)[1], return_inverse=True)
+        self.grams = np.concatenate([self.hashes, pairs])
+
+    @staticmethod
+    def kept(t: Tokens, trained: list[bool]) -> dict[str, bytes]:
+        planes = t.ids.astype(np.int32).view(np.uint8).reshape(-1, 4).T.tobytes()  # low bytes first: they pack better
+        return {"hashes": t.hashes.tobytes(), "ids": pa.compress(planes, "zstd", asbytes=True), "sizes": t.sizes.tobytes(), "trained": np.array(trained, np.bool_).tobytes()}
+
+    def counts(self) -> np.ndarray:
+        """How often the trained texts hold each n-gram."""
+        on = np.repeat(self.trained, self.sizes)
+        words = np.bincount(self.ids[on], minlength=len(self.hashes))
+        return np.concatenate([words, np.bincount(self.pair[on], minlength=len(self.grams) - len(words))])
+
+    def scores(self, q: np.ndarray, n: int, v: int) -> np.ndarray:
+        """The model's score of every text from the levels of the n-grams."""
+        c = counted(q)
+        word = c[self.ids]
+        before = np.roll(word, 1)
+        before[self.starts] = word[self.starts + self.sizes - 1]  # the end of a text stands before its start
+        return np.add.reduceat(probability(c[len(self.hashes) + self.pair], before, word, n, v), self.starts)
+
+
+def slice_bits(grams: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    """The bits of one slice: n-grams (repeats add up) with their counts."""
+    gram, at = np.unique(grams, return_inverse=True)
+    c, bits = np.bincount(at, n, len(gram)), np.zeros(size, np.uint64)
+    gram, q = gram[c > 0], quantised(c[c > 0])
+    for level in range(1, int(q.max(initial=0)) + 1):
+        place, mask = keys(gram[q >= level], level, size)
+        np.bitwise_or.at(bits, place.astype(np.int64), mask)
+    return bits
+
+
+def levels(blocks: DataFrame, slices: int, size: int) -> DataFrame:
+    """block, slice, q: the filter's answers, a byte each, for the n-grams of every block (in the order of ``dealt``)."""
+    schema = "slice long, block long, grams binary, counts binary"
+
+    def deal(batch):
+        out = {"slice": [], "block": [], "grams": [], "counts": []}
+        for number, kept in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            block = Block(kept)
+            order, met, spans = dealt(block.grams, slices)
+            grams, n = block.grams[order], block.counts()[order].astype(np.int32)
+            out["slice"] += met
+            out["block"] += [number] * len(met)
+            out["grams"] += [grams[a:b].tobytes() for a, b in spans]
+            out["counts"] += [n[a:b].tobytes() for a, b in spans]
+        return out
+
+    def probe(key, group):
+        parts = [np.frombuffer(x, np.uint64) for x in group.column("grams").to_pylist()]
+        grams = np.concatenate(parts)
         n = np.concatenate([np.frombuffer(x, np.int32) for x in group.column("counts").to_pylist()])
-        gram, at = np.unique(gram, return_inverse=True)
-        q, bits = quantised(np.bincount(at, n)), np.zeros(size, np.uint64)
-        for level in range(1, int(q.max()) + 1):
-            place, mask = keys(gram[q >= level], level, size)
-            np.bitwise_or.at(bits, place.astype(np.int64), mask)
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int64()), "words": pa.array([bits.tobytes()], pa.binary())})
+        asked, at = np.unique(grams, return_inverse=True)
+        q = Filter(slice_bits(grams, n, size), 1).quantised(asked).astype(np.uint8)[at]
+        ends = np.cumsum([len(x) for x in parts]).tolist()
+        q = [q[a:b].tobytes() for a, b in zip([0, *ends], ends, strict=False)]
+        return pa.table({"block": group.column("block"), "slice": group.column("slice"), "q": pa.array(q, pa.binary())})
 
-    pairs = pair_counts(texts, schema, lambda grams, n: packed(grams, n, slices))
-    both = pairs.union(map_batches(counts.select("word", "c"), words, schema, 100_000))
-    built = staged(both.groupBy("slice").applyInArrow(put, "slice long, words binary"))
-    words_ = np.zeros(slices * size, np.uint64)
-    for r in built.toLocalIterator():
-        words_[r["slice"] * size : (r["slice"] + 1) * size] = np.frombuffer(r["words"], np.uint64)
-    discard(built)
-    return Filter(words_, slices)
+    return map_batches(blocks, deal, schema).groupBy("slice").applyInArrow(probe, "block long, slice long, q binary")
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+def model_scores(blocks: DataFrame, n: int, v: int, max_bytes: int) -> DataFrame:
+    """row, model: the scores of the texts of ``blocks`` (block: the first text's row)."""
+    slices, size = sizes_of(n, max_bytes)
+    found = staged(levels(blocks, slices, size))  # an execution of its own: its shuffle goes when it ends
 
+    def score(key, own, answers):
+        block = Block(own.column("kept").to_pylist()[0])
+        order, _, _ = dealt(block.grams, slices)
+        q = np.empty(len(order), np.int64)
+        q[order] = np.frombuffer(b"".join(answers.sort_by("slice").column("q").to_pylist()), np.uint8)
+        first = key[0].as_py()
+        return pa.table({"row": pa.array(range(first, first + len(block.sizes)), pa.int64()), "model": block.scores(q, n, v)})
 
-def gram_counts(texts: DataFrame, counts: DataFrame) -> DataFrame:
-    """gram, n (partial) of words and word pairs, one row each: for the join."""
-    pairs = pair_counts(texts, "gram long, n long", lambda grams, n: (grams.view(np.int64), n))
-    return pairs.union(map_batches(counts.select("word", "c"), lambda b: {"gram": word_hashes(b.column(0).to_pylist()).view(np.int64), "n": b.column(1)}, "gram long, n long"))
+    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score, "row long, model double")
 
 
 def probability(pair: np.ndarray, context: np.ndarray, word: np.ndarray, n: int, v: int) -> np.ndarray:
@@ -239,64 +254,53 @@ def probability(pair: np.ndarray, context: np.ndarray, word: np.ndarray, n: int,
     return np.log10((np.minimum(np.minimum(pair, context), word) + K * alone) / (context + K))
 
 
-def rows_of(docs: DataFrame, hot: dict[bytes, int], n: int, v: int, extra) -> DataFrame:
-    """Of every row: row key, doc_id, fold, tokens, sums over the frequent words, the other words; and ``extra``."""
+def parts_of(texts: list[str | None]) -> list[tuple[int, int]]:
+    """Spans of rows of BLOCK characters each, or of one text."""
+    cuts, size = [0], 0
+    for i, t in enumerate(texts):
+        size += len(t or "") + 1
+        if size > BLOCK and i > cuts[-1]:
+            cuts.append(i)
+            size = len(t or "") + 1
+    return list(zip(cuts, [*cuts[1:], len(texts)], strict=True))
+
+
+def rows_of(docs: DataFrame, hot: dict[bytes, int], n: int, v: int) -> DataFrame:
+    """Of every row: row key, doc_id, fold, tokens, sums over the frequent words, the other words; of a block's first row the block."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     floor = math.log10(n + ADD * (v + 1))
-    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, rare array<string>, model double, grams array<struct<context:long,pair:long,word:long>>"
+    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, rare array<string>, kept {Block.TYPE}"
     target = pa_schema(docs.sparkSession, schema)
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    hot, extra = (docs.sparkSession.sparkContext.broadcast(x) for x in (hot, extra))
+    hot = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
         pa.default_memory_pool().release_unused()  # of the counting tasks before
         row = TaskContext.get().partitionId() << 33
-        for b in batches:
-            t = Tokens(b.column(1).to_pylist())
-            c = np.fromiter((hot.value.get(w, 0) for w in t.words), np.int64, len(t.words))
-            token = c[t.ids]
-            base = np.add.reduceat(np.where(token > 0, np.log10(np.maximum(token, 1) + ADD) - floor, 0.0), t.starts)
-            words = [w.decode("utf-8", "surrogatepass") for w in t.words]
-            cold, ends = np.flatnonzero(token == 0), t.starts + t.sizes
-            cut = np.searchsorted(cold, ends).tolist()
-            names = list(map(words.__getitem__, t.ids[cold].tolist()))
-            context, pair = t.pairs()
-            model, grams = np.zeros(len(t.sizes)), [[] for _ in t.sizes]
-            if isinstance(extra.value, Filter):
-                own = counted(extra.value.quantised(t.hashes))
-                start = counted(extra.value.quantised(np.array([xxhash.xxh3_64_intdigest(END)], np.uint64)))[0]
-                before = np.roll(own[t.ids], 1)
-                before[t.starts] = start
-                model = np.add.reduceat(probability(counted(extra.value.quantised(pair)), before, own[t.ids], n, v), t.starts)
-            else:
-                context[t.starts] = np.uint64(xxhash.xxh3_64_intdigest(END))
-                every = zip(context.view(np.int64).tolist(), pair.view(np.int64).tolist(), t.hashes[t.ids].view(np.int64).tolist(), strict=True)
-                every = [dict(zip(("context", "pair", "word"), x, strict=True)) for x in every]
-                grams = [every[a:e] for a, e in zip(t.starts, ends, strict=True)]
-            ids = b.column(0).to_pylist()
-            out = {
-                "row": range(row, row + len(ids)), "doc_id": b.column(0), "held_out": [py_crc_mod(i, 10) == 0 for i in ids], "n_tokens": t.sizes,
-                "known": np.add.reduceat((token > 0).astype(np.int64), t.starts), "base": base, "rare": [names[a:e] for a, e in zip([0, *cut], cut, strict=False)], "model": model, "grams": grams,
-            }
-            row += len(ids)
-            yield pa.RecordBatch.from_arrays([as_arrow(out[x.name], x.type) for x in target], schema=target)
+        for whole in batches:
+            texts = whole.column(1).to_pylist()
+            for lo, hi in parts_of(texts) if texts else ():
+                t = Tokens(texts[lo:hi])
+                c = np.fromiter((hot.value.get(w, 0) for w in t.words), np.int64, len(t.words))
+                token = c[t.ids]
+                base = np.add.reduceat(np.where(token > 0, np.log10(np.maximum(token, 1) + ADD) - floor, 0.0), t.starts)
+                words = [w.decode("utf-8", "surrogatepass") for w in t.words]
+                cold, ends = np.flatnonzero(token == 0), t.starts + t.sizes
+                cut = np.searchsorted(cold, ends).tolist()
+                names = list(map(words.__getitem__, t.ids[cold].tolist()))
+                ids = whole.column(0).slice(lo, hi - lo)
+                held_out = [py_crc_mod(i, 10) == 0 for i in ids.to_pylist()]
+                out = {
+                    "row": range(row, row + len(ids)), "doc_id": ids, "held_out": held_out, "n_tokens": t.sizes,
+                    "known": np.add.reduceat((token > 0).astype(np.int64), t.starts), "base": base, "rare": [names[a:e] for a, e in zip([0, *cut], cut, strict=False)],
+                    "kept": [Block.kept(t, [not h for h in held_out])] + [None] * (len(ids) - 1),
+                }
+                row += len(ids)
+                yield pa.RecordBatch.from_arrays([as_arrow(out[x.name], x.type) for x in target], schema=target)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def joined_scores(rows: DataFrame, grams: DataFrame, n: int, v: int) -> DataFrame:
-    """row, joined: the model's scores by joins with the quantised counts."""
-    level = F.floor(F.log(F.col("n")) / math.log(BASE) + 1e-9)
-    value = F.when(level < 1, 1.0).otherwise(F.pow(F.lit(BASE), level + 0.5))
-    counts = grams.groupBy("gram").agg(F.sum("n").alias("n")).select("gram", value.alias("c"))
-    out = rows.select("row", F.explode("grams").alias("g")).select("row", "g.*")
-    for name in ("pair", "context", "word"):
-        out = out.join(counts.select(F.col("gram").alias(name), F.col("c").alias(f"c_{name}")), name, "left").withColumn(f"c_{name}", F.coalesce(f"c_{name}", F.lit(0.0)))
-    alone = (F.col("c_word") + ADD) / (n + ADD * (v + 1))
-    p = (F.least("c_pair", "c_context", "c_word") + K * alone) / (F.col("c_context") + K)
-    return out.groupBy("row").agg(F.sum(F.log10(p)).alias("joined"))
-
-
 def scored(docs: DataFrame, max_bytes: int = MAX_BYTES, max_hot: int = MAX_HOT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``."""
     texts = training(docs)
@@ -304,17 +308,14 @@ def scored(docs: DataFrame, max_bytes: int = MAX_BYTES, max_hot: int = MAX_HOT)
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = total.n, total.v
     hot = {r.word.encode("utf-8", "surrogatepass"): r.c for r in counts.orderBy(F.desc("c"), "word").limit(max_hot).toLocalIterator()}
-    small = n * BITS // 8 <= max_bytes
-    rows = staged(rows_of(docs, hot, n, v, build_filter(texts, counts, n) if small else None))
+    rows = staged(rows_of(docs, hot, n, v))
     rare = rows.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("tf"))
     c = F.coalesce("c", F.lit(0))
     per = rare.join(counts, "word", "left").select("row", (F.col("tf") * (F.log10(c + ADD) - math.log10(n + ADD * (v + 1)))).alias("base_"), F.when(c > 0, F.col("tf")).otherwise(0).alias("known_"))
     per = per.groupBy("row").agg(F.sum("base_").alias("base_"), F.sum("known_").alias("known_"))
-    out = rows.drop("rare", "grams").join(per, "row", "left")
-    model = F.col("model")
-    if not small:
-        out, model = out.join(joined_scores(rows, gram_counts(texts, counts), n, v), "row"), F.col("joined")
+    model = model_scores(rows.where("kept is not null").select(F.col("row").alias("block"), "kept"), n, v, max_bytes)
+    out = rows.drop("rare", "kept").join(per, "row", "left").join(model, "row")
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("known_", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("base_", F.lit(0.0))).alias("base_score"), model.alias("score"),
+        (F.col("base") + F.coalesce("base_", F.lit(0.0))).alias("base_score"), F.col("model").alias("score"),
     )

@@ -56,3 +56,44 @@ def test_filter_gives_back_levels():
     assert (f.quantised(grams) >= q).all()  # never too low
     assert (f.quantised(grams) == q).mean() > 0.98
     assert (f.quantised(grams + np.uint64(1)) == 0).mean() > 0.98
+
+
+def by_filter(rows, slices, size):
+    """The scores by one filter built in plain numpy."""
+    texts = [t for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 10]
+    t = lm.Tokens(texts)
+    grams, c = np.unique(np.concatenate([t.hashes[t.ids], t.pairs()[1]]), return_counts=True)
+    f, q = lm.Filter(np.zeros(slices * size, np.uint64), slices), lm.quantised(c)
+    for level in range(1, int(q.max()) + 1):
+        place, mask = lm.keys(grams[q >= level], level, size)
+        np.bitwise_or.at(f.words, (lm.slice_of(grams[q >= level], slices) * np.uint64(size) + place).astype(np.int64), mask)
+    out, (n, v) = {}, (len(t.ids), len(t.words))
+    end = np.array([lm.xxhash.xxh3_64_intdigest(lm.END)], np.uint64)
+    for i, text in rows:
+        t = lm.Tokens([text])
+        word, pair = (lm.counted(f.quantised(x)) for x in (t.hashes[t.ids], t.pairs()[1]))
+        before = np.concatenate([lm.counted(f.quantised(end)), word[:-1]])
+        out[i] = float(lm.probability(pair, before, word, n, v).sum())
+    return out
+
+
+def test_filter_at_every_size(spark, monkeypatch):
+    """Whatever the size, the scores are those of the filter, with its false positives."""
+    rows = [(i, " ".join(f"w{(i * i + k * k * (i % 7)) % 997}" for k in range(40)) + (" only%d" % i) * (i % 2)) for i in range(200)] + [(300, None), (301, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    n = sum(len(tokens(t)) for i, t in rows if zlib.crc32(str(i).encode()) % 10)
+    monkeypatch.setattr(lm, "SLICE", 1000)
+    slices = -(-n // 1000)
+    want = by_filter(rows, slices, max(16, -(-n * lm.BITS // 64 // slices)))
+    for max_bytes in (0, 1 << 20):
+        got = {r.doc_id: r.score for r in lm.scored(docs, max_bytes=max_bytes).collect()}
+        assert got.keys() == want.keys()
+        assert all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in want)
+
+
+def test_parts_hold_every_row(monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK", 10)
+    for texts in ([None], ["a" * 50, "b"], ["a", None, "b" * 9, "c" * 30, "", "d"], ["x"] * 40):
+        parts = lm.parts_of(texts)
+        assert [i for a, b in parts for i in range(a, b)] == list(range(len(texts)))
+        assert all(b - a == 1 or sum(len(t or "") + 1 for t in texts[a:b]) <= 10 for a, b in parts)
