@@ -33,7 +33,7 @@ from cindermill.llm.common import BATCH_ROWS, as_arrow, crc_mod, map_batches, pa
 END = b" end"
 BASE, K, ADD = 1.5, 8.0, 0.1
 #: Bits of the filter a training token (keys are fewer than tokens), bits set by an entry; training tokens and bytes of a slice; words sent to the workers.
-BITS, PROBES, SLICE, MAX_BYTES, MAX_HOT = 6, 4, 500_000, 1 << 27, 100_000
+BITS, PROBES, SLICE, MAX_BYTES, MAX_HOT = 7, 4, 500_000, 1 << 28, 100_000
 #: Characters of the texts in one block.
 BLOCK = 4 << 20
 #: Constants of the 64-bit mixers: odd numbers of no further meaning.
