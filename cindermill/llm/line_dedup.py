@@ -53,7 +53,7 @@ def suffix_ranks(docs: DataFrame, depth: int) -> DataFrame:
     """Lines that repeat, with r0, r1, ...: the ranks of the blocks of 1, 2, 4, ... lines from each on (null: unique)."""
     lines = staged(line_ids(docs))
     names = ranked(lines, "a", "b", "r0")
-    state = staged(lines.join(names, ["a", "b"]).drop("a", "b"))
+    state = staged(lines.join(names, ["a", "b"]).drop("a", "b").distinct())  # repeated rows are one document
     discard(lines, names)
     k = 0
     while 2 ** (k + 1) <= depth:

@@ -200,6 +200,17 @@ def test_line_dedup(hard, known):
     assert texts[160] is None and texts[161] == "" and texts[145].startswith("Head 5\n\nTail 5") and 105 not in texts
 
 
+def test_line_dedup_repeated_rows(spark):
+    def lines(name, *sizes):
+        return "\n".join(" ".join(f"{name}{i}x{j}" for j in range(n)) for i, n in enumerate(sizes))
+
+    long, short, many = lines("a", 30, 30), lines("b", 10, 10, 10), lines("c", 20, 20, 20)
+    rows = [(1, long)] * 2 + [(2, long)] * 3 + [(3, short)] * 2 + [(4, short)] * 2 + [(5, many)] * 200 + [(6, many)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.n_deleted, r.text): r.n for r in line_dedup.dedup(docs).groupBy("doc_id", "n_deleted", "text").agg(F.count("*").alias("n")).collect()}
+    assert got == {(1, 0, long): 2, (2, 2, ""): 3, (3, 0, short): 2, (4, 0, short): 2, (5, 0, many): 200, (6, 3, ""): 1}
+
+
 def test_toxicity_held_out(spark):
     """Held-out texts are told apart; the labelled rows are a fair sample, as the class prior is taken from them."""
     clean = [(i, f"the garden {i % 7} grows by the river and the house number {i % 13}") for i in range(200)]
