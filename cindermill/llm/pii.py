@@ -1,8 +1,10 @@
 """Personal data: fixed detectors, then bootstrapped contextual extraction.
 
 The detectors' finds (seeds) and every other identifier-like string (three digits or more, or an at sign) are
-mentions, each with its lexical pattern: the word before it, its shape, the word after it in three variants
-(both words, left only, right only). Spark scores the bipartite graph of patterns and instances for a few
+mentions, each with its lexical pattern: the word before it, its shape, the word after it in four variants
+(all three, without the right word, without the left word, without the shape). Such a string is a run without
+white space, less the punctuation at its edges, or groups of digits joined by the separators of cards and phones;
+one may lie in the other, and both are added if both are accepted. Long strings and words go by their hash. Spark scores the bipartite graph of patterns and instances for a few
 rounds: a pattern's confidence for a kind is the smoothed share of its distinct instances known to be of that
 kind; an instance is accepted when patterns of high confidence agree on it (noisy-or), and accepted instances
 support patterns in the next round. All occurrences of accepted instances are added as spans of that kind.
@@ -13,6 +15,7 @@ columns other than ``doc_id`` and ``text`` are not read; places are code points,
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 
@@ -32,7 +35,11 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 RUN = re.compile(r"[^\s\"'<>,;=]+")
 DIGITS = re.compile(r"[0-9]")
+GROUPS = re.compile(r"[+(]?[0-9](?:[\x20().-]*[0-9])*")
+EDGE = "!?.:*_~`|/\\()[]{}-#&"
 QUICK = re.compile(r"[0-9]|@")
+#: Longer strings, shapes and words are hashed.
+LONG_INSTANCE, LONG_SHAPE = 200, 40
 AROUND = 24
 ROUNDS, CONFIDENT, ACCEPT, SUPPORT = 3, 0.8, 0.9, 5
 
@@ -63,10 +70,17 @@ def emails(text: str) -> list[tuple[int, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Runs that hold three digits or more, or an at sign inside."""
+    """Runs and groups of digits that hold three digits or more, or (runs) an at sign inside; in order, no repeats."""
     if not QUICK.search(text):
         return []
-    return [m.span() for m in RUN.finditer(text) if len(DIGITS.findall(m[0])) >= 3 or "@" in m[0][1:-1]]
+    out = {m.span() for m in GROUPS.finditer(text) if " " in m[0] and len(DIGITS.findall(m[0])) >= 3}
+    for m in RUN.finditer(text):
+        a, b = m.start() + len(m[0]) - len(m[0].lstrip(EDGE)), m.end() - len(m[0]) + len(m[0].rstrip(EDGE))
+        if a < b and (len(DIGITS.findall(m[0])) >= 3 or "@" in text[a + 1 : b - 1]):
+            if text[a - 1 : a] == "(" and ")" in text[a:b]:  # the bracket belongs to what follows
+                a -= 1
+            out.add((a, b))
+    return sorted(out)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -85,26 +99,60 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def shape(s: str) -> str:
-    """Runs of digits as 9, of letters as a; other characters stay."""
-    return re.sub(r"[0-9]+", "9", re.sub(r"[^\W\d_]+", "a", s))[:40]
-
-
-def context(text: str, start: int, end: int) -> tuple[str, str]:
-    left, right = text[max(0, start - AROUND) : start].split(), text[end : end + AROUND].split()
-    return (left[-1].lower() if left else "^"), (right[0].lower() if right else "$")
+def short(s: str, limit: int) -> str:
+    return s if len(s) <= limit else "#" + hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
 
 
-def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int | None, str, str, str]]:
-    """(start, end, kind or None, instance, left word, right word) of seeds and of candidates apart from them."""
-    out = [(a, b, k, text[a:b].lower(), *context(text, a, b)) for a, k, b in base]
-    edge, held = 0, [(a, b) for a, _, b in base]
+def shape(s: str) -> str:
+    """Runs of digits as 9, of letters as a; other characters stay."""
+    return short(re.sub(r"[0-9]+", "9", re.sub(r"[^\W\d_]+", "a", s)), LONG_SHAPE)
+
+
+def contexts(text: str, spans: list[tuple[int, int]]) -> tuple[dict[int, str], dict[int, str]]:
+    """By start the word (or its part) before, by end the word after; long ones by a hash that goes on from one to the next."""
+    words = [m.span() for m in re.finditer(r"\S+", text)] if spans else []
+    starts, ends, left, right = [a for a, _ in words], [b for _, b in words], {}, {}
+    at, digest = (-1, 0), None
+    for p in sorted({a for a, _ in spans}):
+        i = bisect.bisect_left(starts, p) - 1
+        if i < 0:
+            left[p] = "^"
+            continue
+        a, b = words[i][0], min(words[i][1], p)
+        if b - a <= AROUND:
+            left[p] = text[a:b].lower()
+            continue
+        if at[0] != a:
+            at, digest = (a, a), hashlib.sha256()
+        digest.update(text[at[1] : b].lower().encode("utf-8", "surrogatepass"))
+        at, left[p] = (a, b), "#" + digest.hexdigest()
+    at, digest = (-1, 0), None
+    for p in sorted({b for _, b in spans}, reverse=True):
+        i = bisect.bisect_right(ends, p)
+        if i == len(words):
+            right[p] = "$"
+            continue
+        a, b = max(words[i][0], p), words[i][1]
+        if b - a <= AROUND:
+            right[p] = text[a:b].lower()
+            continue
+        if at[0] != b:
+            at, digest = (b, b), hashlib.sha256()
+        digest.update(text[a : at[1]].lower()[::-1].encode("utf-8", "surrogatepass"))
+        at, right[p] = (b, a), "#" + digest.hexdigest()
+    return left, right
+
+
+def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int | None, str, str, str, str]]:
+    """(start, end, kind or None, instance, left word, right word, shape) of seeds and of candidates apart from them."""
+    out, edge, held = [(a, b, k) for a, k, b in base], 0, [(a, b) for a, _, b in base]
     for a, b in candidates(text):
         while edge < len(held) and held[edge][1] <= a:
             edge += 1
-        if not (edge < len(held) and held[edge][0] < b) and b - a <= 200:
-            out.append((a, b, None, text[a:b].lower(), *context(text, a, b)))
-    return out
+        if not (edge < len(held) and held[edge][0] < b):
+            out.append((a, b, None))
+    left, right = contexts(text, [(a, b) for a, b, _ in out])
+    return [(a, b, k, short(text[a:b].lower(), LONG_INSTANCE), left[a], right[b], shape(text[a:b])) for a, b, k in out]
 
 
 def found(docs: DataFrame) -> DataFrame:
@@ -120,7 +168,7 @@ def found(docs: DataFrame) -> DataFrame:
         seen[task] += len(texts)
         return {
             "doc_id": batch.column(0), "row": [(task << 33) + at + i for i in range(len(texts))], "base": [[{"start": a, "kind": k, "stop": b} for a, k, b in x] for x in base],
-            "mentions": [[dict(zip(("start", "stop", "kind", "instance", "l", "r"), m, strict=True)) | {"shape": shape(m[3])} for m in mentions(t, b)] for t, b in zip(texts, base, strict=True)],
+            "mentions": [[dict(zip(("start", "stop", "kind", "instance", "l", "r", "shape"), m, strict=True)) for m in mentions(t, b)] for t, b in zip(texts, base, strict=True)],
         }
 
     spec = f"doc_id {kind}, row long, base array<struct<start:long,kind:int,stop:long>>, mentions array<struct<start:long,stop:long,kind:int,instance:string,l:string,r:string,shape:string>>"
@@ -150,7 +198,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, base spans and all spans (arrays of start, kind, stop in order) of every row."""
     rows = staged(found(docs))
     m = rows.select("row", F.explode("mentions").alias("m")).select("row", "m.*")
-    pattern = F.explode(F.array(F.concat_ws("\t", F.lit("b"), "l", "shape", "r"), F.concat_ws("\t", F.lit("l"), "l", "shape"), F.concat_ws("\t", F.lit("r"), "shape", "r")))
+    pattern = F.explode(F.array(F.concat_ws("\t", F.lit("b"), "l", "shape", "r"), F.concat_ws("\t", F.lit("l"), "l", "shape"), F.concat_ws("\t", F.lit("r"), "shape", "r"), F.concat_ws("\t", F.lit("w"), "l", "r")))
     edges = m.select(pattern.alias("pattern"), "instance", "kind").distinct()
     fresh = accepted(edges)
     added = m.where("kind is null").drop("kind").join(fresh, "instance").groupBy("row").agg(F.collect_list(F.struct("start", F.col("kind").cast("int").alias("kind"), "stop")).alias("added"))

@@ -190,6 +190,31 @@ def test_pii_patterns_discover(spark):
     assert got[len(texts) - 1] == ""
 
 
+def test_pii_discovers_spaced_and_punctuated(spark):
+    """In the context of seeds: a phone without a plus sign, a spaced card with a wrong check digit, ones with punctuation after them."""
+    cards = [c for c in (f"4111 1111 1111 {i:04d}" for i in range(1000, 1400)) if pii.luhn(pii.digits_of(c))]
+    texts = [f"my phone is +1 ({i:03d}) 555-{7000 + i} thanks" for i in range(30)] + [f"card number: {c} end" for c in cards]
+    texts += [f"host address 10.0.{i}.7 up" for i in range(30)]
+    found = {
+        "my phone is 1 (017) 555-7713 thanks": "phone:12:28", "my phone is (017) 555-7714 thanks": "phone:12:26", "card number: 4111 1111 1111 1112 end": "card:13:32",
+        "host address 10.0.0.300. up": None, "host address 10.0.0.300 up": "ip:13:23", "it is 12 345 in all": "", "x" * 300 + "123": "",
+    }
+    docs = spark.createDataFrame(list(enumerate([*texts, *found])), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.digest(docs).collect()}
+    for i, want in enumerate(found.values(), len(texts)):
+        assert want is None or want in got[i].split(","), (i - len(texts), got[i])
+    assert got[len(texts) + 3] == "ip:13:23"
+
+
+def test_pii_contexts_are_whole_and_linear():
+    text = "w" * 100 + ",123 " + "v" * 40 + "a 456 " + "v" * 40 + "b 789!!"
+    m = {x[3]: x for x in pii.mentions(text, [])}
+    assert m["456"][4] != m["789"][4] and "789" in m and m["789"][5] == "!!"
+    one, two = pii.mentions("1" * 300 + "b " + "1" * 300 + "c", [])
+    assert one[3] != two[3] and one[:2] == (0, 301) and two[:2] == (302, 603)
+    assert len(pii.mentions("x1234,[" * 20_000, [])) == 20_000
+
+
 def test_line_dedup(hard, known):
     got = line_dedup.dedup(known).select("doc_id", "n_lines", "n_deleted", F.sha2("text", 256)).collect()
     same(got, by_sql(known, line_dedup.ORACLE))
