@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 PUBLISHED = (100, 199)
 LIST_LIMIT = 200
+#: Characters of a line in a log tail.
+LOG_LINE = 4000
 
 
 def published(rows: DataFrame) -> DataFrame:
@@ -42,3 +44,8 @@ def job_state(state, alive, exit_code):
     """Reported state set right by what the process did: a running job that is gone has succeeded or failed by its exit code."""
     gone = state.isin("queued", "running") & ~alive
     return F.when(~gone, state).when(exit_code.isNull(), "lost").when(exit_code == 0, "succeeded").otherwise("failed")
+
+
+def log_line(line):
+    """A line of a log tail; a longer one is cut and ends in an ellipsis."""
+    return F.when(F.length(line) <= LOG_LINE, line).otherwise(F.concat(F.substring(line, 1, LOG_LINE), F.lit("…")))

@@ -385,7 +385,7 @@ def job_state(v):
 
 @query("SELECT job_id, left(props, 4) AS line FROM tasks QUALIFY row_number() OVER (ORDER BY updated_at DESC, job_id DESC) <= 100")
 def log_tail(v):
-    return v.tasks.orderBy(F.desc("updated_at"), F.desc("job_id")).limit(100).select("job_id", F.substring("props", 1, 4).alias("line"))
+    return v.tasks.orderBy(F.desc("updated_at"), F.desc("job_id")).limit(100).select("job_id", control.log_line(F.col("props")).alias("line"))
 
 
 @query("SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
