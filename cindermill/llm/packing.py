@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cindermill.llm.common import BATCH_ROWS, make_room, map_batches, pa_schema, staged
-from cindermill.llm.token_counts import VOCABULARY, chunks_of, id_chunks
+from cindermill.llm.token_counts import VOCABULARY, pre_tokens
 
 END = (0).to_bytes(4, "little")
 
@@ -148,13 +148,11 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int) -> DataFra
 
     def cut(batches):
         make_room(__name__)
-        known, task, seen = id_chunks(vocabulary), TaskContext.get().partitionId(), Counter()
+        known, task, seen = pre_tokens(vocabulary), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []
-            chunks = [chunks_of(t or "") for t in batch.column(1).to_pylist()]
-            known.learn(set().union(*chunks))
-            for doc_id, words in zip(batch.column(0).to_pylist(), chunks, strict=True):
-                ids = b"".join([*map(known.__getitem__, words), END])
+            for doc_id, ids in zip(batch.column(0).to_pylist(), known.encode(batch.column(1)).ids(), strict=True):
+                ids += END
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     length = len(part) // 4

@@ -1,8 +1,9 @@
 """Token counts by the whole-token shortcut.
 
 Offline, once in each worker, every vocabulary string is encoded alone; those that give exactly one token
-form the whole-token table. A text is cut at white space; a chunk found in the table (or met before) is
-counted directly, another is cut into pre-tokens, of which only those outside the table are merged.
+form the whole-token table. The chunks of a batch of texts between white space are told apart in Arrow; each
+distinct one is cut into pre-tokens, usually one. Those found in the table (or met lately) are counted
+directly, only the rest are merged; every chunk of the texts then points to its ids.
 
 Null text counts as empty; an empty text has 0 tokens; repeated rows give repeated rows; columns other than
 ``doc_id`` and ``text`` are not read. Texts are never cut.
@@ -11,25 +12,27 @@ Null text counts as empty; an empty text has 0 tokens; repeated rows give repeat
 from __future__ import annotations
 
 import struct
-from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from cindermill.llm.common import kept, map_batches
 
 VOCABULARY = "word_bpe_49k.json"
-#: Chunks kept by a worker beside the whole-token table: those met last, and as many met before.
-CACHE_ENTRIES = 200_000
+#: Pre-tokens kept by a worker beside the whole-token table: those met last, and as many met before.
+CACHE_ENTRIES = 250_000
 #: The pre-token pattern of the vocabulary file.
 PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: What Python splits at and the tokenizer's white space class does not hold.
-NOT_SPACE = "\x1c\x1d\x1e\x1f"
-SPACES = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
+#: Chunks for the tokenizer itself: characters that its normaliser may change, white space beyond ASCII, openings of special strings.
+ODD = r"[^\x00-\x{024f}]|[\x1c-\x1f\x{85}\x{a0}\x{130}]|<\|"
+#: A run of marks at the end of a chunk is one pre-token.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 @kept
@@ -37,6 +40,14 @@ def tokenizer(name: str = VOCABULARY) -> Tokenizer:
     return Tokenizer.from_file(public_tokenizers.path(name))
 
 
+@kept
+def merger(name: str = VOCABULARY) -> Tokenizer:
+    """The vocabulary's merges alone, for pre-tokens with a space between: already normalised and cut, they need neither step."""
+    t = Tokenizer(tokenizer(name).model)
+    t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return t
+
+
 @kept
 def word_ends(name: str = VOCABULARY) -> np.ndarray:
     """True at the ids that end a pre-token; every pre-token has exactly one, its last."""
@@ -61,81 +72,102 @@ def whole_tokens(name: str = VOCABULARY) -> dict[str, int]:
     return {s: e.ids[0] for s, e in zip(texts, alone, strict=True) if len(e.ids) == 1}
 
 
-class Chunks(dict):
-    """Chunk of a text -> its value; ``value`` makes it of the ids' bytes (unsigned, 32 bits). ``learn`` adds those of a batch."""
+class Recent(dict):
+    """Values by key: a base that stays, the entries met last, and as many met before."""
 
-    def __init__(self, name: str, value: Callable[[bytes], object]):
-        self.name, self.tokenizer, self.value = name, tokenizer(name), value
-        self.whole = {s: struct.pack("<I", i) for s, i in whole_tokens(name).items()}
-        self.base = {s: value(i) for s, i in self.whole.items()}
-        self.before: dict = {}
-        super().__init__(self.base)
+    def __init__(self, base: dict):
+        self.base, self.before = base, {}
+        super().__init__(base)
 
-    def learn(self, chunks: set[str]) -> None:
-        """Cut unknown chunks into pre-tokens and merge those that are no whole tokens, all in one call."""
+    def unknown(self, keys: set) -> set:
+        """Those of ``keys`` without a value; the others are at hand afterwards."""
         if len(self) > len(self.base) + CACHE_ENTRIES:
             self.before = dict(self)
             self.clear()
             self.update(self.base)
-        before, value = self.before, self.value
-        single: dict[str, str] = {}  # chunks of letters alone: one pre-token
-        cut: dict[str, list[str]] = {}
-        for chunk in chunks.difference(self):
-            if chunk in before:
-                self[chunk] = before[chunk]
-            elif (chunk.isascii() or max(chunk) < "\u0250") and "<|" not in chunk:  # such characters are normalised as they are
-                lower = chunk.lower()
-                if lower.isalpha():
-                    single[chunk] = lower
-                else:
-                    cut[chunk] = PRE_TOKENS.findall(lower)
-            else:
-                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-                self[chunk] = value(struct.pack(f"<{len(ids)}I", *ids))
-        ids_of = self.merged({*single.values(), *chain.from_iterable(cut.values())}) | self.whole
-        for chunk, piece in single.items():
-            self[chunk] = value(ids_of[piece])
-        for chunk, pieces in cut.items():
-            self[chunk] = value(b"".join(map(ids_of.__getitem__, pieces)))
-
-    def merged(self, pieces: set[str]) -> dict[str, bytes]:
-        """Pre-tokens outside the whole-token table -> their ids."""
-        todo = list(pieces.difference(self.whole))
+        new, before = keys.difference(self), self.before
+        if before:
+            met = [k for k in new if k in before]
+            self.update(zip(met, map(before.__getitem__, met), strict=True))
+            new.difference_update(met)
+        return new
+
+
+class Encoded:
+    """Texts as entries of a table of ids (bytes, unsigned, 32 bits), with where each text's entries end."""
+
+    def __init__(self, table: list[bytes], entries: np.ndarray, ends: np.ndarray):
+        self.table, self.entries = table, entries
+        self.sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        self.upto = np.concatenate([[0], np.cumsum(self.sizes[entries])])
+        self.ends = self.upto[ends]
+
+    def counts(self) -> np.ndarray:
+        return np.diff(self.ends, prepend=0)
+
+    def ids(self) -> list[bytes]:
+        """The ids of every text."""
+        sizes, first = self.sizes[self.entries], np.cumsum(self.sizes) - self.sizes
+        at = np.repeat(first[self.entries] - self.upto[:-1], sizes) + np.arange(self.upto[-1])
+        data, ends = np.frombuffer(b"".join(self.table), "<u4")[at].tobytes(), (4 * self.ends).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+class PreTokens:
+    """Encodes texts by batch: chunks are told apart in Arrow, each distinct one is cut, each pre-token not met lately is merged."""
+
+    def __init__(self, name: str):
+        self.name, self.tokenizer = name, tokenizer(name)
+        self.known = Recent({"": b""} | {s: struct.pack("<I", i) for s, i in whole_tokens(name).items()})
+
+    def encode(self, texts: pa.Array) -> Encoded:
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))  # no token spans two chunks
+        words = lists.values.dictionary_encode()
+        chunks = words.dictionary
+        lower = pc.utf8_lower(chunks)
+        letters = pc.utf8_rtrim(lower, characters=MARKS)
+        odd = pc.match_substring_regex(chunks, ODD)
+        # letters, then perhaps marks: one or two pre-tokens
+        plain = pc.and_not(pc.utf8_is_alpha(letters), odd).to_numpy(zero_copy_only=False)
+        marked = plain & (pc.binary_length(lower).to_numpy() != pc.binary_length(letters).to_numpy())
+        piece = letters.filter(pa.array(plain)).dictionary_encode()
+        marks = [x[len(y) :] for x, y in zip(*(c.filter(pa.array(marked)).to_pylist() for c in (lower, letters)), strict=True)]
+        mark = {m: i for i, m in enumerate(dict.fromkeys(marks))}
+        other = pa.array(~plain)
+        cut = [None if o else PRE_TOKENS.findall(x) for o, x in zip(odd.filter(other).to_pylist(), lower.filter(other).to_pylist(), strict=True)]
+        whole = iter(self.tokenizer.encode_batch_fast([c for c, x in zip(chunks.filter(other).to_pylist(), cut, strict=True) if x is None], add_special_tokens=False))
+        names = [*piece.dictionary.to_pylist(), *mark]
+        self.merge(self.known.unknown({*names, *chain.from_iterable(filter(None, cut))}))
+        ids = self.known.__getitem__
+        rest = [np.array(next(whole).ids, "<u4").tobytes() if x is None else b"".join(map(ids, x)) for x in cut]
+        first, second = np.empty(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        first[plain] = 1 + piece.indices.to_numpy()
+        first[~plain] = 1 + len(names) + np.arange(len(rest))
+        second[marked] = [1 + len(piece.dictionary) + mark[m] for m in marks]
+        index = words.indices.to_numpy()
+        return Encoded([b"", *map(ids, names), *rest], np.stack([first[index], second[index]], axis=1).ravel(), 2 * lists.offsets.to_numpy()[1:])
+
+    def merge(self, pieces: set[str]) -> None:
+        """Make pre-tokens known."""
+        todo = list(pieces)
         lines = [" ".join(todo[i : i + 200]) for i in range(0, len(todo), 200)]
-        ids = np.array([i for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], "<u4")
+        ids = np.array([i for e in merger(self.name).encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], "<u4")
         ends = (4 * np.flatnonzero(word_ends(self.name)[ids]) + 4).tolist()
         data = ids.tobytes()
-        return {p: data[a:b] for p, a, b in zip(todo, [0, *ends], ends, strict=False)}
-
-
-def chunks_of(text: str) -> list[str]:
-    """The white-space separated chunks; no token of the vocabulary spans two."""
-    if any(c in text for c in NOT_SPACE):
-        return [c for c in SPACES.split(text) if c]
-    return text.split()
-
-
-@kept
-def count_chunks(name: str) -> Chunks:
-    return Chunks(name, lambda ids: len(ids) // 4)
+        self.known.update((p, data[a:b]) for p, a, b in zip(todo, [0, *ends], ends, strict=False))
 
 
 @kept
-def id_chunks(name: str) -> Chunks:
-    """Chunk -> its ids as little-endian unsigned 32-bit numbers."""
-    return Chunks(name, bytes)
+def pre_tokens(name: str = VOCABULARY) -> PreTokens:
+    return PreTokens(name)
 
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = 2048) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row of ``docs``; one narrow pass, no shuffle."""
 
     def count(batch):
-        known = count_chunks(vocabulary)
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        chunks = [chunks_of(t) for t in texts]
-        known.learn(set().union(*chunks))
-        n = [sum(map(known.__getitem__, x)) for x in chunks]
-        return {"doc_id": batch.column(0), "n_bytes": [len(t.encode()) for t in texts], "n_tokens": n, "over_limit": [x > limit for x in n]}
+        n = pre_tokens(vocabulary).encode(batch.column(1)).counts()
+        return {"doc_id": batch.column(0), "n_bytes": pc.fill_null(pc.binary_length(batch.column(1)), 0), "n_tokens": n, "over_limit": n > limit}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return map_batches(docs.select("doc_id", "text"), count, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
