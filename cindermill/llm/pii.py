@@ -1,13 +1,19 @@
 """Personal data: fixed detectors, then bootstrapped contextual extraction.
 
 The detectors' finds (seeds) and every other identifier-like string (three digits or more, or an at sign) are
-mentions, each with its lexical pattern: the word before it, its shape, the word after it in four variants
-(all three, without the right word, without the left word, without the shape). Such a string is a run without
-white space, less the punctuation at its edges, or groups of digits joined by the separators of cards and phones;
-one may lie in the other, and both are added if both are accepted. Long strings and words go by their hash. Spark scores the bipartite graph of patterns and instances for a few
-rounds: a pattern's confidence for a kind is the smoothed share of its distinct instances known to be of that
-kind; an instance is accepted when patterns of high confidence agree on it (noisy-or), and accepted instances
-support patterns in the next round. All occurrences of accepted instances are added as spans of that kind.
+mentions. Such a string is a run without white space, less the punctuation at its edges, or one to four groups of
+digits in a row, joined by the separators of cards and phones (or the whole row of groups); one may lie in the
+other, and both are added if both are accepted. Beside the four kinds of personal data there is a fifth, secret,
+whose seeds are the candidates of 16 letters and digits or more in five runs or more that change between the two;
+it has no base spans.
+
+A mention gives six lexical patterns: the word before it, its shape, the word after it (all three, without the
+right word, without the left word, without the shape), its shape with the lengths of runs of digits, and its first
+four characters with its length. In a shape a run of digits is 9, of letters a, of both in turn x. Long strings
+and words go by their hash. Spark scores the bipartite graph of patterns and instances for a few rounds: a
+pattern's confidence for a kind is the smoothed share of its distinct instances known to be of that kind; an
+instance is accepted when patterns of high confidence agree on it (noisy-or), and accepted instances support
+patterns in the next round. All occurrences of accepted instances are added as spans of that kind.
 
 Only mentions are shuffled, never texts. Null and empty texts have no spans; repeated rows give repeated rows;
 columns other than ``doc_id`` and ``text`` are not read; places are code points, ends exclusive.
@@ -28,6 +34,8 @@ from cindermill.llm.common import map_batches, staged
 #: The detectors, in the order of kinds. An email's local part, which ends at an at sign, is found
 #: backwards from there; an IP starts where a run of digits does. So both are linear on texts without spaces.
 KINDS = ("email", "ip", "card", "phone")
+#: The kinds of all spans: those, and one that the method alone gives.
+ALL_KINDS, SECRET = (*KINDS, "secret"), 4
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
@@ -36,6 +44,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 RUN = re.compile(r"[^\s\"'<>,;=]+")
 DIGITS = re.compile(r"[0-9]")
 GROUPS = re.compile(r"[+(]?[0-9](?:[\x20().-]*[0-9])*")
+TOKEN = re.compile(r"[A-Za-z0-9]{16,}")
+#: Groups of digits in one candidate, apart from a whole row of them.
+MOST_GROUPS = 4
 EDGE = "!?.:*_~`|/\\()[]{}-#&"
 QUICK = re.compile(r"[0-9]|@")
 #: Longer strings, shapes and words are hashed.
@@ -73,7 +84,12 @@ def candidates(text: str) -> list[tuple[int, int]]:
     """Runs and groups of digits that hold three digits or more, or (runs) an at sign inside; in order, no repeats."""
     if not QUICK.search(text):
         return []
-    out = {m.span() for m in GROUPS.finditer(text) if " " in m[0] and len(DIGITS.findall(m[0])) >= 3}
+    out = set()
+    for m in GROUPS.finditer(text):
+        if " " in m[0]:
+            parts = [(m.start() + a, m.start() + b) for a, b in (x.span() for x in re.finditer(r"[^ ]+", m[0]))]
+            some = {(a, b) for i, (a, _) in enumerate(parts) for _, b in parts[i : i + MOST_GROUPS]}
+            out |= {(a, b) for a, b in {m.span(), *some} if len(DIGITS.findall(text, a, b)) >= 3}
     for m in RUN.finditer(text):
         a, b = m.start() + len(m[0]) - len(m[0].lstrip(EDGE)), m.end() - len(m[0]) + len(m[0].rstrip(EDGE))
         if a < b and (len(DIGITS.findall(m[0])) >= 3 or "@" in text[a + 1 : b - 1]):
@@ -103,9 +119,20 @@ def short(s: str, limit: int) -> str:
     return s if len(s) <= limit else "#" + hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
 
 
-def shape(s: str) -> str:
-    """Runs of digits as 9, of letters as a; other characters stay."""
-    return short(re.sub(r"[0-9]+", "9", re.sub(r"[^\W\d_]+", "a", s)), LONG_SHAPE)
+def secret(s: str) -> bool:
+    """A seed of the fifth kind: letters and digits in turn, as keys and tokens have them."""
+    return bool(TOKEN.fullmatch(s)) and len(re.findall(r"[0-9]+|[A-Za-z]+", s)) >= 5
+
+
+def shape(s: str, lengths: bool = False) -> str:
+    """Runs of digits as 9, of letters as a, of both in turn as x; other characters stay. ``lengths``: of runs with digits."""
+
+    def run(m: re.Match) -> str:
+        x = m[0]
+        kind = "9" if x.isdigit() else "a" if not DIGITS.search(x) else "x"
+        return f"{kind}{len(x)}" if lengths and kind != "a" else kind
+
+    return short(re.sub(r"(?:[0-9]|[^\W\d_])+", run, s), LONG_SHAPE)
 
 
 def contexts(text: str, spans: list[tuple[int, int]]) -> tuple[dict[int, str], dict[int, str]]:
@@ -143,16 +170,27 @@ def contexts(text: str, spans: list[tuple[int, int]]) -> tuple[dict[int, str], d
     return left, right
 
 
-def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int | None, str, str, str, str]]:
-    """(start, end, kind or None, instance, left word, right word, shape) of seeds and of candidates apart from them."""
+#: A mention: its place, kind or None, instance, left word, right word, shape, shape with lengths.
+FIELDS = {"start": "long", "stop": "long", "kind": "int", "instance": "string", "l": "string", "r": "string", "shape": "string", "exact": "string"}
+
+
+def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int | None, str, str, str, str, str]]:
+    """The mentions of a text (``FIELDS``): base spans and the candidates apart from them."""
     out, edge, held = [(a, b, k) for a, k, b in base], 0, [(a, b) for a, _, b in base]
     for a, b in candidates(text):
         while edge < len(held) and held[edge][1] <= a:
             edge += 1
         if not (edge < len(held) and held[edge][0] < b):
-            out.append((a, b, None))
+            out.append((a, b, SECRET if secret(text[a:b]) else None))
     left, right = contexts(text, [(a, b) for a, b, _ in out])
-    return [(a, b, k, short(text[a:b].lower(), LONG_INSTANCE), left[a], right[b], shape(text[a:b])) for a, b, k in out]
+    return [(a, b, k, short(text[a:b].lower(), LONG_INSTANCE), left[a], right[b], shape(text[a:b]), shape(text[a:b], lengths=True)) for a, b, k in out]
+
+
+def patterns() -> list:
+    """The patterns of a mention's columns; the first letter tells the variants apart."""
+    parts = {"b": ("l", "shape", "r"), "l": ("l", "shape"), "r": ("shape", "r"), "w": ("l", "r"), "s": ("exact",)}
+    affix = (F.substring("instance", 1, 4), F.length("instance").cast("string"))
+    return [F.concat_ws("\t", F.lit(k), *of) for k, of in (parts | {"p": affix}).items()]
 
 
 def found(docs: DataFrame) -> DataFrame:
@@ -168,10 +206,11 @@ def found(docs: DataFrame) -> DataFrame:
         seen[task] += len(texts)
         return {
             "doc_id": batch.column(0), "row": [(task << 33) + at + i for i in range(len(texts))], "base": [[{"start": a, "kind": k, "stop": b} for a, k, b in x] for x in base],
-            "mentions": [[dict(zip(("start", "stop", "kind", "instance", "l", "r", "shape"), m, strict=True)) for m in mentions(t, b)] for t, b in zip(texts, base, strict=True)],
+            "mentions": [[dict(zip(FIELDS, m, strict=True)) for m in mentions(t, b)] for t, b in zip(texts, base, strict=True)],
         }
 
-    spec = f"doc_id {kind}, row long, base array<struct<start:long,kind:int,stop:long>>, mentions array<struct<start:long,stop:long,kind:int,instance:string,l:string,r:string,shape:string>>"
+    fields = ",".join(f"{name}:{of}" for name, of in FIELDS.items())
+    spec = f"doc_id {kind}, row long, base array<struct<start:long,kind:int,stop:long>>, mentions array<struct<{fields}>>"
     return map_batches(docs.select("doc_id", "text"), run, spec)
 
 
@@ -198,24 +237,27 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, base spans and all spans (arrays of start, kind, stop in order) of every row."""
     rows = staged(found(docs))
     m = rows.select("row", F.explode("mentions").alias("m")).select("row", "m.*")
-    pattern = F.explode(F.array(F.concat_ws("\t", F.lit("b"), "l", "shape", "r"), F.concat_ws("\t", F.lit("l"), "l", "shape"), F.concat_ws("\t", F.lit("r"), "shape", "r"), F.concat_ws("\t", F.lit("w"), "l", "r")))
-    edges = m.select(pattern.alias("pattern"), "instance", "kind").distinct()
-    fresh = accepted(edges)
-    added = m.where("kind is null").drop("kind").join(fresh, "instance").groupBy("row").agg(F.collect_list(F.struct("start", F.col("kind").cast("int").alias("kind"), "stop")).alias("added"))
+    edges = m.select(F.explode(F.array(*patterns())).alias("pattern"), "instance", "kind").distinct()
+    fresh = accepted(edges).withColumnRenamed("kind", "fresh")
+    more = m.join(fresh, "instance", "left").select("row", "start", F.when(F.col("kind").isNull(), F.col("fresh")).when(F.col("kind") == SECRET, SECRET).cast("int").alias("kind"), "stop")
+    added = more.where("kind is not null").groupBy("row").agg(F.collect_list(F.struct("start", "kind", "stop")).alias("added"))
     every = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast("array<struct<start:bigint,kind:int,stop:bigint>>"))))
     return rows.select("row", "doc_id", "base").join(added, "row", "left").select("doc_id", "base", every.alias("spans"))
 
 
 def listed(spans: str):
-    kinds = F.array(*map(F.lit, KINDS))
+    kinds = F.array(*map(F.lit, ALL_KINDS))
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(kinds, x["kind"] + 1), x["start"], x["stop"])), ",")
 
 
 def digest(docs: DataFrame) -> DataFrame:
+    """The base counts and digest, all spans, how many of these the method added and how many are secrets."""
     kinds = F.transform("base", lambda x: x["kind"])
     count = [F.size(F.array_remove(kinds, k)) for k in range(len(KINDS))]
     count = [(F.size("base") - c).cast("long").alias(f"n_{kind}") for c, kind in zip(count, KINDS, strict=True)]
-    return personal_data(docs).select("doc_id", *count, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+    added, secrets = F.size("spans") - F.size("base"), F.size(F.filter("spans", lambda x: x["kind"] == SECRET))
+    more = [c.cast("long").alias(name) for c, name in ((added, "n_added"), (secrets, "n_secret"))]
+    return personal_data(docs).select("doc_id", *count, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"), *more)
 
 
 def base_digest(text: str | None) -> str:
