@@ -39,6 +39,8 @@ BLOCK = 4 << 20
 #: Constants of the 64-bit mixers: odd numbers of no further meaning.
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Bytes of an n-gram's hash inside its slice (a slice has some 500,000 n-grams, two of which agree in 48 bits once in 2,000 slices).
+GRAM_BYTES = 6
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -112,7 +114,7 @@ def counted(q: np.ndarray) -> np.ndarray:
 
 def keys(grams: np.ndarray, level: int | np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
     """Place (a 64-bit word: slices by the n-gram's own high bits) and bits of the keys (n-gram, level)."""
-    h = mix(grams + np.asarray(level).astype(np.uint64) * M2)
+    h = mix((grams & np.uint64((1 << 8 * GRAM_BYTES) - 1)) + np.asarray(level).astype(np.uint64) * M2)
     mask = np.zeros(len(grams), np.uint64)
     for i in range(PROBES):
         mask |= np.uint64(1) << ((h >> np.uint64(6 * i)) & np.uint64(63))
@@ -192,6 +194,26 @@ class Block:
         return np.add.reduceat(probability(c[len(self.hashes) + self.pair], before, word, n, v), self.starts)
 
 
+def packed(grams: np.ndarray) -> bytes:
+    """The bytes of n-grams that tell them apart inside a slice."""
+    return grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // GRAM_BYTES, 8), np.uint8)
+    out[:, :GRAM_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, GRAM_BYTES)
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+def packed_counts(n: np.ndarray) -> bytes:
+    """A byte each, or four where one needs more."""
+    return n.astype(np.uint8 if n.max(initial=0) < 256 else np.uint32).tobytes()
+
+
+def unpacked_counts(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8 if len(data) == n else np.uint32)
+
+
 def slice_bits(grams: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
     """The bits of one slice: n-grams (repeats add up) with their counts."""
     gram, at = np.unique(grams, return_inverse=True)
@@ -212,17 +234,17 @@ def levels(blocks: DataFrame, slices: int, size: int) -> DataFrame:
         for number, kept in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             block = Block(kept)
             order, met, spans = dealt(block.grams, slices)
-            grams, n = block.grams[order], block.counts()[order].astype(np.int32)
+            grams, n = block.grams[order], block.counts()[order]
             out["slice"] += met
             out["block"] += [number] * len(met)
-            out["grams"] += [grams[a:b].tobytes() for a, b in spans]
-            out["counts"] += [n[a:b].tobytes() for a, b in spans]
+            out["grams"] += [packed(grams[a:b]) for a, b in spans]
+            out["counts"] += [packed_counts(n[a:b]) for a, b in spans]
         return out
 
     def probe(key, group):
-        parts = [np.frombuffer(x, np.uint64) for x in group.column("grams").to_pylist()]
+        parts = [unpacked(x) for x in group.column("grams").to_pylist()]
         grams = np.concatenate(parts)
-        n = np.concatenate([np.frombuffer(x, np.int32) for x in group.column("counts").to_pylist()])
+        n = np.concatenate([unpacked_counts(x, len(p)) for x, p in zip(group.column("counts").to_pylist(), parts, strict=True)])
         asked, at = np.unique(grams, return_inverse=True)
         q = Filter(slice_bits(grams, n, size), 1).quantised(asked).astype(np.uint8)[at]
         ends = np.cumsum([len(x) for x in parts]).tolist()
@@ -269,7 +291,7 @@ def rows_of(docs: DataFrame, hot: dict[bytes, int], n: int, v: int) -> DataFrame
     """Of every row: row key, doc_id, fold, tokens, sums over the frequent words, the other words; of a block's first row the block."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     floor = math.log10(n + ADD * (v + 1))
-    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, rare array<string>, kept {Block.TYPE}"
+    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, rare array<struct<word:string,tf:long>>, kept {Block.TYPE}"
     target = pa_schema(docs.sparkSession, schema)
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     hot = docs.sparkSession.sparkContext.broadcast(hot)
@@ -285,14 +307,17 @@ def rows_of(docs: DataFrame, hot: dict[bytes, int], n: int, v: int) -> DataFrame
                 token = c[t.ids]
                 base = np.add.reduceat(np.where(token > 0, np.log10(np.maximum(token, 1) + ADD) - floor, 0.0), t.starts)
                 words = [w.decode("utf-8", "surrogatepass") for w in t.words]
-                cold, ends = np.flatnonzero(token == 0), t.starts + t.sizes
-                cut = np.searchsorted(cold, ends).tolist()
-                names = list(map(words.__getitem__, t.ids[cold].tolist()))
+                cold = np.flatnonzero(token == 0)
+                at = np.repeat(np.arange(len(t.sizes)), t.sizes)[cold] * len(words) + t.ids[cold]
+                at, tf = np.unique(at, return_counts=True)  # each text's other words once
+                cut = np.searchsorted(at // len(words), np.arange(len(t.sizes) + 1))
+                other = pa.StructArray.from_arrays([pa.array(words, pa.string()).take(pa.array(at % len(words))), pa.array(tf)], ["word", "tf"])
+                rare = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), other)
                 ids = whole.column(0).slice(lo, hi - lo)
                 held_out = [py_crc_mod(i, 10) == 0 for i in ids.to_pylist()]
                 out = {
                     "row": range(row, row + len(ids)), "doc_id": ids, "held_out": held_out, "n_tokens": t.sizes,
-                    "known": np.add.reduceat((token > 0).astype(np.int64), t.starts), "base": base, "rare": [names[a:e] for a, e in zip([0, *cut], cut, strict=False)],
+                    "known": np.add.reduceat((token > 0).astype(np.int64), t.starts), "base": base, "rare": rare,
                     "kept": [Block.kept(t, [not h for h in held_out])] + [None] * (len(ids) - 1),
                 }
                 row += len(ids)
@@ -309,10 +334,10 @@ def scored(docs: DataFrame, max_bytes: int = MAX_BYTES, max_hot: int = MAX_HOT)
     n, v = total.n, total.v
     hot = {r.word.encode("utf-8", "surrogatepass"): r.c for r in counts.orderBy(F.desc("c"), "word").limit(max_hot).toLocalIterator()}
     rows = staged(rows_of(docs, hot, n, v))
-    rare = rows.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("tf"))
+    rare = rows.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.tf")
     c = F.coalesce("c", F.lit(0))
     per = rare.join(counts, "word", "left").select("row", (F.col("tf") * (F.log10(c + ADD) - math.log10(n + ADD * (v + 1)))).alias("base_"), F.when(c > 0, F.col("tf")).otherwise(0).alias("known_"))
-    per = per.groupBy("row").agg(F.sum("base_").alias("base_"), F.sum("known_").alias("known_"))
+    per = staged(per.groupBy("row").agg(F.sum("base_").alias("base_"), F.sum("known_").alias("known_")))  # of its own, as ``levels`` are
     model = model_scores(rows.where("kept is not null").select(F.col("row").alias("block"), "kept"), n, v, max_bytes)
     out = rows.drop("rare", "kept").join(per, "row", "left").join(model, "row")
     return out.select(
