@@ -97,7 +97,8 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     runs = runs.withColumn("t", F.col("e") - F.expr("shiftleft(1, k)")).join(tail, [*KEY, "t"]).withColumn("rb", F.element_at("r", F.col("k") + 1)).drop("r").where("rb is not null")
     runs = staged(runs.select(*KEY, "s", "e", "m", "ra", "rb"))
     interval, at = ["m", "ra", "rb"], F.struct(*KEY, "s")
-    first = runs.groupBy(*interval).agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first < last").drop("last")
+    # a table of its own: the join can then split the members of a large interval
+    first = staged(runs.groupBy(*interval).agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first < last").drop("last"))
     later = runs.join(first, interval).where(at > F.col("first")).groupBy(*KEY, "s").agg(F.max("e").alias("e"))
     upto = Window.partitionBy(*KEY).orderBy("s")
     covered = state.select(*KEY, "s", "i").join(later, [*KEY, "s"], "left").withColumn("e", F.max("e").over(upto))
