@@ -225,6 +225,7 @@ def accepted(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         total = per.groupBy("pattern").agg(F.sum("n").alias("total"))
         score = per.where("known is not null").join(total, "pattern").withColumn("confidence", F.col("n") / (F.col("total") + 1))
         sure = score.where((F.col("confidence") >= CONFIDENT) & (F.col("n") >= SUPPORT)).select("pattern", F.col("known").alias("kind"), "confidence")
+        sure = staged(sure)  # one row a pattern and kind: apart from its aggregation, the join below can split frequent patterns
         doubt = F.sum(F.log(1 - F.col("confidence")))
         votes = graph.join(sure, "pattern").groupBy("instance", "kind").agg((1 - F.exp(doubt)).alias("score"))
         best = votes.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("k"))).alias("best"))
