@@ -15,8 +15,8 @@ a filter proves that it is no link or if it is connected already.
 
 The sample decides the order alone, never a result. Null and empty texts have no shingles and are linked with
 nothing; fewer than 5 words form one shingle; rows with a null id get their own class, linked with nothing, and a
-null component; repeated rows give repeated rows; rows of one id with different texts are sets of their own;
-other columns are not read.
+null component; repeated rows give repeated rows; rows of one id with different texts are sets of their own, and
+a component's id is the least of its documents' ids, of whatever type these are; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,8 +32,10 @@ from cindermill.llm.lm_scoring import M3, Tokens, mix
 SHINGLE = 5
 #: Documents in SAMPLE one is counted for the order; at most MAX_COMMON tokens, found COMMON times or more, come last.
 SAMPLE, COMMON, MAX_COMMON = 16, 2, 1_000_000
-#: Ids that may be sent to all workers (16 MB); more are joined.
-MAX_IDS = 2_000_000
+#: Bytes of ids that may be sent to all workers; more are joined.
+MAX_BYTES = 32 << 20
+#: Holders of one prefix token in a block: pairs are emitted by pairs of blocks.
+BLOCK = 2_000
 
 
 def sets_of(texts: list[str | None]) -> list[np.ndarray]:
@@ -83,7 +85,7 @@ def distance(a: bytes, b: bytes) -> int:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """doc_id, n, cls (digest of the set), grp (digest of size and prefix), prefix, bitmap of every row."""
+    """doc_id, h (hash of the text), n, cls (digest of the set), grp (digest of size and prefix), prefix, bitmap of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     common = docs.sparkSession.sparkContext.broadcast(common_tokens(docs))  # at most MAX_COMMON numbers
 
@@ -96,9 +98,9 @@ def described(docs: DataFrame) -> DataFrame:
             prefixes.append(np.concatenate([s[~is_last], s[is_last]])[: n - (4 * n + 4) // 5 + 1 if n else 0])
         digest = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
         group = [xxhash.xxh3_128_digest(len(s).to_bytes(8, "little") + p.tobytes()) for s, p in zip(sets, prefixes, strict=True)]
-        return {"doc_id": batch.column(0), "n": [len(s) for s in sets], "cls": digest, "grp": group, "prefix": [p.view(np.int64) for p in prefixes], "bitmap": [parity(s) for s in sets]}
+        return {"doc_id": batch.column(0), "h": batch.column(2), "n": [len(s) for s in sets], "cls": digest, "grp": group, "prefix": [p.view(np.int64) for p in prefixes], "bitmap": [parity(s) for s in sets]}
 
-    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, n long, cls binary, grp binary, prefix array<long>, bitmap binary")
+    return map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("h")), run, f"doc_id {kind}, h long, n long, cls binary, grp binary, prefix array<long>, bitmap binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -118,16 +120,15 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select("node", "component")
 
 
-def with_ids(df: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """Rows of ``df`` whose ``name`` is among ``ids`` (one column of that name): sent to all workers if few."""
-    ids = staged(ids)
-    few = ids.limit(MAX_IDS + 1).count() <= MAX_IDS
-    return df.join(F.broadcast(ids) if few else ids, name, "left_semi")
+def sent_if_small(ids: DataFrame) -> DataFrame:
+    """A staged table, to be sent to all workers if its bytes are few."""
+    size = ids.agg(F.sum(sum(F.octet_length(F.col(c).cast("string")) + 8 for c in ids.columns))).first()[0]
+    return F.broadcast(ids) if (size or 0) <= MAX_BYTES else ids
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """a, b of the ``pairs`` (of class ids, a < b) that are links."""
-    side = lambda c: classes.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("bitmap").alias(f"bitmap_{c}"))
+    """a, b of the ``pairs`` (of nodes, a < b) that are links. ``classes``: node, rep (a document that has the set), cls, n, bitmap."""
+    side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bitmap").alias(f"bitmap_{c}"))
     maps = pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b").where(5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b"))
 
     def near(batch):
@@ -136,17 +137,19 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
         return {x: [v for v, k in zip(c[x], ok, strict=True) if k] for x in ("a", "b")}
 
     left = staged(map_batches(maps, near, "a long, b long"))
-    needed = left.select(F.col("a").alias("doc_id")).union(left.select(F.col("b").alias("doc_id"))).distinct()
-    texts = with_ids(docs.select("doc_id", "text"), needed, "doc_id")
+    needed = left.select(F.col("a").alias("node")).union(left.select(F.col("b").alias("node"))).distinct()
+    asked = staged(classes.select("node", F.col("rep").alias("doc_id"), "cls").join(needed, "node", "left_semi"))
+    ids = staged(asked.select("doc_id").distinct())
+    texts = docs.select("doc_id", "text").join(sent_if_small(ids), "doc_id", "left_semi")
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def whole_sets(batch):
         tokens = [s.tobytes() for s in sets_of(batch.column(1).to_pylist())]
         return {"doc_id": batch.column(0), "cls": [xxhash.xxh3_128_digest(s) for s in tokens], "tokens": tokens}
 
     # of several texts under one id, the class's own
-    own = classes.select(F.col("rep").alias("doc_id"), "cls")
-    sets = staged(map_batches(texts, whole_sets, "doc_id long, cls binary, tokens binary").join(own, ["doc_id", "cls"], "left_semi").dropDuplicates(["doc_id"]))
-    whole = left.join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y")), "b")
+    sets = staged(map_batches(texts, whole_sets, f"doc_id {kind}, cls binary, tokens binary").join(asked, ["doc_id", "cls"]).dropDuplicates(["node"]))
+    whole = left.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
 
     def linked(batch):
         c = {x: batch.column(x).to_pylist() for x in ("a", "b", "x", "y")}
@@ -158,7 +161,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
         return {x: [v for v, k in zip(c[x], ok, strict=True) if k] for x in ("a", "b")}
 
     out = staged(map_batches(whole.select("a", "b", "x", "y"), linked, "a long, b long"))
-    discard(left, sets)
+    discard(left, asked, ids, sets)
     return out
 
 
@@ -171,60 +174,81 @@ SIZES = "5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)"
 PLACES = "9 * least(x.n - x.pos, y.n - y.pos) >= 4 * (x.n + y.n)"
 
 
-def joined(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs``."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def blocked(held: DataFrame, hot: DataFrame, own: str, other: str) -> DataFrame:
+    """Holders of a token with the block each is in (``own``) and, once each, all blocks of the token (``other``)."""
+    rows = held.join(hot, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own_block = F.pmod(F.xxhash64("grp"), "blocks").alias(own)
+    return rows.select(*held.columns, own_block, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias(other))
+
+
+def labelled(docs: DataFrame) -> DataFrame:
+    """doc_id, h, n_shingles, component (null: linked with nothing and no set), component_id of every row of ``docs``."""
+    docs = docs.select("doc_id", "text")
     rows = staged(described(docs))
     sets = rows.where("doc_id is not null and n > 0")
-    classes = staged(sets.groupBy("cls", "grp", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
+    classes = staged(sets.groupBy("cls", "grp", "n").agg(F.min("doc_id").alias("rep")).withColumn("node", F.monotonically_increasing_id()))
     tokens = sets.select("grp", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = tokens.groupBy("token").agg(F.min("grp").alias("g"), F.max("grp").alias("h")).where("g < h").select("token")
     held = staged(tokens.join(shared, "token").distinct())
-    full = sets.join(classes.select("rep", "cls"), (F.col("doc_id") == F.col("rep")) & (sets["cls"] == classes["cls"]), "left_semi")
-    maps = staged(full.dropDuplicates(["doc_id", "cls"]).select(F.col("doc_id").alias("rep"), "cls", "n", "bitmap"))
+    full = sets.select("doc_id", "cls", "n", "bitmap").join(classes.select(F.col("rep").alias("doc_id"), "cls", "node"), ["doc_id", "cls"])
+    maps = staged(full.dropDuplicates(["node"]).select("node", F.col("doc_id").alias("rep"), "cls", "n", "bitmap"))
 
-    member = classes.select("grp", "rep")
-    first = member.groupBy("grp").agg(F.min("rep").alias("first"))
-    hub = held.groupBy("token").agg(F.min(F.struct("pos", "n", "grp")).alias("hub"))
+    member = classes.select("grp", "node")
+    first = member.groupBy("grp").agg(F.min("node").alias("first"))
+    hub = staged(held.groupBy("token").agg(F.min(F.struct("pos", "n", "grp")).alias("hub"), F.count("*").alias("holders")))
     x, y = held.alias("x"), hub.select("token", "hub.*").alias("y")
     stars = x.join(y, "token").where("x.grp <> y.grp").where(SIZES).where(PLACES).select(F.col("x.grp").alias("grp"), F.col("y.grp").alias("hub")).distinct()
     stars = stars.join(first.select(F.col("grp").alias("hub"), F.col("first").alias("h")), "hub").join(first, "grp").select(*ordered("h", "first"))
-    inner = member.join(first, "grp").where("rep <> first").select(*ordered("rep", "first"))
+    inner = member.join(first, "grp").where("node <> first").select(*ordered("node", "first"))
     links = verified(staged(stars.union(inner)), maps, docs)
 
     found = components(links)
-    label = staged(member.join(found, F.col("rep") == F.col("node"), "left").select("grp", "rep", F.coalesce("component", "rep").alias("component")))
+    label = staged(member.join(found, "node", "left").select("grp", "node", F.coalesce("component", "node").alias("component")))
     # one component for the whole group, or null
     of = label.groupBy("grp").agg(F.min("component").alias("low"), F.max("component").alias("high")).select("grp", F.when(F.col("low") == F.col("high"), F.col("low")).alias("one"))
     sided = staged(held.join(of, "grp"))
-    x, y = sided.alias("x"), sided.alias("y")
-    cross = x.join(y, F.expr(f"x.token = y.token and x.grp < y.grp and (x.one is null or y.one is null or x.one <> y.one) and {SIZES} and {PLACES}"))
+    hot = staged(hub.where(F.col("holders") > BLOCK).select("token", F.ceil(F.col("holders") / BLOCK).alias("blocks")))
+    x, y = blocked(sided, hot, "p", "q").alias("x"), blocked(sided, hot, "q", "p").alias("y")
+    cross = x.join(y, F.expr(f"x.token = y.token and x.p = y.p and x.q = y.q and x.grp < y.grp and (x.one is null or y.one is null or x.one <> y.one) and {SIZES} and {PLACES}"))
     cross = cross.select(F.col("x.grp").alias("g"), F.col("y.grp").alias("h")).distinct()
     split = of.where("one is null").select("grp")
     same = label.join(split, "grp", "left_semi")
     p, q = label.alias("p"), label.alias("q")
-    pairs = cross.join(p, F.col("g") == F.col("p.grp")).join(q, F.col("h") == F.col("q.grp")).where("p.component <> q.component").select(F.col("p.rep").alias("r"), F.col("q.rep").alias("s"))
+    pairs = cross.join(p, F.col("g") == F.col("p.grp")).join(q, F.col("h") == F.col("q.grp")).where("p.component <> q.component").select(F.col("p.node").alias("r"), F.col("q.node").alias("s"))
     p, q = same.alias("p"), same.alias("q")
-    within = p.join(q, F.expr("p.grp = q.grp and p.rep < q.rep and p.component <> q.component")).select(F.col("p.rep").alias("r"), F.col("q.rep").alias("s"))
+    within = p.join(q, F.expr("p.grp = q.grp and p.node < q.node and p.component <> q.component")).select(F.col("p.node").alias("r"), F.col("q.node").alias("s"))
     more = verified(staged(pairs.union(within).select(*ordered("r", "s"))), maps, docs)
 
-    final = components(links.union(more))
-    component = classes.join(final, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("component", "rep").alias("component_id"))
-    out = rows.select("doc_id", "n", "cls", F.col("doc_id").isNotNull().alias("known")).join(component, "cls", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("known"), F.col("component_id")).alias("component_id"))
+    linked = staged(classes.select("cls", "rep", "node").join(components(links.union(more)), "node"))
+    least = staged(linked.groupBy("component").agg(F.min("rep").alias("component_id")))
+    of_class = linked.join(least, "component").select("cls", "component", "component_id")
+    of_class = staged(classes.select("cls", "rep", "node").join(of_class, "cls", "left").select("cls", F.coalesce("component", "node").alias("component"), F.coalesce("component_id", "rep").alias("component_id")))
+    out = rows.select("doc_id", "h", "n", "cls", (F.col("doc_id").isNotNull() & (F.col("n") > 0)).alias("known")).join(of_class, "cls", "left")
+    return out.select("doc_id", "h", F.col("n").alias("n_shingles"), F.when(F.col("known"), F.col("component")).alias("component"), F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def joined(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs``."""
+    return labelled(docs).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` less all but the first document (least id) of each component; of rows with one id, one stays."""
-    verdict = joined(docs)
-    gone = verdict.where("doc_id <> component_id").select("doc_id").distinct()
-    gone = staged(gone)
-    few = gone.limit(MAX_IDS + 1).count() <= MAX_IDS
-    left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
-    twice = staged(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    """``docs`` less all but one document of each component: that of the least id and, of several texts under it, the least text hash.
+
+    Rows without a set (no words) or without an id stay; of rows with the same id and text one stays.
+    """
+    verdict = staged(labelled(docs).where("component is not null").select("doc_id", "h", "component"))
+    at = F.struct("doc_id", "h")
+    best = staged(verdict.groupBy("component").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first < last").select("component", "first"))
+    gone = staged(verdict.join(best, "component").where(at != F.col("first")).select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h")).distinct())
+    h = F.xxhash64("text")
+    left = docs.join(sent_if_small(gone), (F.col("doc_id") == F.col("gone_id")) & (h == F.col("gone_h")), "left_anti").select(docs.columns)
+    twice = docs.where("doc_id is not null").groupBy("doc_id", h.alias("twice_h")).count().where("count > 1").select(F.col("doc_id").alias("twice_id"), "twice_h")
+    twice = staged(twice)
     if twice.limit(1).count():
-        again = left.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-        left = left.join(twice, "doc_id", "left_anti").select(docs.columns).union(again)
+        on = (F.col("doc_id") == F.col("twice_id")) & (h == F.col("twice_h"))
+        again = left.join(twice, on, "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
+        left = left.join(twice, on, "left_anti").select(docs.columns).union(again)
     return left
 
 
