@@ -6,7 +6,7 @@ document's normalised text passes once. A match's end, counted in spaces, is a w
 lead back to places in the original text.
 
 The automaton is sent to the workers only while the items hold at most ``MAX_WORDS`` words; beyond that the
-items are dealt into as many shards as that bound needs. Each shard is sent for a pass of its own over the
+items, long ones in pieces, are dealt into as many shards as that bound needs. Each shard is sent for a pass of its own over the
 documents, written before the next one begins, and the hit words of a document are united; no worker and no
 broadcast ever holds more than one shard.
 
@@ -93,11 +93,16 @@ def spans(text: str, hit: list[int]) -> list[tuple[int, int]]:
 
 
 def item_shards(benchmark: DataFrame, max_words: int) -> tuple[DataFrame, int]:
-    """The items with the shard each belongs to, and the number of shards."""
-    items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text")
-    total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    n = -(-total // max_words) or 1
-    return items.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(n))), n
+    """The items in pieces of a tenth of ``max_words`` (with the windows of the item, each once), the shard of each, and the number of shards."""
+    items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.filter(F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda x: x != "")
+    items = items.select(F.col("item_id").cast("string").alias("item_id"), words.alias("words"))
+    n = -(-(items.agg(F.sum(F.size("words"))).first()[0] or 0) // max_words) or 1
+    step = max(1, max_words // 10)
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - WINDOW), F.lit(step))
+    pieces = items.select("item_id", "words", F.explode(starts).alias("start")).select("item_id", "start", F.array_join(F.slice("words", F.col("start") + 1, step + WINDOW - 1), " ").alias("text"))
+    return pieces.withColumn("shard", F.pmod(F.xxhash64("item_id", "start"), F.lit(n))), n
 
 
 def sent(dealt: DataFrame, shard: int):
