@@ -86,6 +86,29 @@ def name_uuid(column, namespace: str):
     return _of(lambda x: str(uuid.uuid5(space, x)))(column)
 
 
-def bundle_hash(raw: bytes, field: str = "bundleContentHash") -> str:
-    """sha256 of a manifest's bytes less one text field; the bytes are not parsed."""
-    return hashlib.sha256(re.sub(rb'"%s"\s*:\s*"[^"]*"\s*,?' % field.encode(), b"", raw, count=1)).hexdigest()
+#: What does not count as a change of a document; the namespaces and the profile of the identities.
+NOT_SIGNIFICANT = (
+    "common:dataSetVersion", "common:dateOfLastRevision", "common:permanentDataSetURI", "common:referenceToPrecedingDataSetVersion", "common:timeStamp",
+)
+MODEL_NAMESPACE = "1f09df9a-9a14-5247-a355-90ce73b521dd"
+RESULT_NAMESPACE = "6d130f3d-ca65-5a6f-a842-4b2f9c2f5461"
+MODEL_PROFILE = "resolved-one-hop-aggregated-background.v1"
+
+
+def result_uuid(process: str, flow: str):
+    """The identity of a process's result: UUIDv5 of the canonical document of both ids in lower case."""
+    return name_uuid(F.to_json(F.struct(F.lower(flow).alias("referenceFlowUuid"), F.lower(process).alias("rootProcessUuid"))), RESULT_NAMESPACE)
+
+
+def model_uuid(process: str, flow: str, schema: str):
+    """The identity of a process's model; ``schema`` names the contract of the identity document."""
+    fields = F.lit(MODEL_PROFILE).alias("modelProfileId"), F.lower(flow).alias("referenceFlowUuid"), F.lower(process).alias("rootProcessUuid"), F.lit(schema).alias("schema")
+    return name_uuid(F.to_json(F.struct(*fields)), MODEL_NAMESPACE)
+
+
+def bundle_hash(raw: bytes) -> str:
+    """sha256 of a manifest's bytes less its one canonical field of the hash itself; the bytes are not parsed."""
+    field = rb'"bundleContentHash":"[0-9a-f]{64}",'
+    if len(re.findall(field, raw)) != 1:
+        raise ValueError("bundle_content_hash_field_invalid")
+    return hashlib.sha256(re.sub(field, b"", raw)).hexdigest()

@@ -21,10 +21,15 @@ def watermark(rows: DataFrame) -> DataFrame:
     return published(rows).agg(F.count("*").alias("published_count"), F.max("modified_at").alias("max_modified_at"))
 
 
-def freshness(cached_count: int | None, cached_max, current: DataFrame) -> DataFrame:
-    """missing, fresh or stale, by comparing a cache's watermark with the current one."""
-    same = (F.col("published_count") == F.lit(cached_count)) & (F.col("max_modified_at") == F.lit(cached_max))
-    return current.withColumn("state", F.lit("missing") if cached_count is None else F.when(same, "fresh").otherwise("stale"))
+def freshness(caches: DataFrame, current: DataFrame) -> DataFrame:
+    """The state of every cache (cached_count, cached_max: its watermark, null without a manifest; expected_sha256, found_sha256) against the current watermark.
+
+    missing without a manifest, invalid if the artifact's hash is not the manifest's, else fresh or stale.
+    """
+    same = F.col("cached_count").eqNullSafe(F.col("published_count")) & F.col("cached_max").eqNullSafe(F.col("max_modified_at"))
+    intact = F.col("expected_sha256").eqNullSafe(F.col("found_sha256"))
+    state = F.when(F.col("cached_count").isNull(), "missing").when(~intact, "invalid").when(same, "fresh").otherwise("stale")
+    return caches.crossJoin(current).withColumn("state", state)  # one row of watermark
 
 
 def bounded_list(rows: DataFrame, order: list, limit: int) -> DataFrame:
@@ -34,16 +39,30 @@ def bounded_list(rows: DataFrame, order: list, limit: int) -> DataFrame:
     return rows.orderBy(*order).limit(limit + 1)
 
 
-def task_state(rows: DataFrame, terminal: tuple[str, ...], failed: tuple[str, ...]) -> DataFrame:
-    """Whether a task has ended and whether its diagnostics should be read."""
-    ended = F.col("worker_status").isin(*terminal)
-    return rows.withColumn("is_terminal", ended).withColumn("diagnostics", F.col("worker_status").isin(*failed) | (ended & (F.col("progress") < 1)))
+#: States of tasks that have ended; those whose diagnostics are worth reading; states of jobs that have ended.
+TERMINAL = ("completed", "failed", "cancelled", "canceled", "blocked", "stale")
+TROUBLED = ("failed", "blocked", "stale")
+JOB_ENDED = ("succeeded", "failed", "cancelled", "interrupted")
+
+
+def task_state(rows: DataFrame) -> DataFrame:
+    """Whether a task has ended; its diagnostics are recommended if it ended badly or its result did not pass or is not valid."""
+    status = F.coalesce(F.nullif(F.trim("worker_status"), F.lit("")), F.lit("unknown"))
+    passed = F.col("domain_status").eqNullSafe(F.lit("passed")) & F.col("domain_validity").eqNullSafe(F.lit("valid"))
+    return rows.withColumn("is_terminal", status.isin(*TERMINAL)).withColumn("diagnostics", status.isin(*TROUBLED) | ((status == "completed") & ~passed))
+
+
+def closure_ready(rows: DataFrame) -> DataFrame:
+    """Whether a closure can be calculated: passed, complete, valid, with a scope and a policy (blank ones count as none)."""
+    given = [F.nullif(F.trim(c), F.lit("")).isNotNull() for c in ("scope_hash", "policy_fingerprint")]
+    state = [F.col(c).eqNullSafe(F.lit(x)) for c, x in (("run_status", "passed"), ("scan_completeness", "complete"), ("certificate_validity", "valid"))]
+    return rows.withColumn("ready", state[0] & state[1] & state[2] & given[0] & given[1])
 
 
-def job_state(state, alive, exit_code):
-    """Reported state set right by what the process did: a running job that is gone has succeeded or failed by its exit code."""
-    gone = state.isin("queued", "running") & ~alive
-    return F.when(~gone, state).when(exit_code.isNull(), "lost").when(exit_code == 0, "succeeded").otherwise("failed")
+def job_state(state, alive, exit_code, has_process):
+    """Reported state set right by what the process did: one that has not ended and whose process is gone has ended by its exit code, or was cancelled or interrupted."""
+    gone = ~state.isin(*JOB_ENDED) & ~alive
+    return F.when(~gone, state).when(exit_code == 0, "succeeded").when(exit_code.isNotNull(), "failed").when(state == "cancelling", "cancelled").when(has_process, "interrupted").otherwise(state)
 
 
 def log_line(line):

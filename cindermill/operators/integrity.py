@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cindermill.functions.canonical import json_hash
+
 
 class Violated(ValueError):
     """Some rows break a rule."""
@@ -21,6 +23,12 @@ def duplicates(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count("*").alias("occurrences")).where("occurrences > 1")
 
 
+def identity_conflicts(rows: DataFrame, key: list[str], content: str) -> DataFrame:
+    """Violations: identities with more than one content."""
+    clash = rows.groupBy(*key).agg(F.min(content).alias("low"), F.max(content).alias("high")).where("low <> high")
+    return clash.select(F.lit("canonical_identity_conflict").alias("code"), F.concat_ws("@", *key).alias("subject"))
+
+
 def last_wins(rows: DataFrame, key: list[str], order: list[str], keep: list[str]) -> DataFrame:
     """Of each key the row that comes last in ``order``; an aggregate, so that no key is gathered in a window."""
     last = F.max_by(F.struct(*keep), F.struct(*order)).alias("last")
@@ -34,13 +42,30 @@ def canonical_merge(rows: DataFrame, key: list[str], content: str, precedence: s
     ).withColumn("conflict", F.col("contents") > 1)
 
 
-def set_hash(rows: DataFrame, group: list[str], path: str, digest: str) -> DataFrame:
-    """Hash of each group's ``path:digest`` lines in order of path, with their number."""
-    lines = F.array_sort(F.collect_list(F.struct(path, digest)))
-    joined = F.array_join(F.transform(lines, lambda x: F.concat_ws(":", x[path], x[digest])), "\n")
-    return rows.groupBy(*group).agg(F.count("*").alias("entries"), F.sha2(joined, 256).alias("set_hash"))
+#: Entries of one set or selection: its hash is over one document, which one task builds.
+MAX_ENTRIES = 1_000_000
+TOO_LARGE = "artifact_set_too_large"
+
+
+def set_hash(rows: DataFrame, group: list[str], order: str, fields: list[str], limit: int = MAX_ENTRIES) -> DataFrame:
+    """Hash of each group's canonical list of entries (``fields`` as texts) in the order of ``order``, and how many.
+
+    A group of more than ``limit`` entries gets the violation's code and no hash; its entries are never gathered.
+    """
+    sizes = rows.groupBy(*group).agg(F.count("*").alias("entries"))
+    small = sizes.where(F.col("entries") <= limit).select(*group)
+    entry = F.struct(*[F.col(c).cast("string").alias(c) for c in sorted(fields)])
+    lists = rows.join(small, group, "left_semi").groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), entry.alias("entry")))).alias("held"))
+    hashes = lists.select(*group, json_hash(F.to_json(F.transform("held", lambda x: x["entry"])), nfc=False).alias("set_hash"))
+    return sizes.join(hashes, group, "left").withColumn("code", F.when(F.col("entries") > limit, TOO_LARGE))
 
 
 def numbered(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
     """1-based numbers inside each group."""
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+
+
+def record_count(text: str):
+    """Records of a file's text, one a line; the last one counts without a line end too."""
+    ends = F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit("")))
+    return (ends + F.when((F.length(text) == 0) | F.endswith(F.col(text), F.lit("\n")), 0).otherwise(1)).cast("long")

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 #: The tolerances of the reconstruction check.
 ABSOLUTE, RELATIVE = 1e-12, 1e-8
-KEY = ("process_index", "flow_id", "direction", "unit")
+KEY = ("process_index", "flow_id", "flow_version", "direction", "unit", "location")
+MISMATCH = "one_hop_reconstruction_mismatch"
+
+
+def normalised(rows: DataFrame) -> DataFrame:
+    """Key columns as they are compared: ids and directions in lower case, no location as an empty one; numbers stay."""
+    texts = {c for c, kind in rows.dtypes if kind == "string"}
+    return rows.withColumns({c: F.lower(c) for c in ("flow_id", "direction") if c in texts} | {"location": F.coalesce("location", F.lit(""))})
 
 
 def inventory_sum(rows: DataFrame, key: tuple[str, ...] = KEY, amount: str = "amount") -> DataFrame:
@@ -18,29 +25,42 @@ def inventory_sum(rows: DataFrame, key: tuple[str, ...] = KEY, amount: str = "am
 def reconstructed(biosphere: DataFrame, edges: DataFrame, lci: DataFrame) -> DataFrame:
     """Direct inventory plus each provider's inventory times the activity required of it."""
     scaled = edges.join(lci, edges.balancing_index == lci.process_index).select(
-        edges.dependent_index.alias("process_index"), lci.flow_id, lci.direction, lci.unit, (edges.activity * lci.amount).alias("amount")
+        edges.dependent_index.alias("process_index"), *[lci[c] for c in KEY[1:]], (edges.activity * lci.amount).alias("amount")
     )
-    return inventory_sum(biosphere.select(*KEY, "amount").unionByName(scaled))
+    return inventory_sum(normalised(biosphere.select(*KEY, "amount").unionByName(scaled)))
 
 
 def compared(observed: DataFrame, expected: DataFrame) -> DataFrame:
     """Full comparison by key (missing: 0), each difference against the scale of its process, direction and unit."""
+    expected = inventory_sum(normalised(expected.select(*KEY, "amount")))
     both = observed.withColumnRenamed("amount", "observed").join(expected.withColumnRenamed("amount", "target"), list(KEY), "full")
     both = both.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("observed", "target")})
     group = Window.partitionBy("process_index", "direction", "unit")
     scale = F.max(F.greatest(F.abs("observed"), F.abs("target"))).over(group)
-    return both.withColumn("difference", F.abs(F.col("observed") - F.col("target"))).withColumn("allowed", F.greatest(F.lit(ABSOLUTE), F.lit(RELATIVE) * scale))
+    both = both.withColumn("difference", F.abs(F.col("observed") - F.col("target"))).withColumn("scale", scale)
+    return both.withColumn("allowed", F.lit(ABSOLUTE) + F.lit(RELATIVE) * F.col("scale"))
 
 
 def evidence(biosphere: DataFrame, edges: DataFrame, lci: DataFrame, expected: DataFrame) -> DataFrame:
-    """One row a process: compared keys, largest difference, failed keys, whether all are within tolerance."""
+    """One row a process: compared keys, provider edges, the four maxima, failed keys, whether all are within tolerance."""
     rows = compared(reconstructed(biosphere, edges, lci), expected)
-    return rows.groupBy("process_index").agg(
-        F.count("*").alias("compared_keys"), F.max("difference").alias("max_difference"), F.count_if(F.col("difference") > F.col("allowed")).alias("failed_keys")
-    ).withColumn("passed", F.col("failed_keys") == 0)
+    relative = F.when(F.col("scale") > 0, F.col("difference") / F.col("scale")).otherwise(0.0)
+    checks = rows.groupBy("process_index").agg(
+        F.count("*").alias("flow_count"), F.max(F.col("difference").cast("double")).alias("max_absolute_difference"), F.max("allowed").alias("max_allowed_difference"),
+        F.max(relative).alias("max_relative_difference"), F.max(F.col("difference") / F.col("allowed")).alias("max_tolerance_ratio"), F.count_if(F.col("difference") > F.col("allowed")).alias("failed_keys"),
+    )
+    providers = edges.groupBy(F.col("dependent_index").alias("process_index")).agg(F.count("*").alias("edges"))
+    out = checks.join(providers, "process_index", "left").withColumn("provider_edge_count", F.coalesce("edges", F.lit(0))).drop("edges")
+    return out.withColumn("passed", F.col("failed_keys") == 0)
+
+
+def mismatches(biosphere: DataFrame, edges: DataFrame, lci: DataFrame, expected: DataFrame) -> DataFrame:
+    """Violations: the keys whose difference is beyond what is allowed."""
+    rows = compared(reconstructed(biosphere, edges, lci), expected).where("difference > allowed")
+    return rows.select(F.lit(MISMATCH).alias("code"), F.concat_ws("|", *[F.col(c).cast("string") for c in KEY]).alias("subject"))
 
 
 def weighted_combination(weights: DataFrame, lci: DataFrame) -> DataFrame:
     """Sum of weight times amount by target and inventory key."""
     joined = weights.join(lci, "process_index")
-    return joined.groupBy("target", "flow_id", "direction", "unit").agg(F.sum(F.col("weight") * F.col("amount")).alias("amount"))
+    return joined.groupBy("target", *KEY[1:]).agg(F.sum(F.col("weight") * F.col("amount")).alias("amount"))

@@ -20,6 +20,19 @@ def required_axes(roots: DataFrame, edges: DataFrame) -> DataFrame:
     return roots.select("process_index").union(providers).distinct()
 
 
+#: Routes: with models, the selected processes result from their providers; without, they stand alone.
+ROUTES = {"lifecycle-model": "resulting", "result-process": "primary"}
+
+
+def roles(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """process_index, route, role: selected processes are resulting or primary by the route; direct providers (with models only) are dependencies."""
+    roots = roots.select("process_index").distinct()
+    model, alone = ROUTES
+    providers = required_axes(roots, edges).join(roots, "process_index", "left_anti")
+    own = roots.select("process_index", F.explode(F.create_map(*[F.lit(x) for kv in ROUTES.items() for x in kv])).alias("route", "role"))
+    return own.union(providers.select("process_index", F.lit(model), F.lit("dependency")))
+
+
 def missing(wanted: DataFrame, present: DataFrame, key: list[str]) -> DataFrame:
     """Keys of ``wanted`` that ``present`` lacks."""
     return wanted.select(*key).distinct().join(present.select(*key), key, "left_anti")
@@ -57,3 +70,14 @@ def valid_version(c):
 def safe_path(c):
     """Relative, no backslash, no empty, ``.`` or ``..`` segment."""
     return ~c.startswith("/") & ~c.contains("\\") & ~F.exists(F.split(c, "/"), lambda x: x.isin("", ".", ".."))
+
+
+def elementary_flow(document: str):
+    """Whether a document says that its dataset is an elementary flow; what is no JSON says nothing."""
+    kind = F.get_json_object(document, "$.flowDataSet.modellingAndValidation.LCIMethod.typeOfDataSet")
+    return kind.eqNullSafe(F.lit("Elementary flow"))
+
+
+def suffixed(names, suffix: str):
+    """Names (lang, text) of which the English ones end in a dash and ``suffix``."""
+    return F.transform(names, lambda n: F.struct(n["lang"].alias("lang"), F.when(n["lang"] == "en", F.concat(n["text"], F.lit(f" — {suffix}"))).otherwise(n["text"]).alias("text")))

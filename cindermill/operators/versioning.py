@@ -2,52 +2,77 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Major versions have two digits.
-LAST_MAJOR = 99
+#: The parts of a version have two digits.
+LAST_MAJOR, LAST_MINOR = 99, 99
+FIRST = "01.00.000"
+
+
+def source_key(source: str = "root_id", version: str = "root_version") -> Column:
+    """What tells the source variants of a lineage apart."""
+    return F.concat_ws("@", F.lower(source), version)
+
+
+def bumped(version: Column, part: str) -> Column:
+    """The next major or minor version; null where two digits don't hold it."""
+    major, minor = (F.split(version, r"\.")[i].cast("int") for i in range(2))
+    next_major, next_minor = (major + 1, F.lit(0)) if part == "major" else (major, minor + 1)
+    fits = (next_major <= LAST_MAJOR) & (next_minor <= LAST_MINOR)
+    return F.when(fits, F.format_string("%02d.%02d.000", next_major, next_minor))
 
 
 def resolved(drafts: DataFrame, previous: DataFrame) -> DataFrame:
-    """The version and change of every draft: initial, reuse, minor or major, by which hashes changed."""
-    old = previous.select("root_id", "root_version", F.col("version").alias("old"), *[F.col(c).alias(f"old_{c}") for c in ("semantic_hash", "significant_hash", "content_hash")])
-    rows = drafts.join(old, ["root_id", "root_version"], "left")
-    same = {c: F.col(c) == F.col(f"old_{c}") for c in ("semantic_hash", "significant_hash", "content_hash")}
-    change = F.when(F.col("old").isNull(), "initial").when(~same["semantic_hash"], "major").when(~same["significant_hash"], "major").when(~same["content_hash"], "minor").otherwise("reuse")
+    """The version and change of every draft: without a previous one initial, else major, minor or reuse by the first hash that differs.
+
+    The content hash plays no part. A version that cannot be bumped is null (see ``overflows``).
+    """
+    hashes = ("semantic_hash", "significant_hash")
+    old = previous.select(F.lower("root_id").alias("old_id"), F.col("root_version").alias("old_version"), F.col("version").alias("old"), *[F.col(c).alias(f"old_{c}") for c in hashes])
+    rows = drafts.join(old, (F.lower("root_id") == F.col("old_id")) & (F.col("root_version") == F.col("old_version")), "left")
+    changed = {c: F.col(c) != F.col(f"old_{c}") for c in hashes}
+    change = F.when(F.col("old").isNull(), "initial").when(changed["semantic_hash"], "major").when(changed["significant_hash"], "minor").otherwise("reuse")
     rows = rows.withColumn("change", change)
-    part = [F.split("old", r"\.")[i].cast("int") for i in range(3)]
-    major = F.concat(F.lpad((part[0] + 1).cast("string"), 2, "0"), F.lit(".00.000"))
-    minor = F.concat(F.lpad(part[0].cast("string"), 2, "0"), F.lit("."), F.lpad((part[1] + 1).cast("string"), 2, "0"), F.lit(".000"))
-    version = F.when(F.col("change") == "initial", "01.00.000").when(F.col("change") == "major", major).when(F.col("change") == "minor", minor).otherwise(F.col("old"))
+    old_version, kind = F.col("old"), F.col("change")
+    version = F.when(kind == "initial", FIRST).when(kind == "major", bumped(old_version, "major")).when(kind == "minor", bumped(old_version, "minor")).otherwise(old_version)
     return rows.select("process_index", "lineage", "root_id", "root_version", F.col("old").alias("previous_version"), version.alias("version"), "change")
 
 
-def allocated(rows: DataFrame) -> DataFrame:
-    """Distinct versions inside each lineage: in order of the source, a version already taken moves to the next free major.
+def overflows(rows: DataFrame) -> DataFrame:
+    """Violations: drafts that got no version."""
+    return rows.where("version is null").select(F.lit("dataset_version_overflow").alias("code"), F.col("process_index").cast("string").alias("subject"))
 
-    ``rows`` as given by ``resolved``. A lineage has at most LAST_MAJOR free versions; one group fits a task.
+
+def content_collisions(rows: DataFrame, previous: DataFrame) -> DataFrame:
+    """Violations: the same identity and version with another content. ``rows`` and ``previous``: root_id, root_version, version, content_hash."""
+    key = ["root_id", "root_version", "version"]
+    old = previous.select(*key, F.col("content_hash").alias("old_content"))
+    clash = rows.join(old, key).where("content_hash <> old_content")
+    return clash.select(F.lit("dataset_identity_content_conflict").alias("code"), F.concat_ws("@", "root_id", "root_version").alias("subject"))
+
+
+def allocated(rows: DataFrame, previous: DataFrame) -> DataFrame:
+    """Distinct versions inside each lineage, given in the order of the sources; a version that another source holds becomes the next free major.
+
+    ``rows`` as given by ``resolved``; ``previous`` (lineage, root_id, root_version, version): every version that the lineage has
+    ever used is held, also those of sources that have left. A lineage has at most LAST_MAJOR free versions, so it fits a row.
     """
+    held = previous.groupBy("lineage").agg(F.collect_set(F.struct("version", source_key().alias("owner"))).alias("held"))
+    draft = F.struct(F.lower("root_id").alias("root_id"), "root_version", "process_index", source_key().alias("owner"), "version", "change", F.col("previous_version").isNotNull().alias("known"))
+    lineages = rows.groupBy("lineage").agg(F.array_sort(F.collect_list(draft)).alias("drafts")).join(held, "lineage", "left")
+    taken_type, out_type = "array<struct<version:string,owner:string>>", "array<struct<process_index:bigint,version:string,change:string>>"
+    start = F.struct(F.coalesce("held", F.array().cast(taken_type)).alias("held"), F.array().cast(out_type).alias("out"))
+
+    def place(state: Column, d: Column) -> Column:
+        lost = F.exists(state["held"], lambda h: (h["version"] == d["version"]) & (h["owner"] != d["owner"]))
+        names = F.transform(F.sequence(F.substring(d["version"], 1, 2).cast("int"), F.lit(LAST_MAJOR)), lambda m: F.format_string("%02d.00.000", m))
+        free = F.get(F.array_except(names, F.transform(state["held"], lambda h: h["version"])), F.lit(0))
+        version = F.when(lost, free).otherwise(d["version"])
+        change = F.when(lost, F.when(d["known"], "major").otherwise("initial")).otherwise(d["change"])
+        mine = F.array_compact(F.array(F.when(version.isNotNull(), F.struct(version.alias("version"), d["owner"].alias("owner")))))
+        out = F.struct(d["process_index"].cast("bigint").alias("process_index"), version.alias("version"), change.alias("change"))
+        return F.struct(F.array_union(state["held"], mine).cast(taken_type).alias("held"), F.array_append(state["out"], out).cast(out_type).alias("out"))
 
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        taken: set[str] = set(group["previous_version"].dropna())
-        owner = dict(zip(group["previous_version"], group["process_index"], strict=True))
-        group = group.sort_values(["root_id", "root_version", "process_index"])
-        versions, changes = [], []
-        for r in group.itertuples():
-            version, change = r.version, r.change
-            if version in taken and owner.get(version) != r.process_index:
-                major = int(version[:2])
-                while f"{major:02d}.00.000" in taken:
-                    major += 1
-                version = f"{major:02d}.00.000" if major <= LAST_MAJOR else None
-                change = "major" if r.previous_version is not None and r.previous_version == r.previous_version else "initial"
-            if version:
-                taken.add(version)
-                owner[version] = r.process_index
-            versions.append(version)
-            changes.append(change)
-        return group[["process_index", "lineage"]].assign(version=versions, change=changes)
-
-    return rows.groupBy("lineage").applyInPandas(one, "process_index long, lineage string, version string, change string")
+    done = lineages.select("lineage", F.explode(F.aggregate("drafts", start, place, lambda s: s["out"])).alias("d"))
+    return done.select("d.process_index", "lineage", "d.version", "d.change")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cindermill.functions.canonical import json_hash
+from cindermill.functions.canonical import NOT_SIGNIFICANT, json_hash
+from cindermill.functions.methods import METHODS, methods
 from cindermill.operators import control, integrity, inventory, selection, versioning
 from cindermill.plans.views import Views, with_views
 
@@ -21,25 +22,25 @@ def query(sql: str | None = None):
     return add
 
 
-SUM = "CAST(sum({}) AS BIGINT)"
-
-
 @query("""
-WITH x AS (SELECT process_index, flow_id, direction, unit, coalesce(o.amount, 0) AS o, coalesce(t.amount, 0) AS t
-           FROM exact_lci o FULL JOIN expected_lci t USING (process_index, flow_id, direction, unit)),
-y AS (SELECT *, abs(o - t) AS d, greatest(1e-12, 1e-8 * max(greatest(abs(o), abs(t))) OVER (PARTITION BY process_index, direction, unit)) AS allowed FROM x)
-SELECT process_index, count(*) AS compared_keys, CAST(max(d) AS BIGINT) AS max_difference, count(*) FILTER (d > allowed) AS failed_keys, count(*) FILTER (d > allowed) = 0 AS passed
-FROM y GROUP BY process_index""")
+WITH t AS (SELECT process_index, flow_id, flow_version, lower(direction) AS direction, unit, coalesce(location, '') AS location, sum(amount) AS amount FROM expected_lci GROUP BY ALL),
+x AS (SELECT process_index, direction, unit, coalesce(o.amount, 0) AS o, coalesce(t.amount, 0) AS t
+      FROM exact_lci o FULL JOIN t USING (process_index, flow_id, flow_version, direction, unit, location)),
+y AS (SELECT *, abs(o - t) AS d, max(greatest(abs(o), abs(t))) OVER (PARTITION BY process_index, direction, unit) AS scale FROM x),
+z AS (SELECT *, 1e-12::DOUBLE + 1e-8::DOUBLE * scale AS allowed FROM y)
+SELECT process_index, count(*) AS flow_count, max(d) AS max_absolute_difference, max(allowed) AS max_allowed_difference, max(CASE WHEN scale > 0 THEN d / scale ELSE 0 END) AS max_relative_difference,
+       max(d / allowed) AS max_tolerance_ratio, count(*) FILTER (d > allowed) AS failed_keys, coalesce(any_value(edges), 0) AS provider_edge_count, count(*) FILTER (d > allowed) = 0 AS passed
+FROM z LEFT JOIN (SELECT dependent_index AS process_index, count(*) AS edges FROM technosphere_edges GROUP BY 1) e USING (process_index) GROUP BY process_index""")
 def one_hop_reconstruction(v):
     return inventory.evidence(v.biosphere, v.technosphere_edges, v.provider_lci, v.expected_lci)
 
 
-@query("SELECT flow_id, direction, unit, CAST(sum(amount) AS BIGINT) AS amount FROM inventory GROUP BY ALL")
+@query("SELECT flow_id, flow_version, lower(direction) AS direction, unit, coalesce(location, '') AS location, CAST(sum(amount) AS BIGINT) AS amount FROM inventory GROUP BY ALL")
 def inventory_sum(v):
-    return inventory.inventory_sum(v.inventory, ("flow_id", "direction", "unit"))
+    return inventory.inventory_sum(inventory.normalised(v.inventory), inventory.KEY[1:])
 
 
-@query("SELECT w.target, flow_id, direction, unit, CAST(sum(weight * amount) AS BIGINT) AS amount FROM weights w JOIN inventory USING (process_index) GROUP BY ALL")
+@query("SELECT w.target, flow_id, flow_version, direction, unit, location, CAST(sum(weight * amount) AS BIGINT) AS amount FROM weights w JOIN inventory USING (process_index) GROUP BY ALL")
 def weighted_combination(v):
     return inventory.weighted_combination(v.weights, v.inventory)
 
@@ -61,17 +62,24 @@ def axis_source(v):
     return v.process_axis.join(sources, "process_index", "left").select("process_index", F.coalesce("found", F.lit(False)).alias("has_source"), "root_version")
 
 
-ROOTS = "SELECT process_index FROM process_axis WHERE process_index % 10 = 0"
+#: The selected processes: all those that are inputs (they depend on others).
+SELECTED = "direction = 'Input'"
+ROOTS = f"SELECT process_index FROM process_axis WHERE {SELECTED}"
+REQUIRED = f"SELECT process_index FROM ({ROOTS}) UNION SELECT balancing_index FROM technosphere_edges WHERE dependent_index IN ({ROOTS})"
+
+
+def roots(v):
+    return v.process_axis.where(SELECTED)
 
 
-@query(f"SELECT process_index FROM ({ROOTS}) UNION SELECT balancing_index FROM technosphere_edges WHERE dependent_index % 10 = 0")
+@query(REQUIRED)
 def required_axes(v):
-    return selection.required_axes(v.process_axis.where("process_index % 10 = 0"), v.technosphere_edges)
+    return selection.required_axes(roots(v), v.technosphere_edges)
 
 
 @query(f"SELECT process_index FROM ({ROOTS}) EXCEPT SELECT dependent_index FROM technosphere_edges")
 def selection_subset(v):
-    return selection.missing(v.process_axis.where("process_index % 10 = 0"), v.technosphere_edges.withColumnRenamed("dependent_index", "process_index"), ["process_index"])
+    return selection.missing(roots(v), v.technosphere_edges.withColumnRenamed("dependent_index", "process_index"), ["process_index"])
 
 
 @query("SELECT DISTINCT flow_id FROM inventory WHERE flow_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)")
@@ -122,11 +130,12 @@ def path_safety(v):
 
 
 @query("""
-SELECT process_index, CAST(row_number() OVER (PARTITION BY process_index ORDER BY flow_id, direction, unit) AS INTEGER) AS exchange_id, flow_id, direction, unit, amount
+SELECT process_index, CAST(row_number() OVER (PARTITION BY process_index ORDER BY flow_id, flow_version, direction, unit, coalesce(location, '')) AS INTEGER) AS exchange_id, flow_id, flow_version, direction, unit, location, amount
 FROM inventory WHERE NOT (flow_id = process_index % 97 AND direction = 'F')""")
 def inventory_exchanges(v):
     rows = v.inventory.where("not (flow_id = process_index % 97 and direction = 'F')")
-    return integrity.numbered(rows, ["process_index"], ["flow_id", "direction", "unit"], "exchange_id").select("process_index", "exchange_id", "flow_id", "direction", "unit", "amount")
+    order = ["flow_id", "flow_version", "direction", "unit", F.coalesce("location", F.lit(""))]
+    return integrity.numbered(rows, ["process_index"], order, "exchange_id").select("process_index", "exchange_id", *inventory.KEY[1:], "amount")
 
 
 @query("SELECT process_index, lower(flow_id) AS flow_id, concat('../flows/', lower(flow_id), '_', root_version, '.xml') AS uri, raw_amount AS mean_amount FROM process_axis")
@@ -149,24 +158,19 @@ def process_instances(v):
     return providers.unionByName(roots)
 
 
-ROLE = "CASE WHEN process_index % 10 = 0 THEN 'primary' WHEN d.k IS NOT NULL THEN 'resulting' ELSE 'dependency' END"
-ROLES = f"SELECT process_index, {ROLE} AS role FROM process_axis a LEFT JOIN (SELECT DISTINCT dependent_index AS k FROM technosphere_edges) d ON a.process_index = d.k"
-
-
-def roles(v):
-    dependents = v.technosphere_edges.select(F.col("dependent_index").alias("process_index"), F.lit(True).alias("is_dependent")).distinct()
-    role = F.when(F.col("process_index") % 10 == 0, "primary").when(F.col("is_dependent"), "resulting").otherwise("dependency")
-    return v.process_axis.join(dependents, "process_index", "left").select("process_index", role.alias("role"))
+ROLES = f"""SELECT process_index, 'lifecycle-model' AS route, CASE WHEN {SELECTED} THEN 'resulting' ELSE 'dependency' END AS role FROM ({REQUIRED}) JOIN process_axis USING (process_index)
+UNION ALL SELECT process_index, 'result-process', 'primary' FROM ({ROOTS})"""
 
 
 @query(ROLES)
 def materialization_role(v):
-    return roles(v)
+    return selection.roles(roots(v), v.technosphere_edges)
 
 
-@query(f"SELECT count(*) FILTER (role = 'primary') AS n_primary, count(*) FILTER (role = 'resulting') AS n_resulting, count(*) FILTER (role = 'dependency') AS n_dependency FROM ({ROLES})")
+@query(f"SELECT route, count(*) FILTER (role = 'primary') AS n_primary, count(*) FILTER (role = 'resulting') AS n_resulting, count(*) FILTER (role = 'dependency') AS n_dependency FROM ({ROLES}) GROUP BY 1")
 def role_summary(v):
-    return roles(v).agg(*[F.count_if(F.col("role") == r).alias(f"n_{r}") for r in ("primary", "resulting", "dependency")])
+    rows = selection.roles(roots(v), v.technosphere_edges)
+    return rows.groupBy("route").agg(*[F.count_if(F.col("role") == r).alias(f"n_{r}") for r in ("primary", "resulting", "dependency")])
 
 
 @query("SELECT dataset, count(*) AS occurrences FROM artifacts GROUP BY 1 HAVING count(*) > 1")
@@ -189,16 +193,21 @@ def missing_references(v):
     return selection.missing(v.orders.select(F.col("o_custkey").alias("id")), v.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("id")), ["id"])
 
 
-@query("SELECT e.dependent_index, e.exchange_id FROM technosphere_edges e WHERE NOT EXISTS (SELECT 1 FROM inventory i WHERE i.process_index = e.dependent_index AND i.flow_id = e.flow_id)")
+@query("SELECT o_orderkey AS document, 1 + o_orderkey % 5 AS reference FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linenumber = 1 + o_orderkey % 5)")
 def internal_references(v):
-    own = v.inventory.select(F.col("process_index").alias("dependent_index"), "flow_id")
-    return v.technosphere_edges.join(own, ["dependent_index", "flow_id"], "left_anti").select("dependent_index", "exchange_id")
+    """Documents (orders) whose quantitative reference names none of their own exchanges (lines)."""
+    wanted = v.orders.select(F.col("o_orderkey").alias("document"), (1 + F.col("o_orderkey") % 5).alias("reference"))
+    return selection.missing(wanted, v.lineitem.select(F.col("l_orderkey").alias("document"), F.col("l_linenumber").cast("long").alias("reference")), ["document", "reference"])
 
 
 @query("""
-SELECT kind, count(*) AS expected, count(*) FILTER (byte_size > 400) AS found, count(*) <> count(*) FILTER (byte_size > 400) AS drift FROM artifacts GROUP BY 1""")
+WITH r AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 1 ELSE len(string_split(text, chr(10))) END AS expected,
+                  len(text) - len(replace(text, chr(10), '')) + CASE WHEN text = '' OR suffix(text, chr(10)) THEN 0 ELSE 1 END AS found FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CAST(expected AS BIGINT) AS expected, CAST(found AS BIGINT) AS found, expected <> found AS drift FROM r""")
 def record_count(v):
-    rows = v.artifacts.groupBy("kind").agg(F.count("*").alias("expected"), F.count_if(F.col("byte_size") > 400).alias("found"))
+    """Lines of each file's text, the last one with or without its end, against the number that is expected."""
+    expected = F.when(F.col("doc_id") % 9 == 0, F.lit(1)).otherwise(F.size(F.split("text", "\n", -1)))
+    rows = v.documents.where("text is not null").select("doc_id", expected.cast("long").alias("expected"), integrity.record_count("text").alias("found"))
     return rows.withColumn("drift", F.col("expected") != F.col("found"))
 
 
@@ -207,21 +216,27 @@ def artifact_by_kind(v):
     return v.artifacts.where("kind = 'de'").select("doc_id", "path", "byte_size")
 
 
-@query("SELECT kind, count(*) AS entries, sha256(string_agg(concat(path, ':', sha256), chr(10) ORDER BY path, sha256)) AS set_hash FROM artifacts GROUP BY 1")
+@query("""
+SELECT kind, count(*) AS entries, CAST(NULL AS STRING) AS code,
+       sha256(concat('[', string_agg(concat('{"datasetType":"process","path":"', path, '","sha256":"', sha256, '","uuid":"', dataset, '","version":"01.00.000"}'), ',' ORDER BY path), ']')) AS set_hash
+FROM artifacts GROUP BY 1""")
 def artifact_set_hash(v):
-    return integrity.set_hash(v.artifacts, ["kind"], "path", "sha256")
+    entries = v.artifacts.withColumns({"datasetType": F.lit("process"), "version": F.lit("01.00.000"), "uuid": F.col("dataset")})
+    return integrity.set_hash(entries, ["kind"], "path", ["datasetType", "uuid", "version", "path", "sha256"])
+
 
+#: A document of a process as JSON text: nulls, nested keys that do not count, an amount whose text is not canonical.
+DOCUMENT = """concat('{"common:timeStamp":null,"info":{"common:dataSetVersion":"', root_version, '","id":"', root_id, '","note":null},"exchanges":[{"amount":', CAST(CAST(raw_amount AS BIGINT) AS STRING), '.50,"direction":"', direction, '"}]}')"""
 
-@query("""SELECT process_index, sha256(concat('{"direction":"', direction, '","id":"', root_id, '","version":"', root_version, '"}')) AS semantic_hash FROM process_axis""")
+
+@query("""SELECT process_index, sha256(concat('{"common:timeStamp":null,"exchanges":[{"amount":', CAST(CAST(raw_amount AS BIGINT) AS STRING), '.5,"direction":"', direction, '"}],"info":{"common:dataSetVersion":"', root_version, '","id":"', root_id, '","note":null}}')) AS semantic_hash FROM process_axis""")
 def semantic_hash(v):
-    document = F.to_json(F.struct(F.col("root_id").alias("id"), F.col("root_version").alias("version"), "direction"))
-    return v.process_axis.select("process_index", json_hash(document).alias("semantic_hash"))
+    return v.process_axis.select("process_index", json_hash(F.expr(DOCUMENT)).alias("semantic_hash"))
 
 
-@query("""SELECT process_index, sha256(concat('{"direction":"', direction, '","id":"', root_id, '"}')) AS significant_hash FROM process_axis""")
+@query("""SELECT process_index, sha256(concat('{"exchanges":[{"amount":', CAST(CAST(raw_amount AS BIGINT) AS STRING), '.5,"direction":"', direction, '"}],"info":{"id":"', root_id, '","note":null}}')) AS significant_hash FROM process_axis""")
 def significant_hash(v):
-    document = F.to_json(F.struct(F.col("root_id").alias("id"), F.col("root_version").alias("version"), "direction"))
-    return v.process_axis.select("process_index", json_hash(document, without=("version",)).alias("significant_hash"))
+    return v.process_axis.select("process_index", json_hash(F.expr(DOCUMENT), without=NOT_SIGNIFICANT).alias("significant_hash"))
 
 
 @query("SELECT kind, count(*) AS dataset_count, CAST(sum(byte_size) AS BIGINT) AS byte_size, min(path) AS first_path, max(path) AS last_path FROM artifacts GROUP BY 1")
@@ -229,17 +244,20 @@ def dataset_index(v):
     return v.artifacts.groupBy("kind").agg(F.count("*").alias("dataset_count"), F.sum("byte_size").alias("byte_size"), F.min("path").alias("first_path"), F.max("path").alias("last_path"))
 
 
-@query("SELECT sha256(string_agg(concat(root_id, '@', root_version), ',' ORDER BY concat(root_id, '@', root_version))) AS selection_key, count(*) AS n FROM process_axis WHERE process_index % 10 = 0")
+@query(f"""
+SELECT count(*) AS entries, CAST(NULL AS STRING) AS code, 'explicit' AS mode,
+       sha256(concat('[', string_agg(concat('{{"process":"', lower(root_id), '@', root_version, '"}}'), ',' ORDER BY concat(lower(root_id), '@', root_version)), ']')) AS set_hash FROM process_axis WHERE {SELECTED}""")
 def selection_key(v):
-    key = F.concat_ws("@", "root_id", "root_version")
-    return v.process_axis.where("process_index % 10 = 0").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(key)), ","), 256).alias("selection_key"), F.count("*").alias("n"))
+    """The hash of the canonical list of the selected processes, each by id and version, in the order of these."""
+    key = F.concat_ws("@", F.lower("root_id"), "root_version")
+    return integrity.set_hash(roots(v).select(F.lit("explicit").alias("mode"), key.alias("process")), ["mode"], "process", ["process"])
 
 
 RESOLVED = """
 SELECT d.process_index, d.lineage, d.root_id, d.root_version, p.version AS previous_version,
-       CASE WHEN p.version IS NULL THEN '01.00.000' WHEN d.semantic_hash <> p.semantic_hash OR d.significant_hash <> p.significant_hash THEN concat(lpad(CAST(CAST(left(p.version, 2) AS INT) + 1 AS STRING), 2, '0'), '.00.000')
-            WHEN d.content_hash <> p.content_hash THEN concat(left(p.version, 2), '.', lpad(CAST(CAST(substr(p.version, 4, 2) AS INT) + 1 AS STRING), 2, '0'), '.000') ELSE p.version END AS version,
-       CASE WHEN p.version IS NULL THEN 'initial' WHEN d.semantic_hash <> p.semantic_hash OR d.significant_hash <> p.significant_hash THEN 'major' WHEN d.content_hash <> p.content_hash THEN 'minor' ELSE 'reuse' END AS change
+       CASE WHEN p.version IS NULL THEN '01.00.000' WHEN d.semantic_hash <> p.semantic_hash THEN CASE WHEN left(p.version, 2) <> '99' THEN concat(lpad(CAST(CAST(left(p.version, 2) AS INT) + 1 AS STRING), 2, '0'), '.00.000') END
+            WHEN d.significant_hash <> p.significant_hash THEN CASE WHEN substr(p.version, 4, 2) <> '99' THEN concat(left(p.version, 2), '.', lpad(CAST(CAST(substr(p.version, 4, 2) AS INT) + 1 AS STRING), 2, '0'), '.000') END ELSE p.version END AS version,
+       CASE WHEN p.version IS NULL THEN 'initial' WHEN d.semantic_hash <> p.semantic_hash THEN 'major' WHEN d.significant_hash <> p.significant_hash THEN 'minor' ELSE 'reuse' END AS change
 FROM drafts d LEFT JOIN previous p USING (root_id, root_version)"""
 
 
@@ -248,14 +266,32 @@ def version_resolution(v):
     return versioning.resolved(v.drafts, v.previous)
 
 
-@query("""SELECT process_index, lineage, concat(lpad(CAST(row_number() OVER (PARTITION BY lineage ORDER BY root_id, root_version) AS STRING), 2, '0'), '.00.000') AS version, 'initial' AS change FROM drafts""")
+@query("""SELECT process_index, lineage, concat(lpad(CAST(row_number() OVER (PARTITION BY lineage ORDER BY lower(root_id), root_version) AS STRING), 2, '0'), '.00.000') AS version, 'initial' AS change FROM drafts""")
 def version_allocation(v):
-    return versioning.allocated(versioning.resolved(v.drafts, v.previous.where("false")))
-
-
-@query(None)
+    """The first release of all: no source has a version yet."""
+    none = v.previous.limit(0)
+    return versioning.allocated(versioning.resolved(v.drafts, none), none)
+
+
+@query(f"""
+WITH RECURSIVE r AS MATERIALIZED (
+  SELECT *, concat(lower(root_id), '@', root_version) AS owner, row_number() OVER (PARTITION BY lineage ORDER BY lower(root_id), root_version) AS k FROM ({RESOLVED}) WHERE process_index % 13 <> 0
+), h AS (SELECT lineage, list(version) AS versions, list(concat(lower(root_id), '@', root_version)) AS owners FROM (SELECT DISTINCT lineage, version, root_id, root_version FROM previous) GROUP BY 1),
+s AS (
+  SELECT lineage, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS process_index, CAST(NULL AS STRING) AS version, CAST(NULL AS STRING) AS change, coalesce(versions, []) AS versions, coalesce(owners, []) AS owners
+  FROM (SELECT DISTINCT lineage FROM r) LEFT JOIN h USING (lineage)
+  UNION ALL
+  SELECT lineage, k, process_index, v, CASE WHEN lost THEN CASE WHEN previous_version IS NULL THEN 'initial' ELSE 'major' END ELSE change END,
+         CASE WHEN v IS NULL THEN versions ELSE list_append(versions, v) END, CASE WHEN v IS NULL THEN owners ELSE list_append(owners, owner) END
+  FROM (
+    SELECT *, CASE WHEN lost THEN list_filter([concat(lpad(CAST(m AS STRING), 2, '0'), '.00.000') FOR m IN range(CAST(left(version, 2) AS INT), 100)], lambda x: NOT list_contains(versions, x))[1] ELSE version END AS v
+    FROM (SELECT r.*, s.versions, s.owners, len(list_filter(list_zip(s.versions, s.owners), lambda x: x[1] = r.version AND x[2] <> r.owner)) > 0 AS lost FROM s JOIN r ON r.lineage = s.lineage AND r.k = s.k + 1)
+  )
+)
+SELECT process_index, lineage, version, change FROM s WHERE k > 0""")
 def version_allocation_next_release(v):
-    return versioning.allocated(versioning.resolved(v.drafts, v.previous))
+    """A later release; the sources of one thirteenth have left, but what they hold stays held."""
+    return versioning.allocated(versioning.resolved(v.drafts.where("process_index % 13 <> 0"), v.previous), v.previous)
 
 
 @query(f"SELECT change, count(*) AS n FROM ({RESOLVED}) GROUP BY 1")
@@ -276,10 +312,14 @@ def reference_counts(v):
     return v.orders.agg(F.count("*").alias("occurrences"), F.countDistinct("o_custkey").alias("distinct_references"), F.countDistinct("o_orderpriority").alias("methods"))
 
 
-@query("SELECT job_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM tasks WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) > 50")
+@query("""SELECT o_orderkey AS id FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 4 <> 0""")
 def json_path_filter(v):
-    k = F.get_json_object("props", "$.k").cast("long")
-    return v.tasks.select("job_id", k.alias("k")).where("k > 50")
+    """Datasets whose document says that they are elementary flows; some documents lack the path, some are no JSON."""
+    kind = F.when(F.col("o_orderpriority") == "1-URGENT", "Elementary flow").otherwise("Product flow")
+    document = F.concat(F.lit('{"flowDataSet":{"modellingAndValidation":{"LCIMethod":{"typeOfDataSet":"'), kind, F.lit('"}}}}'))
+    key = F.col("o_orderkey")
+    document = F.when(key % 8 == 0, F.lit('{"flowDataSet":[]}')).when(key % 8 == 4, F.lit("Elementary flow")).otherwise(document)
+    return v.orders.select(key.alias("id"), document.alias("document")).where(selection.elementary_flow("document")).select("id")
 
 
 @query("SELECT id, lower(uuid) AS uuid, trim(version) AS version, modified_at FROM published_flows WHERE state_code BETWEEN 100 AND 199")
@@ -292,16 +332,24 @@ def snapshot_watermark(v):
     return control.watermark(v.published_flows)
 
 
-@query("SELECT count(*) AS published_count, max(modified_at) AS max_modified_at, 'stale' AS state FROM published_flows WHERE state_code BETWEEN 100 AND 199")
+@query("""
+WITH w AS (SELECT count(*) AS published_count, max(modified_at) AS max_modified_at FROM published_flows WHERE state_code BETWEEN 100 AND 199)
+SELECT unnest(['missing', 'invalid', 'fresh', 'stale', 'stale']) AS state, unnest(['none', 'other', 'same', 'fewer', 'older']) AS cache, published_count, max_modified_at FROM w""")
 def cache_freshness(v):
-    return control.freshness(-1, None, control.watermark(v.published_flows)).withColumn("state", F.coalesce("state", F.lit("stale")))
+    """Five caches of the published flows: none, one with another artifact, the same, one with a row less, an older one."""
+    now = control.watermark(v.published_flows)
+    case = lambda name, count, newest, found: now.select(F.lit(name).alias("cache"), count.alias("cached_count"), newest.alias("cached_max"), F.lit("a").alias("expected_sha256"), F.lit(found).alias("found_sha256"))
+    count, newest = F.col("published_count"), F.col("max_modified_at")
+    none = case("none", F.lit(None).cast("long"), newest, "a")
+    caches = none.union(case("other", count, newest, "b")).union(case("same", count, newest, "a")).union(case("fewer", count - 1, newest, "a")).union(case("older", count, newest - F.expr("interval 1 second"), "a"))
+    return control.freshness(caches, now).select("cache", "state", "published_count", "max_modified_at")
 
 
-@query("""SELECT a.process_index, root_id, root_version, role, coalesce(n, 0) AS lci_rows FROM process_axis a JOIN ({}) r USING (process_index) LEFT JOIN (SELECT process_index, count(*) AS n FROM inventory GROUP BY 1) i USING (process_index)""".format(ROLES))
+@query(f"""SELECT a.process_index, root_id, root_version, route, role, coalesce(n, 0) AS lci_rows FROM process_axis a JOIN ({ROLES}) r USING (process_index) LEFT JOIN (SELECT process_index, count(*) AS n FROM inventory GROUP BY 1) i USING (process_index)""")
 def descriptors(v):
     counts = v.inventory.groupBy("process_index").agg(F.count("*").alias("n"))
-    rows = v.process_axis.join(roles(v), "process_index").join(counts, "process_index", "left")
-    return rows.select("process_index", "root_id", "root_version", "role", F.coalesce("n", F.lit(0)).alias("lci_rows"))
+    rows = v.process_axis.join(selection.roles(roots(v), v.technosphere_edges), "process_index").join(counts, "process_index", "left")
+    return rows.select("process_index", "root_id", "root_version", "route", "role", F.coalesce("n", F.lit(0)).alias("lci_rows"))
 
 
 @query("SELECT dependent_index AS process_index, count(DISTINCT balancing_index) AS providers, CAST(sum(activity) AS BIGINT) AS activity FROM technosphere_edges GROUP BY 1")
@@ -351,16 +399,17 @@ def task_projection(v):
     return v.tasks.select("job_id", F.lower("worker_status").alias("status"), (F.col("value") / 1000).alias("progress"), F.nullif(F.trim("props"), F.lit("")).alias("detail"))
 
 
-@query("SELECT job_id, worker_status IN ('purchase', 'error') AS is_terminal, worker_status = 'error' OR (worker_status IN ('purchase', 'error') AND value / 100 < 1) AS diagnostics FROM tasks")
+@query("""
+SELECT job_id, worker_status IN ('completed', 'failed', 'cancelled', 'canceled', 'blocked', 'stale') AS is_terminal,
+       worker_status IN ('failed', 'blocked', 'stale') OR (worker_status = 'completed' AND NOT (coalesce(domain_status, '') = 'passed' AND domain_validity = 'valid')) AS diagnostics FROM task_feed""")
 def task_state(v):
-    rows = v.tasks.withColumn("progress", F.col("value") / 100)
-    return control.task_state(rows, ("purchase", "error"), ("error",)).select("job_id", "is_terminal", "diagnostics")
+    return control.task_state(v.task_feed).select("job_id", "is_terminal", "diagnostics")
 
 
-@query("SELECT user_id, count(*) FILTER (worker_status = 'error') = 0 AND count(*) >= 5 AND max(value) > 10 AS ready FROM tasks GROUP BY 1")
+@query("""
+SELECT closure_id, coalesce(run_status, '') = 'passed' AND scan_completeness = 'complete' AND certificate_validity = 'valid' AND trim(scope_hash) <> '' AND policy_fingerprint IS NOT NULL AS ready FROM closures""")
 def closure_ready(v):
-    ready = (F.count_if(F.col("worker_status") == "error") == 0) & (F.count("*") >= 5) & (F.max("value") > 10)
-    return v.tasks.groupBy("user_id").agg(ready.alias("ready"))
+    return control.closure_ready(v.closures).select("closure_id", "ready")
 
 
 @query("SELECT o_orderkey AS id, coalesce(nullif(trim(CASE WHEN o_orderkey % 2 = 0 THEN ' ' ELSE o_orderpriority END), ''), o_orderstatus) AS name FROM orders")
@@ -375,22 +424,25 @@ def bundle_projection(v):
 
 
 @query("""
-SELECT job_id, CASE WHEN NOT (s IN ('queued', 'running') AND NOT alive) THEN s WHEN code IS NULL THEN 'lost' WHEN code = 0 THEN 'succeeded' ELSE 'failed' END AS state
-FROM (SELECT job_id, CASE job_id % 3 WHEN 0 THEN 'queued' WHEN 1 THEN 'running' ELSE 'failed' END AS s, job_id % 2 = 0 AS alive, CASE WHEN job_id % 5 = 0 THEN NULL ELSE job_id % 4 END AS code FROM tasks)""")
+SELECT job_id, CASE WHEN alive OR s IN ('succeeded', 'failed', 'cancelled', 'interrupted') THEN s WHEN code = 0 THEN 'succeeded' WHEN code IS NOT NULL THEN 'failed' WHEN s = 'cancelling' THEN 'cancelled' WHEN started THEN 'interrupted' ELSE s END AS state
+FROM (SELECT job_id, ['queued', 'running', 'cancelling', 'succeeded', 'failed', 'cancelled'][1 + job_id % 6] AS s, job_id % 4 = 0 AS alive, CASE WHEN job_id % 5 < 2 THEN NULL ELSE job_id % 5 - 2 END AS code, job_id % 7 <> 0 AS started FROM tasks)""")
 def job_state(v):
     k = F.col("job_id")
-    state = F.when(k % 3 == 0, "queued").when(k % 3 == 1, "running").otherwise("failed")
-    return v.tasks.select("job_id", control.job_state(state, k % 2 == 0, F.when(k % 5 != 0, k % 4)).alias("state"))
+    states = F.array(*map(F.lit, ("queued", "running", "cancelling", "succeeded", "failed", "cancelled")))
+    return v.tasks.select("job_id", control.job_state(F.get(states, (k % 6).cast("int")), k % 4 == 0, F.when(k % 5 >= 2, k % 5 - 2), k % 7 != 0).alias("state"))
 
 
-@query("SELECT job_id, left(props, 4) AS line FROM tasks QUALIFY row_number() OVER (ORDER BY updated_at DESC, job_id DESC) <= 100")
+@query("SELECT job_id, left(props, 4000) AS line FROM tasks QUALIFY row_number() OVER (ORDER BY updated_at DESC, job_id DESC) <= 100")
 def log_tail(v):
     return v.tasks.orderBy(F.desc("updated_at"), F.desc("job_id")).limit(100).select("job_id", control.log_line(F.col("props")).alias("line"))
 
 
-@query("SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("SELECT p_partkey AS process_index, method_id, name, indicator FROM part JOIN (VALUES {}) m(i, method_id, version, name, indicator) ON m.i = p_partkey % 30".format(", ".join(str((i, *m)) for i, m in enumerate(METHODS))))
 def static_lookup(v):
-    return v.nation.join(F.broadcast(v.region), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")  # a fixed list of five rows
+    """The default method that each process is assessed by; keys beyond the 25 have none."""
+    places = F.create_map(*[F.lit(x) for i, m in enumerate(METHODS) for x in (m[0], i)])
+    table = methods(v.spark).withColumn("i", F.element_at(places, F.col("method_id")))
+    return v.part.join(F.broadcast(table), F.col("p_partkey") % 30 == F.col("i")).select(F.col("p_partkey").alias("process_index"), "method_id", "name", "indicator")  # a fixed list of 25 rows
 
 
 @query("""
@@ -407,10 +459,15 @@ def global_reference(v):
     return v.process_axis.select("process_index", F.concat(F.lit("../processes/"), F.lower("root_id"), F.lit("_"), "root_version", F.lit(".xml")).alias("uri"), F.lower("root_id").alias("ref_object_id"))
 
 
-@query("SELECT p_partkey AS process_index, array_to_string([CASE WHEN l = 'en' THEN concat(p_name, ', aggregated') ELSE p_name END FOR l IN ['en', 'de']], '|') AS names FROM part")
+@query("""
+SELECT p_partkey AS process_index, array_to_string([concat(l, ':', CASE WHEN l = 'en' THEN concat(p_name, ' — aggregated') ELSE p_name END) FOR l IN CASE p_partkey % 3 WHEN 0 THEN ['en', 'de'] WHEN 1 THEN ['zh'] ELSE ['de', 'en', 'zh'] END], '|') AS names FROM part""")
 def suffix_name(v):
-    names = F.transform(F.array(F.lit("en"), F.lit("de")), lambda x: F.when(x == "en", F.concat("p_name", F.lit(", aggregated"))).otherwise(F.col("p_name")))
-    return v.part.select(F.col("p_partkey").alias("process_index"), F.array_join(names, "|").alias("names"))
+    """Names in several languages, of which the English ones get a suffix."""
+    key = F.col("p_partkey") % 3
+    languages = F.when(key == 0, F.array(F.lit("en"), F.lit("de"))).when(key == 1, F.array(F.lit("zh"))).otherwise(F.array(F.lit("de"), F.lit("en"), F.lit("zh")))
+    names = F.transform(languages, lambda x: F.struct(x.alias("lang"), F.col("p_name").alias("text")))
+    joined = F.array_join(F.transform(selection.suffixed(names, "aggregated"), lambda n: F.concat_ws(":", n["lang"], n["text"])), "|")
+    return v.part.select(F.col("p_partkey").alias("process_index"), joined.alias("names"))
 
 
 @query("SELECT job_id, coalesce(nullif(trim(CASE WHEN job_id % 3 = 0 THEN '' ELSE props END), ''), ' ') AS text FROM tasks")
