@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from cindermill.functions.canonical import NOT_SIGNIFICANT, json_hash
 from cindermill.functions.methods import METHODS, methods
-from cindermill.operators import control, integrity, inventory, selection, versioning
+from cindermill.operators import control, dependencies, integrity, inventory, selection, versioning
 from cindermill.plans.views import Views, with_views
+from cindermill.sources import bundle
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -307,6 +308,34 @@ def dependency_expand(v):
     return wanted.join(cache, "id", "left").select("id", "occurrences", F.coalesce("found", F.lit(False)).alias("resolved"))
 
 
+FLOW = "concat(lpad(CAST({} AS STRING), 8, '0'), '-0000-4000-8000-000000000000')"
+
+
+@query(f"""
+WITH r AS (SELECT {FLOW.format("o_custkey")} AS uuid FROM orders UNION SELECT {FLOW.format("o_orderkey % 5000")} FROM orders),
+own AS (SELECT {FLOW.format("c_custkey")} AS uuid FROM customer WHERE c_nationkey < 12), cache AS (SELECT {FLOW.format("c_custkey")} AS uuid FROM customer WHERE c_acctbal > 0)
+SELECT uuid, '01.00.000' AS version, uuid IN (SELECT uuid FROM cache) AS resolved FROM r WHERE uuid NOT IN (SELECT uuid FROM own)""")
+def method_dependencies(v):
+    """The flows that methods (one an order) refer to at some depth and the closure lacks, and whether the cache has them."""
+    version = "01.00.000"
+    reference = lambda c: F.concat(F.lit('{"referenceToFlowDataSet":{"@refObjectId":"'), c, F.lit(f'","@version":"{version}"}}}}'))
+    shallow, deep = reference(F.upper(F.expr(FLOW.format("o_custkey")))), reference(F.expr(FLOW.format("o_orderkey % 5000")))
+    document = F.concat(F.lit('{"LCIAMethodDataSet":{"characterisationFactors":{"factor":['), shallow, F.lit(',{"group":[['), deep, F.lit("]]}]}}}"))
+    methods = v.orders.select(F.lit("lciamethod").alias("dataset_type"), F.col("o_orderkey").cast("string").alias("uuid"), F.lit(version).alias("version"), document.alias("document"))
+    flows = v.customer.select(F.lit("flow").alias("dataset_type"), F.expr(FLOW.format("c_custkey")).alias("uuid"), F.lit(version).alias("version"), F.lit("{}").alias("document"), "c_nationkey", "c_acctbal")
+    needed = dependencies.needed(dependencies.method_references(methods), flows.where("c_nationkey < 12"))
+    cache = flows.where("c_acctbal > 0").select("uuid", "version").distinct().withColumn("found", F.lit(True))
+    return needed.join(cache, ["uuid", "version"], "left").select("uuid", "version", F.coalesce("found", F.lit(False)).alias("resolved"))
+
+
+@query(None)
+def file_integrity(v):
+    """Size and hash of the files of the two fixed tables against an index of them, in which one hash is wrong."""
+    found = bundle.file_digests(v.spark, f"{v.sf_dir}/[nr]*ion.parquet").withColumn("path", F.element_at(F.split("path", "/"), -1))
+    index = found.withColumn("sha256", F.when(F.col("path") == "nation.parquet", F.lit("0" * 64)).otherwise(F.col("sha256")))
+    return bundle.drift(index, found)
+
+
 @query("SELECT count(*) AS occurrences, count(DISTINCT o_custkey) AS distinct_references, count(DISTINCT o_orderpriority) AS methods FROM orders")
 def reference_counts(v):
     return v.orders.agg(F.count("*").alias("occurrences"), F.countDistinct("o_custkey").alias("distinct_references"), F.countDistinct("o_orderpriority").alias("methods"))
