@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import gc
+import re
 import tempfile
 import uuid
 import zlib
@@ -22,9 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or (unset, as in tests) a temporary one."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or (unset, and all in one process, as in tests) a temporary one."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="cindermill-")
         spark.sparkContext.setCheckpointDir(path)
     return path
@@ -77,7 +80,7 @@ def make_room(owner: str) -> None:
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], dict | None], schema: str, rows: int = 0) -> DataFrame:
     """``mapInArrow`` with small batches; ``f`` turns a batch into columns (lists) by name.
 
-    ``rows``: join batches of small values up to so many rows first.
+    ``rows``: join batches of small values up to so many rows first. The session keeps the batch size set here.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     target = pa_schema(df.sparkSession, schema)
