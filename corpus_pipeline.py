@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from cindermill.llm import decontamination, jaccard_join, line_dedup, packing, quality
-from cindermill.llm.common import shared_dir, table
+from cindermill.llm.common import discard, shared_dir, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,14 +39,16 @@ STAGES = [(f.__name__, f) for f in (quality_rules, line_deduplication, near_dupl
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every result is written as Parquet and reread as the next stage's input."""
+    """All stages over ``documents``; every result is written as Parquet and reread as the next stage's input, then its folder goes."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = f"{shared_dir(spark)}/pipeline/{uuid.uuid4().hex}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
+        discard(docs)
         docs = spark.read.parquet(path)
+        docs._staged_path = path
     return docs
 
 
-#: Packing needs the tokenizer, which SQL does not have; tests hold run() against brute force.
+#: Packing needs the tokenizer, which SQL does not have; tests/llm/test_pipeline.py holds run() against brute force.
 ORACLE_SQL = None
