@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import gc
 import re
@@ -66,6 +68,13 @@ def kept(f: Callable) -> Callable:
     return f
 
 
+def trim() -> None:
+    """Free memory returns to the system: Arrow's, and where the C library can, the rest."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def make_room(owner: str) -> None:
     """Workers are used again: what another operator's tasks have left goes, and free memory returns to the system."""
     global _owner
@@ -74,7 +83,7 @@ def make_room(owner: str) -> None:
             f.cache_clear()
         gc.collect()
         _owner = owner
-    pa.default_memory_pool().release_unused()
+    trim()
 
 
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], dict | None], schema: str, rows: int = 0) -> DataFrame:
@@ -91,7 +100,7 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], dict | None], schem
             if batch.num_rows and (out := f(batch)) is not None:
                 yield pa.RecordBatch.from_arrays([as_arrow(out[x.name], x.type) for x in target], schema=target)
                 out = None
-        pa.default_memory_pool().release_unused()
+        trim()
 
     return df.mapInArrow(run, schema)
 

@@ -22,10 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cindermill.llm.common import BATCH_ROWS, make_room, map_batches, pa_schema, staged
+from cindermill.llm.common import BATCH_ROWS, make_room, map_batches, pa_schema, staged, trim
 from cindermill.llm.token_counts import VOCABULARY, pre_tokens
 
 END = (0).to_bytes(4, "little")
+#: Rows whose ids are made at once; a worker's memory follows.
+ENCODED_ROWS = 500
 
 
 class Lengths:
@@ -149,7 +151,7 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int) -> DataFra
     def cut(batches):
         make_room(__name__)
         known, task, seen = pre_tokens(vocabulary), TaskContext.get().partitionId(), Counter()
-        for batch in batches:
+        for batch in (whole.slice(i, ENCODED_ROWS) for whole in batches for i in range(0, whole.num_rows, ENCODED_ROWS)):
             rows = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), known.encode(batch.column(1)).ids(), strict=True):
                 ids += END
@@ -160,7 +162,7 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, capacity: int) -> DataFra
                     seen[length] += 1
             columns = zip(*rows, strict=True) if rows else [()] * len(target)
             yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, target, strict=True)], schema=target)
-        pa.default_memory_pool().release_unused()
+        trim()
 
     return docs.select("doc_id", "text").mapInArrow(cut, schema)
 

@@ -26,7 +26,7 @@ from cindermill.llm.common import kept, map_batches
 
 VOCABULARY = "word_bpe_49k.json"
 #: Pre-tokens kept by a worker beside the whole-token table: those met last, and as many met before.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 120_000
 #: The pre-token pattern of the vocabulary file.
 PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Chunks for the tokenizer itself: characters that its normaliser may change, white space beyond ASCII, openings of special strings.
@@ -107,8 +107,9 @@ class Encoded:
 
     def ids(self) -> list[bytes]:
         """The ids of every text."""
-        sizes, first = self.sizes[self.entries], np.cumsum(self.sizes) - self.sizes
-        at = np.repeat(first[self.entries] - self.upto[:-1], sizes) + np.arange(self.upto[-1])
+        first = np.cumsum(self.sizes) - self.sizes
+        at = np.repeat(first[self.entries] - self.upto[:-1], self.sizes[self.entries])
+        at += np.arange(self.upto[-1])
         data, ends = np.frombuffer(b"".join(self.table), "<u4")[at].tobytes(), (4 * self.ends).tolist()
         return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
@@ -140,11 +141,12 @@ class PreTokens:
         self.merge(self.known.unknown({*names, *chain.from_iterable(filter(None, cut))}))
         ids = self.known.__getitem__
         rest = [np.array(next(whole).ids, "<u4").tobytes() if x is None else b"".join(map(ids, x)) for x in cut]
-        first, second = np.empty(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        first, second = np.empty(len(chunks), np.int32), np.zeros(len(chunks), np.int32)
         first[plain] = 1 + piece.indices.to_numpy()
         first[~plain] = 1 + len(names) + np.arange(len(rest))
         second[marked] = [1 + len(piece.dictionary) + mark[m] for m in marks]
         index = words.indices.to_numpy()
+        del chunks, lower, letters, odd, piece, cut
         return Encoded([b"", *map(ids, names), *rest], np.stack([first[index], second[index]], axis=1).ravel(), 2 * lists.offsets.to_numpy()[1:])
 
     def merge(self, pieces: set[str]) -> None:
