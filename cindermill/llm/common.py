@@ -76,8 +76,12 @@ def trim() -> None:
 
 
 def make_room(owner: str) -> None:
-    """Workers are used again: what another operator's tasks have left goes, and free memory returns to the system."""
+    """Workers are used again: what another operator's tasks have left goes, and free memory returns to the system.
+
+    Arrow takes its memory from the C library, which returns large blocks at once; a pool of its own would keep them.
+    """
     global _owner
+    pa.set_memory_pool(pa.system_memory_pool())
     if owner != _owner:
         for f in _kept:
             f.cache_clear()

@@ -11,6 +11,7 @@ Null text counts as empty; an empty text has 0 tokens; repeated rows give repeat
 
 from __future__ import annotations
 
+import os
 import struct
 from itertools import chain
 
@@ -24,6 +25,9 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 from cindermill.llm.common import kept, map_batches
 
+# Spark runs a task a core: threads of the tokenizer would add their memory to each worker and no speed.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 VOCABULARY = "word_bpe_49k.json"
 #: Pre-tokens kept by a worker beside the whole-token table: those met last, and as many met before.
 CACHE_ENTRIES = 120_000
@@ -108,8 +112,9 @@ class Encoded:
     def ids(self) -> list[bytes]:
         """The ids of every text."""
         first = np.cumsum(self.sizes) - self.sizes
-        at = np.repeat(first[self.entries] - self.upto[:-1], self.sizes[self.entries])
-        at += np.arange(self.upto[-1])
+        kind = np.int32 if self.upto[-1] + len(self.table) < 2**31 and self.sizes.sum() < 2**31 else np.int64
+        at = np.repeat((first[self.entries] - self.upto[:-1]).astype(kind), self.sizes[self.entries])
+        at += np.arange(self.upto[-1], dtype=kind)
         data, ends = np.frombuffer(b"".join(self.table), "<u4")[at].tobytes(), (4 * self.ends).tolist()
         return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
