@@ -188,7 +188,9 @@ def labelled(docs: DataFrame) -> DataFrame:
     sets = rows.where("doc_id is not null and n > 0")
     classes = staged(sets.groupBy("cls", "grp", "n").agg(F.min("doc_id").alias("rep")).withColumn("node", F.monotonically_increasing_id()))
     tokens = sets.select("grp", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = tokens.groupBy("token").agg(F.min("grp").alias("g"), F.max("grp").alias("h")).where("g < h").select("token")
+    # tokens of two groups or more; whether a token's groups differ, numbers tell: half the bytes of the digests to shuffle
+    number = F.xxhash64("grp")
+    shared = tokens.groupBy("token").agg(F.min(number).alias("g"), F.max(number).alias("h")).where("g < h").select("token")
     held = staged(tokens.join(shared, "token").distinct())
     full = sets.select("doc_id", "cls", "n", "bitmap").join(classes.select(F.col("rep").alias("doc_id"), "cls", "node"), ["doc_id", "cls"])
     maps = staged(full.dropDuplicates(["node"]).select("node", F.col("doc_id").alias("rep"), "cls", "n", "bitmap"))
@@ -208,6 +210,7 @@ def labelled(docs: DataFrame) -> DataFrame:
     of = label.groupBy("grp").agg(F.min("component").alias("low"), F.max("component").alias("high")).select("grp", F.when(F.col("low") == F.col("high"), F.col("low")).alias("one"))
     sided = staged(held.join(of, "grp"))
     hot = staged(hub.where(F.col("holders") > BLOCK).select("token", F.ceil(F.col("holders") / BLOCK).alias("blocks")))
+    discard(held, hub)
     x, y = blocked(sided, hot, "p", "q").alias("x"), blocked(sided, hot, "q", "p").alias("y")
     cross = x.join(y, F.expr(f"x.token = y.token and x.p = y.p and x.q = y.q and x.grp < y.grp and (x.one is null or y.one is null or x.one <> y.one) and {SIZES} and {PLACES}"))
     cross = cross.select(F.col("x.grp").alias("g"), F.col("y.grp").alias("h")).distinct()
@@ -217,7 +220,9 @@ def labelled(docs: DataFrame) -> DataFrame:
     pairs = cross.join(p, F.col("g") == F.col("p.grp")).join(q, F.col("h") == F.col("q.grp")).where("p.component <> q.component").select(F.col("p.node").alias("r"), F.col("q.node").alias("s"))
     p, q = same.alias("p"), same.alias("q")
     within = p.join(q, F.expr("p.grp = q.grp and p.node < q.node and p.component <> q.component")).select(F.col("p.node").alias("r"), F.col("q.node").alias("s"))
-    more = verified(staged(pairs.union(within).select(*ordered("r", "s"))), maps, docs)
+    candidates = staged(pairs.union(within).select(*ordered("r", "s")))
+    discard(sided, hot)
+    more = verified(candidates, maps, docs)
 
     linked = staged(classes.select("cls", "rep", "node").join(components(links.union(more)), "node"))
     least = staged(linked.groupBy("component").agg(F.min("rep").alias("component_id")))
