@@ -130,9 +130,9 @@ def clustered(vectors: DataFrame, first: np.ndarray | None = None, rounds: int =
     n, most = state.agg(F.count("*"), F.max(F.greatest(F.array_max("v"), -F.array_min("v")))).first()
     if n and most > LARGEST:
         raise ValueError(f"a component reaches {most} after scaling; distances fit a long up to {LARGEST}")
-    history = [starts(state) if first is None else first]
     if not n:
-        return state.withColumns({"own": F.lit(0), "n_distances": F.lit(0).cast("bigint")}), history
+        return state.withColumns({"own": F.lit(0), "n_distances": F.lit(0).cast("bigint")}), [np.zeros((0, 0), np.int64) if first is None else first]
+    history = [starts(state) if first is None else first]
     exact = "bigint" if n * most < 2**63 else "decimal(38,0)"
     for _ in range(rounds):
         state, last = staged(assigned(state, history)), state

@@ -27,6 +27,8 @@ def plain(rows):
     kept = [(i, [math.floor(256 * float(np.float32(x))) for x in e]) for i, e, *_ in rows if e is not None and len(e) == 64 and all(x is not None and math.isfinite(x) for x in e)]
     order = sorted(kept, key=lambda r: (r[0] is None, hashlib.sha256(f"2:{r[0]}".encode()).hexdigest(), r[1]))
     centroids = [v for _, v in order[:40]]
+    if not kept:
+        return []
     matrix = np.array([v for _, v in kept], object)
 
     def assign():
