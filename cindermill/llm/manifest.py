@@ -221,7 +221,7 @@ def oracle(levels: int = 5) -> str:
     # a tree of more than one node ends in a level of one, which is its root; so each s has one
     tree("b", "SELECT 0 AS s, s AS i, x FROM aroot")
     last = "SELECT doc_id, leaf, s, i, fresh AS h, '' AS siblings FROM p"
-    for name, rank, group in (("a", "i", "p.s"), ("b", "s", "0")):
+    for name, rank, group in (("a", "p.i", "p.s"), ("b", "p.s", "0")):
         for k in range(levels):
             digit = f"{rank} // {16**k} % 16"
             before, after = f"array_to_string(list_slice(run, 1, {digit}), '')", f"array_to_string(list_slice(run, {digit} + 2, 16), '')"
