@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cindermill.llm import clustering, decontamination, jaccard_join, line_dedup, lm_scoring, manifest, packing, pii, quality, token_counts, toxicity, url_filter
+from cindermill.llm import clustering, decontamination, jaccard_join, line_dedup, lm_scoring, manifest, packing, pii, quality, secret_scan, token_counts, toxicity, url_filter
 from cindermill.llm.common import table
 
 
@@ -56,5 +56,9 @@ def op12_centroid_clustering(spark, sf_dir):
     return clustering.digest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_best_fit_packing, op4_decontamination, op5_pii, op6_line_dedup, op7_toxicity, op8_lm_scoring, op9_url_filter, op10_jaccard_join, op11_merkle_manifest, op12_centroid_clustering)}
+def op13_secret_scan(spark, sf_dir):
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_best_fit_packing, op4_decontamination, op5_pii, op6_line_dedup, op7_toxicity, op8_lm_scoring, op9_url_filter, op10_jaccard_join, op11_merkle_manifest, op12_centroid_clustering, op13_secret_scan)}
 ORACLE_SQL = {"op4_decontamination": decontamination.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op9_url_filter": url_filter.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE, "op11_merkle_manifest": manifest.ORACLE, "op12_centroid_clustering": clustering.ORACLE}
