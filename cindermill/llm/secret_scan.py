@@ -152,7 +152,8 @@ def listed(spans: str):
 
 def digest(docs: DataFrame) -> DataFrame:
     """The base counts and digest, all spans, and how many of these the method added."""
-    count = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
+    of = lambda k: F.filter("base", lambda x: x["kind"] == k)
+    count = [F.size(of(k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     added = (F.size("spans") - F.size("base")).cast("long").alias("n_added")
     return scanned(docs).select("doc_id", *count, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"), added)
 
