@@ -6,8 +6,8 @@ characters or more with white space alone between them, as the lines of a key fi
 
 Its novelty is what it adds, in bytes, to the zstandard frame of its surroundings: the 1024 characters before and after it
 (without its own copies), under a dictionary of identifiers. That dictionary is the identifiers that most documents of
-the corpus hold, counted by Spark over all texts: letters, underscores and at most three digits behind, so no secret gets into
-it, 64 KiB at most. Strings made of what code and prose are made of cost few bytes; a candidate that costs 8 bytes or
+the corpus hold (five at least), counted by Spark over all texts: whole words of letters, underscores and at most three
+digits behind, so that what counts as a candidate hardly gets into it; 64 KiB at most. Strings made of what code and prose are made of cost few bytes; a candidate that costs 8 bytes or
 more and 0.65 bytes a character or more is reported. Added spans are of the kind assign: a sensitive word assigns them.
 
 Only identifiers and counts are shuffled; texts are read twice and stay in their tasks, the dictionary is bounded. Work is
@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cindermill.llm.common import kept, map_batches
+from cindermill.llm.common import kept, map_batches, staged
 
 #: The detectors, in the order of kinds; letters of the first are of either case, ASCII only.
 KINDS = ("assign", "access", "hex")
@@ -43,7 +43,9 @@ SHORTEST, REACH, CHAIN = 8, 40, 40
 #: Characters on either side that count as surroundings; the bytes, and bytes a character, that make a string novel.
 AROUND, NOVEL_BYTES, NOVEL_SHARE = 1024, 8, 0.65
 LEVEL, DICTIONARY_BYTES, DICTIONARY_WORDS = 19, 65_536, 16_384
-IDENTIFIER = "([A-Za-z_]{3,40}[0-9]{0,3})"
+IDENTIFIER = r"(?<![A-Za-z0-9_])([A-Za-z_]{3,40}[0-9]{0,3})(?![A-Za-z0-9_])"
+#: Documents that an identifier of the dictionary is in, at least.
+COMMON = 5
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -84,9 +86,20 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
 
 
 def identifiers(docs: DataFrame, words: int = DICTIONARY_WORDS) -> DataFrame:
-    """word, n: the identifiers that most documents hold."""
+    """word, n: the identifiers that most documents hold, at least ``COMMON``.
+
+    A histogram of counts by powers of two tells how frequent those are that can be among them; only they are sorted, so
+    that what each task sends does not add up with the number of tasks.
+    """
     every = docs.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(IDENTIFIER)))).alias("word"))
-    return every.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(words)
+    counts = staged(every.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON))
+    level = F.floor(F.log2("n"))
+    total, least = 0, 0
+    for least, n in sorted(counts.groupBy(level).count().collect(), reverse=True):  # at most 64 rows
+        total += n
+        if total >= words:
+            break
+    return counts.where(level >= least).orderBy(F.desc("n"), "word").limit(words)
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY_BYTES) -> bytes:
