@@ -69,6 +69,11 @@ def json_hash(column, nfc: bool = True, without: tuple[str, ...] = ()):
     return _of(lambda x: hashlib.sha256(canonical_json(without_keys(json.loads(x), drop), nfc).encode()).hexdigest())(column)
 
 
+def canonical_text(column, nfc: bool = True):
+    """The canonical text of a JSON column."""
+    return _of(lambda x: canonical_json(json.loads(x), nfc))(column)
+
+
 def nfc(column):
     return _of(lambda x: unicodedata.normalize("NFC", x))(column)
 
