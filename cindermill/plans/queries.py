@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cindermill.functions.canonical import NOT_SIGNIFICANT, json_hash
 from cindermill.functions.methods import METHODS, methods
 from cindermill.operators import control, dependencies, integrity, inventory, selection, versioning
 from cindermill.plans.views import Views, with_views
-from cindermill.sources import bundle
+from cindermill.sources import archive, bundle, export, feed
+from cindermill.sources.shared import scratch
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -328,12 +330,54 @@ def method_dependencies(v):
     return needed.join(cache, ["uuid", "version"], "left").select("uuid", "version", F.coalesce("found", F.lit(False)).alias("resolved"))
 
 
-@query(None)
+def exported(v):
+    """The views' inventories, axes and edges, written as a bundle; returns its path."""
+    identity = lambda i, version: F.struct(i.cast("string").alias("id"), version.alias("version"))
+    lci = lambda rows: rows.select(F.col("process_index").alias("processIndex"), identity(F.col("flow_id"), F.col("flow_version")).alias("flow"), "direction", "unit", "location", F.col("amount").alias("meanAmount"))
+    axes = v.process_axis.select(F.col("process_index").alias("processIndex"), identity(F.col("root_id"), F.col("root_version")).alias("rootProcess"), F.struct(F.col("direction"), F.col("raw_amount").alias("meanAmount")).alias("quantitativeReference"))
+    edges = v.technosphere_edges.select(F.col("dependent_index").alias("dependentProcessIndex"), F.col("balancing_index").alias("balancingProcessIndex"), F.col("exchange_id").alias("residualExchangeInternalId"), F.col("activity").alias("activityRequirement"))
+    frames = {"process_axis": axes, "lci": lci(v.provider_lci), "biosphere_edges": lci(v.biosphere), "technosphere_edges": edges}
+    return export.write_bundle(v.spark, frames, scratch(v.spark, "bundle"))
+
+
+@query("""
+WITH n AS (SELECT 'process_axis' AS kind, process_index, CAST(NULL AS STRING) AS unit, raw_amount AS amount FROM process_axis
+UNION ALL SELECT CASE WHEN process_index % 2 = 1 THEN 'lci' ELSE 'biosphere_edges' END, process_index, unit, CAST(amount AS DOUBLE) FROM inventory
+UNION ALL SELECT 'technosphere_edges', dependent_index, NULL, CAST(activity AS DOUBLE) FROM technosphere_edges)
+SELECT kind, CAST(process_index AS INTEGER) AS process_index, count(*) AS records, count(DISTINCT unit) AS units, sum(amount) AS amount FROM n GROUP BY ALL""")
+def scan_ndjson(v):
+    """The records of a bundle's artifacts, read back from its NDJSON, by kind and process."""
+    frames = archive.Intake(v.spark, exported(v), "bundle.v2").frames()
+    rows = None
+    for kind, process, unit, value in (("process_axis", "processIndex", None, "quantitativeReference.meanAmount"), ("lci", "processIndex", "unit", "meanAmount"), ("biosphere_edges", "processIndex", "unit", "meanAmount"), ("technosphere_edges", "dependentProcessIndex", None, "activityRequirement")):
+        frame = frames[kind].where("_corrupt_record is null").select(F.lit(kind).alias("kind"), F.col(process).alias("process_index"), (F.col(unit) if unit else F.lit(None).cast("string")).alias("unit"), F.col(value).try_cast("double").alias("amount"))
+        rows = frame if rows is None else rows.union(frame)
+    return rows.groupBy("kind", "process_index").agg(F.count("*").alias("records"), F.countDistinct("unit").alias("units"), F.sum("amount").alias("amount"))
+
+
+@query("""
+SELECT kind, CAST(sum(n) AS BIGINT) AS records, 'verified' AS state FROM (SELECT 'process_axis' AS kind, count(*) AS n FROM process_axis UNION ALL SELECT CASE WHEN process_index % 2 = 1 THEN 'lci' ELSE 'biosphere_edges' END, count(*) FROM inventory GROUP BY 1
+UNION ALL SELECT 'technosphere_edges', count(*) FROM technosphere_edges) GROUP BY 1 HAVING sum(n) > 0""")
 def file_integrity(v):
-    """Size and hash of the files of the two fixed tables against an index of them, in which one hash is wrong."""
-    found = bundle.file_digests(v.spark, f"{v.sf_dir}/[nr]*ion.parquet").withColumn("path", F.element_at(F.split("path", "/"), -1))
-    index = found.withColumn("sha256", F.when(F.col("path") == "nation.parquet", F.lit("0" * 64)).otherwise(F.col("sha256")))
-    return bundle.drift(index, found)
+    """The artifacts of a written bundle against its manifest: bytes, unpacked bytes and records of every file, by kind."""
+    checked = archive.Intake(v.spark, exported(v), "bundle.v2").verification()
+    return checked.groupBy("kind").agg(F.sum("record_count").alias("records"), F.coalesce(F.min("code"), F.lit("verified")).alias("state"))
+
+
+@query("""
+SELECT job_id, CAST(1 + (row_number() OVER (ORDER BY job_id) - 1) // 200 AS INTEGER) AS page, CAST(1 + (row_number() OVER (ORDER BY job_id) - 1) % 200 AS INTEGER) AS position, nullif(trim(worker_status), '') AS worker_status FROM task_feed QUALIFY job_id % 3 <> 0""")
+def feed_pages(v):
+    """The calculation tasks of a feed written as pages of 200, each a partition; a third of its items are of other kinds."""
+    number = F.row_number().over(Window.partitionBy("range").orderBy("job_id")) - 1
+    ranges = v.task_feed.withColumn("range", F.floor(F.col("job_id") / 5000))
+    counts = ranges.groupBy("range").agg(F.count("*").alias("n"))
+    begins = counts.select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("begins"))  # a row a range
+    kind = F.when(F.col("job_id") % 3 == 0, "other").otherwise(feed.JOB_KIND)
+    item = F.to_json(F.struct(F.col("job_id").cast("string").alias("jobId"), kind.alias("jobKind"), F.col("worker_status").alias("workerStatus")))
+    items = ranges.withColumn("inside", number).join(begins, "range").select((F.col("begins") + F.col("inside")).alias("number"), item.alias("item"))
+    path = export.write_pages(items, scratch(v.spark, "feed"))
+    rows = feed.tasks(feed.feed(v.spark, path, 2**31 - 1))
+    return rows.select(F.col("jobId").cast("long").alias("job_id"), "page", "position", F.col("workerStatus").alias("worker_status"))
 
 
 @query("SELECT count(*) AS occurrences, count(DISTINCT o_custkey) AS distinct_references, count(DISTINCT o_orderpriority) AS methods FROM orders")
