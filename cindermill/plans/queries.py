@@ -8,23 +8,10 @@ from pyspark.sql import functions as F
 from cindermill.functions.canonical import NOT_SIGNIFICANT, json_hash
 from cindermill.functions.methods import METHODS, methods
 from cindermill.operators import control, dependencies, integrity, inventory, selection, versioning
-from cindermill.plans.views import Views, with_views
+from cindermill.plans.registry import query
 from cindermill.sources import archive, bundle, export, feed
 from cindermill.sources.shared import scratch
 
-QUERIES, ORACLE_SQL = {}, {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(Views(spark, sf_dir))
-        if sql:
-            ORACLE_SQL[f.__name__] = with_views(sql)
-        return f
-
-    return add
-
-
 @query("""
 WITH t AS (SELECT process_index, flow_id, flow_version, lower(direction) AS direction, unit, coalesce(location, '') AS location, sum(amount) AS amount FROM expected_lci GROUP BY ALL),
 x AS (SELECT process_index, direction, unit, coalesce(o.amount, 0) AS o, coalesce(t.amount, 0) AS t
