@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cindermill.functions.canonical import NOT_SIGNIFICANT, json_hash
+from cindermill.functions.canonical import MODEL_PROFILE, NOT_SIGNIFICANT, json_hash
 from cindermill.functions.methods import METHODS, methods
 from cindermill.operators import control, dependencies, integrity, inventory, selection, versioning
 from cindermill.plans.registry import query
@@ -207,7 +207,7 @@ def artifact_by_kind(v):
 
 
 @query("""
-SELECT kind, count(*) AS entries, CAST(NULL AS STRING) AS code,
+SELECT kind, count(*) AS entries,
        sha256(concat('[', string_agg(concat('{"datasetType":"process","path":"', path, '","sha256":"', sha256, '","uuid":"', dataset, '","version":"01.00.000"}'), ',' ORDER BY path), ']')) AS set_hash
 FROM artifacts GROUP BY 1""")
 def artifact_set_hash(v):
@@ -234,13 +234,21 @@ def dataset_index(v):
     return v.artifacts.groupBy("kind").agg(F.count("*").alias("dataset_count"), F.sum("byte_size").alias("byte_size"), F.min("path").alias("first_path"), F.max("path").alias("last_path"))
 
 
+#: The key of a materialization, but for the processes it resolves to; names of contracts are parameters.
+KEY = {
+    "schemaVersion": "key.v1", "source": {"calculationId": "calc-1", "bundleContentHash": "0" * 64}, "scope": {"mode": "explicit"}, "outputType": "lifecycle-model", "resultProcessLayer": "lci-lcia",
+    "modelProfile": MODEL_PROFILE, "generationBase": {"mode": "first-generation", "previousManifestSha256": None}, "metadataPolicySha256": "1" * 64, "recipeContractVersion": "recipe.v1",
+}
+
+
 @query(f"""
-SELECT count(*) AS entries, CAST(NULL AS STRING) AS code, 'explicit' AS mode,
-       sha256(concat('[', string_agg(concat('{{"process":"', lower(root_id), '@', root_version, '"}}'), ',' ORDER BY concat(lower(root_id), '@', root_version)), ']')) AS set_hash FROM process_axis WHERE {SELECTED}""")
+SELECT count(*) AS entries, sha256(concat('{{"generationBase":{{"mode":"first-generation","previousManifestSha256":null}},"metadataPolicySha256":"{"1" * 64}","modelProfile":"{MODEL_PROFILE}","outputType":"lifecycle-model","recipeContractVersion":"recipe.v1","resultProcessLayer":"lci-lcia","schemaVersion":"key.v1","scope":{{"mode":"explicit","resolvedProcesses":[',
+  string_agg(concat('"', lower(root_id), '@', root_version, '"'), ',' ORDER BY concat(lower(root_id), '@', root_version)), ']}},"source":{{"bundleContentHash":"{"0" * 64}","calculationId":"calc-1"}}}}', chr(10))) AS key_sha256 FROM process_axis WHERE {SELECTED}""")
 def selection_key(v):
-    """The hash of the canonical list of the selected processes, each by id and version, in the order of these."""
+    """The hash of the canonical key document of a materialization; its list of the selected processes (id and version) is hashed as it streams."""
     key = F.concat_ws("@", F.lower("root_id"), "root_version")
-    return integrity.set_hash(roots(v).select(F.lit("explicit").alias("mode"), key.alias("process")), ["mode"], "process", ["process"])
+    selected = roots(v)
+    return selected.agg(F.count("*").alias("entries")).withColumn("key_sha256", F.lit(integrity.key_hash(selected.select(key), KEY, "scope/resolvedProcesses")))
 
 
 RESOLVED = """
@@ -422,23 +430,6 @@ def result_counts(v):
     return v.inventory.groupBy("process_index").agg(F.count("*").alias("lci"), F.countDistinct("unit").alias("lcia"))
 
 
-@query(None)
-def result_process(v):
-    """One JSON document a process: its reference and its exchanges in order."""
-    exchange = F.struct("flow_id", "direction", "unit", F.col("amount").cast("string").alias("meanAmount"))
-    rows = v.inventory.groupBy("process_index").agg(F.array_sort(F.collect_list(exchange)).alias("exchanges"))
-    document = F.to_json(F.struct(F.struct(F.lower("root_id").alias("id"), F.col("root_version").alias("version")).alias("process"), "exchanges"))
-    return v.process_axis.join(rows, "process_index").select("process_index", document.alias("document"))
-
-
-@query(None)
-def lifecycle_model(v):
-    """One JSON document a dependent process: its providers in order, as instances after the root."""
-    instance = F.struct("exchange_id", "balancing_index", "activity")
-    rows = v.technosphere_edges.groupBy(F.col("dependent_index").alias("process_index")).agg(F.array_sort(F.collect_list(instance)).alias("instances"))
-    return v.process_axis.join(rows, "process_index").select("process_index", F.to_json(F.struct(F.lower("root_id").alias("root"), "instances")).alias("document"))
-
-
 @query("SELECT id, modified_at FROM published_flows ORDER BY modified_at DESC, id DESC LIMIT 51")
 def bounded_list(v):
     return control.bounded_list(v.published_flows.select("id", "modified_at"), [F.desc("modified_at"), F.desc("id")], 50)

@@ -94,12 +94,30 @@ def test_roles_by_route(spark):
 
 
 def test_set_hash_is_of_the_canonical_list(spark):
-    entries = [("k", "b/2", "é"), ("k", "a/1", 'quote"'), ("m", "c", "x"), ("m", "d", "x"), ("m", "e", "x")]
-    df = spark.createDataFrame(entries, "kind string, path string, uuid string")
-    got = {r.kind: r for r in integrity.set_hash(df, ["kind"], "path", ["uuid", "path"], limit=2).collect()}
-    text = '[{"path":"a/1","uuid":"quote\\""},{"path":"b/2","uuid":"é"}]'
-    assert got["k"].set_hash == hashlib.sha256(text.encode()).hexdigest() and got["k"].code is None
-    assert (got["m"].set_hash, got["m"].code, got["m"].entries) == (None, integrity.TOO_LARGE, 3)
+    rows = [("k", "b", "x\u001f"), ("k", "a", 'q"é'), ("m", "c", None), (None, "d", "y"), (None, "d", "x")]
+    got = {r.kind: (r.entries, r.set_hash) for r in integrity.set_hash(spark.createDataFrame(rows, "kind string, path string, uuid string"), ["kind"], "path", ["uuid", "path"]).collect()}
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    want = {"k": (2, sha('[{"path":"a","uuid":"q\\"é"},{"path":"b","uuid":"x\\u001f"}]')), "m": (1, sha('[{"path":"c"}]')), None: (2, sha('[{"path":"d","uuid":"x"},{"path":"d","uuid":"y"}]'))}
+    assert got == want
+
+
+def test_a_set_of_any_size_has_one_hash(spark):
+    """Three groups, one of them nearly all rows, over many parts and batches: the digests of the flat documents."""
+    n = 200_000
+    rows = spark.range(n).select(F.when(F.col("id") % 1000 == 7, "small").when(F.col("id") == 5, "one").otherwise("large").alias("kind"), F.format_string("p/%09d", (F.col("id") * 7919) % n).alias("path")).repartition(9)
+    paths = {"large": [], "small": [], "one": []}
+    for i in range(n):
+        paths["small" if i % 1000 == 7 else "one" if i == 5 else "large"].append(f"p/{i * 7919 % n:09}")
+    got = {r.kind: r.set_hash for r in integrity.set_hash(rows, ["kind"], "path", ["path"]).collect()}
+    assert got == {k: hashlib.sha256(("[" + ",".join(f'{{"path":"{p}"}}' for p in sorted(x)) + "]").encode()).hexdigest() for k, x in paths.items()}
+
+
+def test_key_document_is_hashed_whole(spark):
+    key = {"b": {"list": None, "z": 1}, "a": ["é", None]}
+    rows = spark.createDataFrame([("p@2",), ("p@10",), ('q"',)], "x string")
+    text = '{"a":["é",null],"b":{"list":["p@10","p@2","q\\""],"z":1}}\n'
+    assert integrity.key_hash(rows, key, "b/list") == hashlib.sha256(text.encode()).hexdigest()
+    assert integrity.key_hash(rows.limit(0), key, "b/list") == hashlib.sha256(b'{"a":["\xc3\xa9",null],"b":{"list":[],"z":1}}\n').hexdigest()
 
 
 def test_identities_and_hashes(spark):
