@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cindermill.functions import variants
-from cindermill.functions.canonical import canonical_json, model_uuid, number_text, result_uuid
+from cindermill.functions.canonical import NOT_SIGNIFICANT, canonical_json, json_hash, model_uuid, number_text, result_uuid
 
 #: The layers of a result, by what their documents are called.
 LABELS = {"lci": "aggregated LCI result", "lci-lcia": "aggregated LCI/LCIA result"}
@@ -193,3 +193,33 @@ def model_documents(axes: DataFrame, edges: DataFrame, page: str, schema: str) -
     head = F.to_json(F.struct(information.alias("information"), F.struct(*publication("uuid", page)).alias("publication")))
     parts = F.concat(F.left(head, F.length(head) - 1), F.lit(',"instances":'), array_json(F.concat(F.array(root), F.coalesce("instances", F.array().cast("array<string>")))), F.lit("}"))
     return rows.select("process_index", "uuid", "version", F.coalesce("providers", F.lit(0)).cast("long").alias("providers"), rendered(model_text, F.col("document"), parts, MODEL_LABEL).alias("document"))
+
+
+#: The profile of a layer's results.
+PROFILES = {"lci": "lci-result.v2", "lci-lcia": "lci-lcia-result.v2"}
+
+
+def semantic_projection(document: Column, schema: str, profile: str) -> Column:
+    """What a result document means, as JSON: beside the columns uuid, root_id, root_version and pivot (JSON), its references, exchanges and impacts without names, numbers of places or texts. ``schema`` names the contract."""
+    d = variants.at(variants.document(document), "processDataSet")
+    identity = lambda v: F.struct(F.lower(variants.text(v, "@refObjectId")).alias("uuid"), variants.text(v, "@version").alias("version"))
+    location = lambda x: F.coalesce(F.to_json(variants.at(x, "location")), F.lit("null"))
+    exchange = lambda x: F.concat(
+        F.lit('{"location":'), location(x), F.lit(","), F.substring(F.to_json(F.struct(identity(variants.at(x, "referenceToFlowDataSet")).alias("flow"), variants.text(x, "exchangeDirection").alias("direction"), variants.text(x, "meanAmount").alias("meanAmount"))), 2, 1 << 30)
+    )
+    impact = lambda x: F.to_json(F.struct(identity(variants.at(x, "referenceToLCIAMethodDataSet")).alias("method"), variants.text(x, "meanAmount").alias("meanAmount")))
+    head = F.to_json(F.struct(
+        F.lit(schema).alias("schema"), F.lit(profile).alias("profile"), F.col("uuid"), F.struct(F.col("root_id").alias("id"), F.col("root_version").alias("version")).alias("sourceProcess"),
+        variants.text(d, "modellingAndValidation", "LCIMethodAndAllocation", "typeOfDataSet").alias("typeOfDataSet"),
+    ))
+    return F.concat(
+        F.left(head, F.length(head) - 1), F.lit(',"referencePivot":'), "pivot", F.lit(',"quantitativeReference":'), F.to_json(variants.at(d, "processInformation", "quantitativeReference")),
+        F.lit(',"exchanges":'), array_json(F.transform(variants.many(variants.at(d, "exchanges", "exchange")), exchange)), F.lit(',"lciaResults":'), array_json(F.transform(variants.many(variants.at(d, "LCIAResults", "LCIAResult")), impact)), F.lit("}"),
+    )
+
+
+def with_hashes(rows: DataFrame, schema: str, layer: str = "lci-lcia") -> DataFrame:
+    """Result documents (uuid, root_id, root_version, pivot, document) with the hashes of what they mean, of what counts as a change, and of all of it."""
+    return rows.withColumns({
+        "semantic_hash": json_hash(semantic_projection(F.col("document"), schema, PROFILES[layer])), "significant_hash": json_hash(F.col("document"), without=NOT_SIGNIFICANT), "content_hash": json_hash(F.col("document")),
+    })

@@ -11,6 +11,7 @@ from cindermill.operators import control, dependencies, integrity, inventory, se
 from cindermill.plans.registry import query
 from cindermill.sources import archive, bundle, export, feed
 from cindermill.sources.shared import scratch
+from cindermill.sources.sink import write_files
 
 @query("""
 WITH t AS (SELECT process_index, flow_id, flow_version, lower(direction) AS direction, unit, coalesce(location, '') AS location, sum(amount) AS amount FROM expected_lci GROUP BY ALL),
@@ -45,13 +46,6 @@ def select_axes(v):
     return selection.select_axes(v.process_axis, v.orders.select(F.concat(F.lit("proc-"), (k % 400).cast("string"), version).alias("selector")))
 
 
-@query("""
-SELECT a.process_index, s.ps_key IS NOT NULL AS has_source, a.root_version FROM process_axis a LEFT JOIN (SELECT DISTINCT l_partkey AS ps_key FROM lineitem WHERE l_quantity > 45) s ON a.process_index = s.ps_key""")
-def axis_source(v):
-    sources = v.lineitem.where("l_quantity > 45").select(F.col("l_partkey").alias("process_index"), F.lit(True).alias("found")).distinct()
-    return v.process_axis.join(sources, "process_index", "left").select("process_index", F.coalesce("found", F.lit(False)).alias("has_source"), "root_version")
-
-
 #: The selected processes: all those that are inputs (they depend on others).
 SELECTED = "direction = 'Input'"
 ROOTS = f"SELECT process_index FROM process_axis WHERE {SELECTED}"
@@ -133,11 +127,6 @@ def reference_exchange(v):
     return v.process_axis.select("process_index", F.lower("flow_id").alias("flow_id"), F.concat(F.lit("../flows/"), F.lower("flow_id"), F.lit("_"), "root_version", F.lit(".xml")).alias("uri"), F.col("raw_amount").alias("mean_amount"))
 
 
-@query("SELECT process_index, unit AS method, CAST(sum(amount) AS BIGINT) AS mean_amount FROM inventory WHERE direction = 'O' GROUP BY ALL")
-def lcia_rows(v):
-    return inventory.inventory_sum(v.inventory.where("direction = 'O'").withColumnRenamed("unit", "method"), ("process_index", "method")).withColumnRenamed("amount", "mean_amount")
-
-
 @query("""
 SELECT dependent_index AS process_index, CAST(row_number() OVER (PARTITION BY dependent_index ORDER BY exchange_id, balancing_index) AS INTEGER) AS instance, balancing_index, activity FROM technosphere_edges
 UNION ALL SELECT DISTINCT dependent_index, 0, dependent_index, 1 FROM technosphere_edges""")
@@ -219,11 +208,6 @@ def artifact_set_hash(v):
 DOCUMENT = """concat('{"common:timeStamp":null,"info":{"common:dataSetVersion":"', root_version, '","id":"', root_id, '","note":null},"exchanges":[{"amount":', CAST(CAST(raw_amount AS BIGINT) AS STRING), '.50,"direction":"', direction, '"}]}')"""
 
 
-@query("""SELECT process_index, sha256(concat('{"common:timeStamp":null,"exchanges":[{"amount":', CAST(CAST(raw_amount AS BIGINT) AS STRING), '.5,"direction":"', direction, '"}],"info":{"common:dataSetVersion":"', root_version, '","id":"', root_id, '","note":null}}')) AS semantic_hash FROM process_axis""")
-def semantic_hash(v):
-    return v.process_axis.select("process_index", json_hash(F.expr(DOCUMENT)).alias("semantic_hash"))
-
-
 @query("""SELECT process_index, sha256(concat('{"exchanges":[{"amount":', CAST(CAST(raw_amount AS BIGINT) AS STRING), '.5,"direction":"', direction, '"}],"info":{"id":"', root_id, '","note":null}}')) AS significant_hash FROM process_axis""")
 def significant_hash(v):
     return v.process_axis.select("process_index", json_hash(F.expr(DOCUMENT), without=NOT_SIGNIFICANT).alias("significant_hash"))
@@ -297,14 +281,6 @@ def version_change_counts(v):
     return versioning.resolved(v.drafts, v.previous).groupBy("change").agg(F.count("*").alias("n"))
 
 
-@query("""
-SELECT o_custkey AS id, count(*) AS occurrences, c.c_custkey IS NOT NULL AS resolved FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_nationkey < 12) c ON o_custkey = c.c_custkey GROUP BY ALL""")
-def dependency_expand(v):
-    wanted = v.orders.groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("occurrences"))
-    cache = v.customer.where("c_nationkey < 12").select(F.col("c_custkey").alias("id"), F.lit(True).alias("found"))
-    return wanted.join(cache, "id", "left").select("id", "occurrences", F.coalesce("found", F.lit(False)).alias("resolved"))
-
-
 FLOW = "concat(lpad(CAST({} AS STRING), 8, '0'), '-0000-4000-8000-000000000000')"
 
 
@@ -314,15 +290,44 @@ own AS (SELECT {FLOW.format("c_custkey")} AS uuid FROM customer WHERE c_nationke
 SELECT uuid, '01.00.000' AS version, uuid IN (SELECT uuid FROM cache) AS resolved FROM r WHERE uuid NOT IN (SELECT uuid FROM own)""")
 def method_dependencies(v):
     """The flows that methods (one an order) refer to at some depth and the closure lacks, and whether the cache has them."""
+    references, closure, cache = dependency_frames(v)
+    found = cache.select("uuid", "version").distinct().withColumn("found", F.lit(True))
+    return dependencies.needed(references, closure).join(found, ["uuid", "version"], "left").select("uuid", "version", F.coalesce("found", F.lit(False)).alias("resolved"))
+
+
+def dependency_frames(v):
+    """References of methods at two depths, the closure with some of the flows, the cache of published ones."""
     version = "01.00.000"
     reference = lambda c: F.concat(F.lit('{"referenceToFlowDataSet":{"@refObjectId":"'), c, F.lit(f'","@version":"{version}"}}}}'))
     shallow, deep = reference(F.upper(F.expr(FLOW.format("o_custkey")))), reference(F.expr(FLOW.format("o_orderkey % 5000")))
     document = F.concat(F.lit('{"LCIAMethodDataSet":{"characterisationFactors":{"factor":['), shallow, F.lit(',{"group":[['), deep, F.lit("]]}]}}}"))
     methods = v.orders.select(F.lit("lciamethod").alias("dataset_type"), F.col("o_orderkey").cast("string").alias("uuid"), F.lit(version).alias("version"), document.alias("document"))
     flows = v.customer.select(F.lit("flow").alias("dataset_type"), F.expr(FLOW.format("c_custkey")).alias("uuid"), F.lit(version).alias("version"), F.lit("{}").alias("document"), "c_nationkey", "c_acctbal")
-    needed = dependencies.needed(dependencies.method_references(methods), flows.where("c_nationkey < 12"))
-    cache = flows.where("c_acctbal > 0").select("uuid", "version").distinct().withColumn("found", F.lit(True))
-    return needed.join(cache, ["uuid", "version"], "left").select("uuid", "version", F.coalesce("found", F.lit(False)).alias("resolved"))
+    closure = methods.unionByName(flows.where("c_nationkey < 12").drop("c_nationkey", "c_acctbal"))
+    return dependencies.method_references(methods), closure, flows.where("c_acctbal > 0").drop("c_nationkey", "c_acctbal")
+
+
+REFERRED = f"""r AS (SELECT {FLOW.format("o_custkey")} AS uuid FROM orders UNION SELECT {FLOW.format("o_orderkey % 5000")} FROM orders),
+own AS (SELECT {FLOW.format("c_custkey")} AS uuid FROM customer WHERE c_nationkey < 12), cache AS (SELECT {FLOW.format("c_custkey")} AS uuid FROM customer WHERE c_acctbal > 0)"""
+
+
+@query(f"""
+WITH {REFERRED}, n AS (SELECT uuid FROM r WHERE uuid NOT IN (SELECT uuid FROM own))
+SELECT 'supplement' AS code, concat(uuid, '@01.00.000') AS subject FROM n WHERE uuid IN (SELECT uuid FROM cache)
+UNION ALL SELECT 'release_intake_exact_flow_missing', concat(min(uuid), '@01.00.000') FROM n WHERE uuid NOT IN (SELECT uuid FROM cache) HAVING count(*) > 0
+UNION ALL SELECT 'release_intake_dependency_limit_exceeded', CAST(count(*) AS STRING) FROM n HAVING count(*) > 1000""")
+def dependency_expand(v):
+    """The records that supplement the closure, and what makes the expansion fail: too many flows (of a limit of 1000 here), the least one that the cache lacks."""
+    frames = dependency_frames(v)
+    supplement = dependencies.expanded(*frames).select(F.lit("supplement").alias("code"), F.concat_ws("@", "uuid", "version").alias("subject"))
+    return supplement.union(dependencies.expansion_violations(*frames, limit=1000))
+
+
+@query(f"""
+WITH {REFERRED} SELECT (SELECT count(*) FROM orders) AS methods, 2 * (SELECT count(*) FROM orders) AS occurrences, count(*) AS distinct_references, count(*) FILTER (uuid IN (SELECT uuid FROM own)) AS already_present FROM r""")
+def reference_counts(v):
+    references, closure, _ = dependency_frames(v)
+    return dependencies.summary(references, closure)
 
 
 def exported(v):
@@ -375,11 +380,6 @@ def feed_pages(v):
     return rows.select(F.col("jobId").cast("long").alias("job_id"), "page", "position", F.col("workerStatus").alias("worker_status"))
 
 
-@query("SELECT count(*) AS occurrences, count(DISTINCT o_custkey) AS distinct_references, count(DISTINCT o_orderpriority) AS methods FROM orders")
-def reference_counts(v):
-    return v.orders.agg(F.count("*").alias("occurrences"), F.countDistinct("o_custkey").alias("distinct_references"), F.countDistinct("o_orderpriority").alias("methods"))
-
-
 @query("""SELECT o_orderkey AS id FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 4 <> 0""")
 def json_path_filter(v):
     """Datasets whose document says that they are elementary flows; some documents lack the path, some are no JSON."""
@@ -402,14 +402,25 @@ def snapshot_watermark(v):
 
 @query("""
 WITH w AS (SELECT count(*) AS published_count, max(modified_at) AS max_modified_at FROM published_flows WHERE state_code BETWEEN 100 AND 199)
-SELECT unnest(['missing', 'invalid', 'fresh', 'stale', 'stale']) AS state, unnest(['none', 'other', 'same', 'fewer', 'older']) AS cache, published_count, max_modified_at FROM w""")
+SELECT unnest(['missing', 'invalid', 'fresh', 'stale', 'stale']) AS state, unnest(['none', 'changed', 'same', 'fewer', 'older']) AS cache, published_count, max_modified_at FROM w""")
 def cache_freshness(v):
-    """Five caches of the published flows: none, one with another artifact, the same, one with a row less, an older one."""
+    """Five caches of the published flows: none, one whose file has changed since, the same, one with a row less, an older one. Their files are written, and hashed again where they lie."""
     now = control.watermark(v.published_flows)
-    case = lambda name, count, newest, found: now.select(F.lit(name).alias("cache"), count.alias("cached_count"), newest.alias("cached_max"), F.lit("a").alias("expected_sha256"), F.lit(found).alias("found_sha256"))
+    published = control.published(v.published_flows)
+    shards = F.greatest(F.lit(1), F.ceil(published.count() / F.lit(export.ROWS)))
+    flows = published.select(F.to_json(F.struct("uuid", "version")).alias("line"), F.pmod(F.xxhash64("id"), shards).alias("shard"))
+    parts = flows.groupBy("shard").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("content")).select(F.format_string("part-%06d.ndjson", "shard").alias("path"), "content")
+    named = lambda files: files.select(F.element_at(F.split("path", "/"), -1).alias("path"), F.concat_ws(":", F.element_at(F.split("path", "/"), -1), "sha256").alias("entry"))
+    digest = lambda files, name: integrity.list_hashes(named(files), [], "path", "entry").select(F.col("set_hash").alias(name))
+    expected = digest(parts.withColumn("sha256", F.sha2("content", 256)), "expected_sha256")
+    found = {}
+    for name, files in (("intact", parts), ("changed", parts.withColumn("content", F.when(F.col("path") == "part-000000.ndjson", F.concat("content", F.lit("\n"))).otherwise(F.col("content"))))):
+        found[name] = digest(bundle.file_digests(v.spark, write_files(files, scratch(v.spark, "cache"))), "found_sha256")
     count, newest = F.col("published_count"), F.col("max_modified_at")
-    none = case("none", F.lit(None).cast("long"), newest, "a")
-    caches = none.union(case("other", count, newest, "b")).union(case("same", count, newest, "a")).union(case("fewer", count - 1, newest, "a")).union(case("older", count, newest - F.expr("interval 1 second"), "a"))
+    caches = None
+    for name, files, n, at in (("none", "intact", F.lit(None).cast("long"), newest), ("changed", "changed", count, newest), ("same", "intact", count, newest), ("fewer", "intact", count - 1, newest), ("older", "intact", count, newest - F.expr("interval 1 second"))):
+        case = now.select(F.lit(name).alias("cache"), n.alias("cached_count"), at.alias("cached_max")).crossJoin(expected).crossJoin(found[files])  # one row each
+        caches = case if caches is None else caches.union(case)
     return control.freshness(caches, now).select("cache", "state", "published_count", "max_modified_at")
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cindermill.functions import variants
 from cindermill.functions.canonical import MODEL_NAMESPACE, MODEL_PROFILE, RESULT_NAMESPACE
+from cindermill.functions.methods import METHODS
 from cindermill.operators import documents
 from cindermill.plans.registry import query
 
@@ -88,3 +90,39 @@ def lifecycle_model(v):
     c = F.col
     edges = v.technosphere_edges.select("dependent_index", "balancing_index", "exchange_id", F.concat(F.lit("flow-"), c("flow_id").cast("string")).alias("flow_id"), F.lit("01.00.000").alias("flow_version"), F.when(c("activity") % 2 == 0, "DE").alias("location"), "activity")
     return documents.model_documents(axes(v), edges, PAGE, SCHEMA).select("process_index", "uuid", "providers", F.sha2("document", 256).alias("document_sha256"))
+
+
+#: The k-th impact of a process is of the method of its key and k; processes of odd keys are of the layer without impacts.
+METHOD = {i: m[:2] for i, m in enumerate(METHODS)}
+
+
+@query("""
+WITH m(i, method_id, method_version) AS (VALUES {}), x AS (SELECT process_index, (flow_id % 25) AS i, sum(amount) AS amount FROM inventory WHERE process_index % 2 = 0 GROUP BY ALL)
+SELECT process_index, CAST(row_number() OVER (PARTITION BY process_index ORDER BY method_id) AS INTEGER) AS position, method_id, concat('../lciamethods/', method_id, '_', method_version, '.json') AS uri, CAST(amount AS STRING) AS mean_amount
+FROM x JOIN m USING (i)""".format(", ".join(str((i, *m)) for i, m in METHOD.items())))
+def lcia_rows(v):
+    """The impacts of result documents, by method in collated order; documents of the layer lci have none."""
+    pick = lambda part: F.element_at(F.array(*[F.lit(m[part]) for m in METHOD.values()]), (F.col("i") + 1).cast("int"))
+    rows = v.inventory.groupBy("process_index", (F.col("flow_id") % 25).alias("i")).agg(F.sum("amount").alias("amount")).select("process_index", pick(0).alias("method_id"), pick(1).alias("method_version"), "amount")
+    layers = [documents.result_documents(axes(v).where(f"process_index % 2 = {odd}"), inventory(v).limit(0), rows, CALCULATION, PAGE, layer) for odd, layer in enumerate(("lci-lcia", "lci"))]
+    results = variants.many(variants.at(variants.document(F.col("document")), "processDataSet", "LCIAResults", "LCIAResult"))
+    every = layers[0].union(layers[1]).select("process_index", F.posexplode(results).alias("position", "x"))
+    reference = lambda key: variants.text(F.col("x"), "referenceToLCIAMethodDataSet", key)
+    return every.select("process_index", (F.col("position") + 1).alias("position"), reference("@refObjectId").alias("method_id"), reference("@uri").alias("uri"), variants.text(F.col("x"), "meanAmount").alias("mean_amount"))
+
+
+@query(f"""
+WITH a AS MATERIALIZED (SELECT *, {uuid5(RESULT_NAMESPACE, """concat('{"referenceFlowUuid":"', lower(flow_id), '","rootProcessUuid":"', lower(root_id), '"}')""")} AS uuid FROM process_axis),
+l AS (SELECT i.process_index, concat('flow-', i.flow_id) AS flow, i.flow_version, CASE i.direction WHEN 'F' THEN 'Output' ELSE 'Input' END AS dir, unit, location, {NUMBER.format("i.amount / 4")} AS amount FROM inventory i),
+x AS (SELECT process_index, string_agg(concat(',{{"direction":"', dir, '","flow":{{"uuid":"', flow, '","version":"', flow_version, '"}},"location":', CASE WHEN location IS NULL THEN 'null' ELSE concat('"', location, '"') END, ',"meanAmount":"', amount, '"}}'), ''
+  ORDER BY concat_ws(chr(1), flow, flow_version, CASE dir WHEN 'Output' THEN 'output' ELSE 'input' END, unit, coalesce(location, ''))) AS text FROM l JOIN a USING (process_index) WHERE NOT (flow = lower(a.flow_id) AND dir = a.direction) GROUP BY 1)
+SELECT process_index, uuid, sha256(concat('{{"exchanges":[{{"direction":"', direction, '","flow":{{"uuid":"', flow_id, '","version":"01.00.000"}},"location":', CASE WHEN process_index % 3 = 0 THEN '"GLO"' ELSE 'null' END, ',"meanAmount":"1"}}', coalesce(x.text, ''),
+  '],"lciaResults":[],"profile":"{documents.PROFILES["lci"]}","quantitativeReference":{{"@type":"Reference flow(s)","referenceToReferenceFlow":"0"}},"referencePivot":{{"normalizedMeanAmount":1,"rawDirection":"', direction, '"}},"schema":"semantic.v1","sourceProcess":{{"id":"', root_id, '","version":"', root_version, '"}},"typeOfDataSet":"LCI result","uuid":"', uuid, '"}}')) AS semantic_hash
+FROM a LEFT JOIN x USING (process_index)""")
+def semantic_hash(v):
+    """The hash of what every result document of the layer lci means, projected from the document itself."""
+    pivot = F.to_json(F.struct(F.col("raw_direction").alias("rawDirection"), F.col("normalized_mean_amount").alias("normalizedMeanAmount")))
+    frame = axes(v)
+    rendered = documents.result_documents(frame, inventory(v), inventory(v).limit(0).select("process_index", F.col("flow_id").alias("method_id"), F.col("flow_version").alias("method_version"), "amount"), CALCULATION, PAGE, "lci")
+    rows = rendered.join(frame.select("process_index", "root_id", "root_version", pivot.alias("pivot")), "process_index")
+    return documents.with_hashes(rows, "semantic.v1", "lci").select("process_index", "uuid", "semantic_hash")

@@ -181,3 +181,12 @@ def combination_violations(v):
     weight = F.when(F.col("o_orderkey") % 37 != 0, F.col("o_totalprice"))
     terms = v.orders.select(F.col("o_custkey").alias("target"), F.col("o_orderkey").alias("process_index"), weight.alias("weight"), F.col("o_orderstatus").alias("unit"), F.year("o_orderdate").alias("reference_flow"), F.col("o_orderpriority").alias("functional_unit"))
     return constraints.combination_violations(terms)
+
+
+@query("""
+SELECT process_index, k NOT IN (0) AS has_source, CASE WHEN k = 0 THEN NULL WHEN k = 1 THEN 'other' ELSE 'unit_process' END AS role, CASE WHEN k IN (0, 14) THEN 0 WHEN k = 3 THEN 2 ELSE 1 END AS matches,
+       CASE WHEN k NOT IN (0, 14) THEN CASE WHEN k = 6 THEN 'other' ELSE flow_id END END AS source_flow FROM (SELECT *, process_index % 31 AS k FROM process_axis)""")
+def axis_source(v):
+    """Every axis beside its source document: whether there is one, its role, how many of its exchanges the reference names, and their flow."""
+    rows = constraints.with_sources(*faulty_axes(v))
+    return rows.select("process_index", F.col("role").isNotNull().alias("has_source"), "role", F.greatest("matches", F.lit(0)).alias("matches"), "source_flow")
