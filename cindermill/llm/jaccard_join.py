@@ -170,8 +170,8 @@ def ordered(a: str, b: str):
 
 
 #: A pair can be a link: the sizes, and the tokens left from the shared one on (as if it were the first).
-SIZES = "5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)"
-PLACES = "9 * least(x.n - x.pos, y.n - y.pos) >= 4 * (x.n + y.n)"
+SIZES = "5L * least(x.n, y.n) >= 4L * greatest(x.n, y.n)"
+PLACES = "9L * least(x.n - x.pos, y.n - y.pos) >= 4L * (cast(x.n as long) + y.n)"
 
 
 def blocked(held: DataFrame, hot: DataFrame, own: str, other: str) -> DataFrame:
@@ -186,12 +186,14 @@ def labelled(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     rows = staged(described(docs))
     sets = rows.where("doc_id is not null and n > 0")
-    classes = staged(sets.groupBy("cls", "grp", "n").agg(F.min("doc_id").alias("rep")).withColumn("node", F.monotonically_increasing_id()))
-    tokens = sets.select("grp", "n", F.posexplode("prefix").alias("pos", "token"))
-    # tokens of two groups or more; whether a token's groups differ, numbers tell: half the bytes of the digests to shuffle
-    number = F.xxhash64("grp")
-    shared = tokens.groupBy("token").agg(F.min(number).alias("g"), F.max(number).alias("h")).where("g < h").select("token")
-    held = staged(tokens.join(shared, "token").distinct())
+    # groups by numbers of their own: exact as the digests are, at half the bytes; one row of tokens a group, however many copies
+    groups = staged(sets.select("grp", "n", "prefix").dropDuplicates(["grp"]).withColumn("number", F.monotonically_increasing_id()))
+    of_sets = sets.groupBy("cls", "grp", "n").agg(F.min("doc_id").alias("rep")).join(groups.select("grp", "number"), "grp")
+    classes = staged(of_sets.select("cls", F.col("number").alias("grp"), "n", "rep").withColumn("node", F.monotonically_increasing_id()))
+    tokens = groups.select(F.col("number").alias("grp"), F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    shared = tokens.groupBy("token").agg(F.min("grp").alias("g"), F.max("grp").alias("h")).where("g < h").select("token")
+    held = staged(tokens.join(shared, "token"))
+    discard(groups)
     full = sets.select("doc_id", "cls", "n", "bitmap").join(classes.select(F.col("rep").alias("doc_id"), "cls", "node"), ["doc_id", "cls"])
     maps = staged(full.dropDuplicates(["node"]).select("node", F.col("doc_id").alias("rep"), "cls", "n", "bitmap"))
 
