@@ -48,14 +48,14 @@ JOB_ENDED = ("succeeded", "failed", "cancelled", "interrupted")
 def task_state(rows: DataFrame) -> DataFrame:
     """Whether a task has ended; its diagnostics are recommended if it ended badly or its result did not pass or is not valid."""
     status = F.coalesce(F.nullif(F.trim("worker_status"), F.lit("")), F.lit("unknown"))
-    passed = F.col("domain_status").eqNullSafe(F.lit("passed")) & F.col("domain_validity").eqNullSafe(F.lit("valid"))
+    passed = F.trim("domain_status").eqNullSafe(F.lit("passed")) & F.trim("domain_validity").eqNullSafe(F.lit("valid"))
     return rows.withColumn("is_terminal", status.isin(*TERMINAL)).withColumn("diagnostics", status.isin(*TROUBLED) | ((status == "completed") & ~passed))
 
 
 def closure_ready(rows: DataFrame) -> DataFrame:
     """Whether a closure can be calculated: passed, complete, valid, with a scope and a policy (blank ones count as none)."""
     given = [F.nullif(F.trim(c), F.lit("")).isNotNull() for c in ("scope_hash", "policy_fingerprint")]
-    state = [F.col(c).eqNullSafe(F.lit(x)) for c, x in (("run_status", "passed"), ("scan_completeness", "complete"), ("certificate_validity", "valid"))]
+    state = [F.trim(c).eqNullSafe(F.lit(x)) for c, x in (("run_status", "passed"), ("scan_completeness", "complete"), ("certificate_validity", "valid"))]
     return rows.withColumn("ready", state[0] & state[1] & state[2] & given[0] & given[1])
 
 
