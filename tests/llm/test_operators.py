@@ -254,12 +254,13 @@ def test_toxicity_held_out(spark):
 URLS = [
     "https://www.Cheap-Pills.example.com/a?b#c", "http://example.org/es/x", "http://a.example.org/en/12", "http://b.org/", "http://x.com/fr/1", "http://x.com/de/1", "http://casino-win.example.net", "http://m.casino-win.example.net?x=/y",
     "http://notexample.org/es/", "no scheme", "", None, "http://", "ftp://Ünï.com/de/ü", "http://a://b/c", "http://x.com/de" + "/z" * 20_000, "http://com/de/", "http://pills.example.com/#/de/",
+    "http://www.casino-win.example.com:80/x", "http://user:pw@casino-win.example.com.", "http://a@b@WWW.adult-x.example.org..:8080?q", "http://casino-win.example.com:", "http://casino-win.example.com:80x", "http://casino-win.example.com\n/",
 ]
 
 
-@pytest.mark.parametrize("max_bits", [url_filter.MAX_BITS, 1])
+@pytest.mark.parametrize("max_bits", [url_filter.MAX_BITS, 64])
 def test_url_filter(spark, max_bits):
-    """By the cascade and, with levels too large, by the semi join."""
+    """By one cascade and, with levels too large, by one a part."""
     pages = spark.createDataFrame([*enumerate(URLS), (None, URLS[0]), (0, URLS[0])] + [(1000 + i, f"http://s{i}.example.net/p") for i in range(300)], "page_id long, url string").withColumn("host", F.lit("x")).withColumn("site", F.lit("y"))
     got = url_filter.judged(pages, url_filter.block_list(spark), max_bits=max_bits).collect()
     same(got, by_sql(None, url_filter.ORACLE, pages=pages))
@@ -267,6 +268,24 @@ def test_url_filter(spark, max_bits):
     assert all(r.verdict == "allow" for r in url_filter.judged(pages, url_filter.block_list(spark).limit(0)).where("rule is null").collect())
 
 
+@pytest.mark.parametrize("max_bits", [url_filter.MAX_BITS, 1 << 14])
+def test_url_filter_at_size(spark, max_bits):
+    """6,000 of 30,000 sites listed, and as many that the table lacks: exact; generated code compiles, filtered or not."""
+    pages = spark.range(30_000).selectExpr("id AS page_id", "concat('http://s', id, '.example.net/p') AS url")
+    listed = spark.range(0, 60_000, 5).selectExpr("concat('s', id, '.example.net') AS site")
+    judged = url_filter.judged(pages, listed, max_bits=max_bits)
+    settings = {"spark.sql.codegen.factoryMode": "CODEGEN_ONLY", "spark.sql.codegen.fallback": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        assert judged.where("verdict = 'block'").count() == 6000
+        assert judged.where("(page_id % 5 = 0) <> (verdict = 'block')").count() == 0
+        assert len(judged.collect()) == 30_000
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_jaccard_join(hard, known):
     same(jaccard_join.joined(known).collect(), by_sql(known, jaccard_join.ORACLE))
     got = jaccard_join.joined(hard).collect()
