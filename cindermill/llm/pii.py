@@ -4,16 +4,18 @@ The detectors' finds (seeds) and every other identifier-like string (three digit
 mentions. Such a string is a run without white space, less the punctuation at its edges, or one to four groups of
 digits in a row, joined by the separators of cards and phones (or the whole row of groups); one may lie in the
 other, and both are added if both are accepted. Beside the four kinds of personal data there is a fifth, secret,
-whose seeds are the candidates of 16 letters and digits or more in five runs or more that change between the two;
-it has no base spans.
-
-A mention gives six lexical patterns: the word before it, its shape, the word after it (all three, without the
-right word, without the left word, without the shape), its shape with the lengths of runs of digits, and its first
-four characters with its length. In a shape a run of digits is 9, of letters a, of both in turn x. Long strings
-and words go by their hash. Spark scores the bipartite graph of patterns and instances for a few rounds: a
-pattern's confidence for a kind is the smoothed share of its distinct instances known to be of that kind; an
-instance is accepted when patterns of high confidence agree on it (noisy-or), and accepted instances support
-patterns in the next round. All occurrences of accepted instances are added as spans of that kind.
+whose labels are the candidates of 16 letters and digits or more in five runs or more that change between the two.
+These labels are for the graph alone: a secret is reported, apart from the spans of the four kinds, if patterns
+accept it.
+
+A mention gives eight lexical patterns: the word before it, its shape, the word after it (all three, without the
+right word, without the left word, without the shape), its shape alone and with the lengths of runs of digits, its
+first four characters with its length, and where only punctuation precedes it, the word before that (``token = "``)
+with its shape. In a shape a run of digits is 9, of letters a, of both in turn x. Long strings and words go by
+their hash. Spark scores the bipartite graph of patterns and instances for a few rounds: a pattern's confidence
+for a kind is the smoothed share of its distinct instances known to be of that kind, the instance in question left
+out; an instance is accepted when patterns of high confidence agree on it (noisy-or), and accepted instances
+support patterns in the next round. All occurrences of accepted instances are added as spans of that kind.
 
 Only mentions are shuffled, never texts. Null and empty texts have no spans; repeated rows give repeated rows;
 columns other than ``doc_id`` and ``text`` are not read; places are code points, ends exclusive.
@@ -29,12 +31,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cindermill.llm.common import map_batches, staged
+from cindermill.llm.common import discard, map_batches, staged
 
 #: The detectors, in the order of kinds. An email's local part, which ends at an at sign, is found
 #: backwards from there; an IP starts where a run of digits does. So both are linear on texts without spaces.
 KINDS = ("email", "ip", "card", "phone")
-#: The kinds of all spans: those, and one that the method alone gives.
+#: The kinds of the graph: those, and one that the method alone gives.
 ALL_KINDS, SECRET = (*KINDS, "secret"), 4
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -52,6 +54,9 @@ QUICK = re.compile(r"[0-9]|@")
 #: Longer strings, shapes and words are hashed.
 LONG_INSTANCE, LONG_SHAPE = 200, 40
 AROUND = 24
+#: The word that names a mention: letters, then a few signs up to the mention; looked for in so many characters.
+NAMED = re.compile(r"([^\W\d_]+)[^\w\n]{1,6}\Z")
+NAME_WINDOW = 48
 ROUNDS, CONFIDENT, ACCEPT, SUPPORT = 3, 0.8, 0.9, 5
 
 
@@ -120,7 +125,7 @@ def short(s: str, limit: int) -> str:
 
 
 def secret(s: str) -> bool:
-    """A seed of the fifth kind: letters and digits in turn, as keys and tokens have them."""
+    """A label of the fifth kind: letters and digits in turn, as keys and tokens have them."""
     return bool(TOKEN.fullmatch(s)) and len(re.findall(r"[0-9]+|[A-Za-z]+", s)) >= 5
 
 
@@ -170,11 +175,17 @@ def contexts(text: str, spans: list[tuple[int, int]]) -> tuple[dict[int, str], d
     return left, right
 
 
-#: A mention: its place, kind or None, instance, left word, right word, shape, shape with lengths.
-FIELDS = {"start": "long", "stop": "long", "kind": "int", "instance": "string", "l": "string", "r": "string", "shape": "string", "exact": "string"}
+def named(text: str, start: int) -> str | None:
+    """The word that names a mention after punctuation; None where a word or white space alone precedes it."""
+    before = text[max(0, start - NAME_WINDOW) : start]
+    return m[1].lower() if (m := NAMED.search(before)) and before[-1:].strip() else None
+
 
+#: A mention: its place, kind or None, instance, left word, right word, shape, shape with lengths, the word that names it.
+FIELDS = {"start": "long", "stop": "long", "kind": "int", "instance": "string", "l": "string", "r": "string", "shape": "string", "exact": "string", "name": "string"}
 
-def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int | None, str, str, str, str, str]]:
+
+def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int | None, str, str, str, str, str, str | None]]:
     """The mentions of a text (``FIELDS``): base spans and the candidates apart from them."""
     out, edge, held = [(a, b, k) for a, k, b in base], 0, [(a, b) for a, _, b in base]
     for a, b in candidates(text):
@@ -183,14 +194,15 @@ def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int
         if not (edge < len(held) and held[edge][0] < b):
             out.append((a, b, SECRET if secret(text[a:b]) else None))
     left, right = contexts(text, [(a, b) for a, b, _ in out])
-    return [(a, b, k, short(text[a:b].lower(), LONG_INSTANCE), left[a], right[b], shape(text[a:b]), shape(text[a:b], lengths=True)) for a, b, k in out]
+    return [(a, b, k, short(text[a:b].lower(), LONG_INSTANCE), left[a], right[b], shape(text[a:b]), shape(text[a:b], lengths=True), named(text, a)) for a, b, k in out]
 
 
 def patterns() -> list:
-    """The patterns of a mention's columns; the first letter tells the variants apart."""
-    parts = {"b": ("l", "shape", "r"), "l": ("l", "shape"), "r": ("shape", "r"), "w": ("l", "r"), "s": ("exact",)}
+    """The patterns of a mention's columns, null where it has none of a variant; the first letter tells the variants apart."""
+    parts = {"b": ("l", "shape", "r"), "l": ("l", "shape"), "r": ("shape", "r"), "w": ("l", "r"), "s": ("exact",), "g": ("shape",)}
     affix = (F.substring("instance", 1, 4), F.length("instance").cast("string"))
-    return [F.concat_ws("\t", F.lit(k), *of) for k, of in (parts | {"p": affix}).items()]
+    named = F.when(F.col("name").isNotNull(), F.concat_ws("\t", F.lit("n"), "name", "shape"))
+    return [*(F.concat_ws("\t", F.lit(k), *of) for k, of in (parts | {"p": affix}).items()), named]
 
 
 def found(docs: DataFrame) -> DataFrame:
@@ -214,36 +226,50 @@ def found(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), run, spec)
 
 
+def edges_of(m: DataFrame) -> DataFrame:
+    """pattern, instance, kind (null: unknown) of mentions, no repeats."""
+    return m.select(F.explode(F.array_compact(F.array(*patterns()))).alias("pattern"), "instance", "kind").distinct()
+
+
 def accepted(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """instance, kind of what the patterns discover. ``edges``: pattern, instance, kind (null: unknown), no repeats."""
-    seeds = edges.where("kind is not null").groupBy("instance").agg(F.min("kind").alias("known"))
+    """instance, kind of what the patterns accept, seeds of the base kinds apart. ``edges``: as ``edges_of`` gives them.
+
+    An instance of a known kind never supports itself: it is left out of the counts of its own patterns.
+    """
+    seeds = staged(edges.where("kind is not null").groupBy("instance").agg(F.min("kind").alias("known")))
     graph = staged(edges.select("pattern", "instance").distinct())
-    known = seeds
+    known, made = seeds, [seeds, graph]
     for _ in range(rounds):
         labelled = graph.join(known, "instance", "left")
         per = labelled.groupBy("pattern", "known").agg(F.count("*").alias("n"))
         total = per.groupBy("pattern").agg(F.sum("n").alias("total"))
-        score = per.where("known is not null").join(total, "pattern").withColumn("confidence", F.col("n") / (F.col("total") + 1))
-        sure = score.where((F.col("confidence") >= CONFIDENT) & (F.col("n") >= SUPPORT)).select("pattern", F.col("known").alias("kind"), "confidence")
+        share = per.where("known is not null").join(total, "pattern")
+        sure = share.where((F.col("n") / (F.col("total") + 1) >= CONFIDENT) & (F.col("n") >= SUPPORT)).select("pattern", F.col("known").alias("kind"), "n", "total")
         sure = staged(sure)  # one row a pattern and kind: apart from its aggregation, the join below can split frequent patterns
-        doubt = F.sum(F.log(1 - F.col("confidence")))
-        votes = graph.join(sure, "pattern").groupBy("instance", "kind").agg((1 - F.exp(doubt)).alias("score"))
-        best = votes.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("k"))).alias("best"))
-        fresh = best.where(F.col("best.score") >= ACCEPT).select("instance", (-F.col("best.k")).alias("known"))
-        known = staged(seeds.union(fresh.join(seeds, "instance", "left_anti")))
-    return known.join(seeds, "instance", "left_anti").withColumnRenamed("known", "kind")
+        own = F.coalesce(F.col("known") == F.col("kind"), F.lit(False)).cast("int")
+        votes = labelled.join(sure, "pattern").select("instance", "kind", (F.col("n") - own).alias("n"), ((F.col("n") - own) / (F.col("total") + 1 - own)).alias("confidence"))
+        votes = votes.where((F.col("confidence") >= CONFIDENT) & (F.col("n") >= SUPPORT))
+        score = votes.groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"))
+        best = score.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("k"))).alias("best"))
+        fresh = staged(best.where(F.col("best.score") >= ACCEPT).select("instance", (-F.col("best.k")).alias("known")))
+        known = seeds.union(fresh.join(seeds, "instance", "left_anti"))
+        made += [sure, fresh]
+    out = staged(fresh.join(seeds.where(F.col("known") != SECRET), "instance", "left_anti").withColumnRenamed("known", "kind"))
+    discard(*made)
+    return out
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """doc_id, base spans and all spans (arrays of start, kind, stop in order) of every row."""
+    """doc_id, base spans, all spans of the four kinds and the secrets (arrays of start, kind, stop in order) of every row."""
     rows = staged(found(docs))
     m = rows.select("row", F.explode("mentions").alias("m")).select("row", "m.*")
-    edges = m.select(F.explode(F.array(*patterns())).alias("pattern"), "instance", "kind").distinct()
-    fresh = accepted(edges).withColumnRenamed("kind", "fresh")
-    more = m.join(fresh, "instance", "left").select("row", "start", F.when(F.col("kind").isNull(), F.col("fresh")).when(F.col("kind") == SECRET, SECRET).cast("int").alias("kind"), "stop")
-    added = more.where("kind is not null").groupBy("row").agg(F.collect_list(F.struct("start", "kind", "stop")).alias("added"))
-    every = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast("array<struct<start:bigint,kind:int,stop:bigint>>"))))
-    return rows.select("row", "doc_id", "base").join(added, "row", "left").select("doc_id", "base", every.alias("spans"))
+    fresh = accepted(edges_of(m)).withColumnRenamed("kind", "fresh")
+    more = m.where((F.col("kind").isNull()) | (F.col("kind") == SECRET)).join(fresh, "instance").select("row", "start", F.col("fresh").alias("kind"), "stop")
+    added = more.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "stop")).alias("added"))
+    none = F.array().cast("array<struct<start:bigint,kind:int,stop:bigint>>")
+    every = F.array_sort(F.concat("base", F.coalesce(F.filter("added", lambda x: x["kind"] != SECRET), none)))
+    secrets = F.array_sort(F.coalesce(F.filter("added", lambda x: x["kind"] == SECRET), none))
+    return rows.select("row", "doc_id", "base").join(added, "row", "left").select("doc_id", "base", every.alias("spans"), secrets.alias("secrets"))
 
 
 def listed(spans: str):
@@ -252,13 +278,12 @@ def listed(spans: str):
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """The base counts and digest, all spans, how many of these the method added and how many are secrets."""
+    """The base counts and digest, all spans, the secrets' places, how many spans the method added and how many secrets."""
     kinds = F.transform("base", lambda x: x["kind"])
     count = [F.size(F.array_remove(kinds, k)) for k in range(len(KINDS))]
     count = [(F.size("base") - c).cast("long").alias(f"n_{kind}") for c, kind in zip(count, KINDS, strict=True)]
-    added, secrets = F.size("spans") - F.size("base"), F.size(F.filter("spans", lambda x: x["kind"] == SECRET))
-    more = [c.cast("long").alias(name) for c, name in ((added, "n_added"), (secrets, "n_secret"))]
-    return personal_data(docs).select("doc_id", *count, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"), *more)
+    more = [c.cast("long").alias(name) for c, name in ((F.size("spans") - F.size("base"), "n_added"), (F.size("secrets"), "n_secret"))]
+    return personal_data(docs).select("doc_id", *count, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"), listed("secrets").alias("secrets"), *more)
 
 
 def base_digest(text: str | None) -> str:
