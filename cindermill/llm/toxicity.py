@@ -5,11 +5,11 @@ one. A logistic classifier over the presence of words and of stems (beginnings o
 pi * E_pos[l(g)] + max(0, E_unl[l(-g)] - pi * E_pos[l(-g)]), with the class prior pi taken from the labelled
 rows; where the second part is negative, its gradient is reversed.
 
-Words are chosen by counts that Spark gathers over all positive rows and all rows of the corpus; only the gradient
-steps take a sample, at most MAX_POSITIVE and MAX_UNLABELLED documents, the smallest by hash of their ids. At most
-MAX_WORDS words are learnt from. The words counted in the corpus are those that a MIN_SHARE of the positive rows
-hold, so at most 1 / MIN_SHARE times the words of a mean positive text. Every whole text is scored, in one narrow
-pass. Only rows whose crc32(doc_id as text) mod 4 is not 2 are learnt from.
+Bounds: at most MAX_POSITIVE positive documents, the smallest by hash of their ids, are learnt from, and for the
+gradient steps alone at most MAX_UNLABELLED others, taken likewise. Words, at most MAX_WORDS, are chosen by their
+counts in these positive documents and in all rows of the corpus, which Spark gathers; the words counted there are
+those that a MIN_SHARE of the positive documents hold, so at most 1 / MIN_SHARE times the words of a mean one. Every
+whole text is scored, in one narrow pass. Only rows whose crc32(doc_id as text) mod 4 is not 2 are learnt from.
 
 Null texts count as empty; an empty text gets the score of the bias alone; a null id is not held out and not
 learnt from; repeated rows give repeated rows, and count as many in the counts; other columns are not read; without positives all scores are
@@ -134,18 +134,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     share = learn.agg(F.avg("toxic").alias("prior")).first().prior
     prior = min(0.5, max(0.001, share or 0.0))
     order = F.xxhash64("doc_id")
-    toxic = learn.where("toxic = 1").select("doc_id")
-    positive = toxic.select("doc_id", order.alias("o")).orderBy("o", "doc_id").limit(MAX_POSITIVE)
+    positive = learn.where("toxic = 1").select("doc_id", order.alias("o")).orderBy("o", "doc_id").limit(MAX_POSITIVE)
     corpus = docs.where(crc_mod(F.col("doc_id"), 4) != 2).select("doc_id", "text")
     others = corpus.select("doc_id").distinct().select("doc_id", order.alias("o")).orderBy("o", "doc_id").limit(MAX_UNLABELLED)
     chosen = [(r.doc_id, 1) for r in positive.collect()] + [(r.doc_id, 0) for r in others.collect()]
     kind = docs.schema["doc_id"].dataType.simpleString()
     if not any(y for _, y in chosen):
         return Model([], np.zeros(0), math.log(prior / (1 - prior)))
-    words = chosen_words(corpus.join(toxic, "doc_id", "left_semi"), corpus)
     ids = F.broadcast(spark.createDataFrame(chosen, f"doc_id {kind}, positive int"))  # at most MAX_POSITIVE + MAX_UNLABELLED rows
     # of rows with one id the least text alone, so that repeats keep the bound
     sample = corpus.join(ids, "doc_id").groupBy("doc_id", "positive").agg(F.min("text").alias("text")).select("text", "positive")
+    words = chosen_words(sample.where("positive = 1"), corpus)
     number, first = {w: i for i, w in enumerate(words)}, stems_of(words)
     rows = map_batches(sample, lambda b: {"positive": b.column(1), "row": [sorted(number[w] for w in features(t, first) & number.keys()) for t in b.column(0).to_pylist()]}, "positive int, row array<int>")
     got = sorted((r.positive, r.row) for r in rows.collect())
