@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,27 +55,47 @@ def content_collisions(rows: DataFrame, previous: DataFrame) -> DataFrame:
     return clash.select(F.lit("dataset_identity_content_conflict").alias("code"), F.concat_ws("@", "root_id", "root_version").alias("subject"))
 
 
+ALLOCATED = "process_index bigint, lineage string, version string, change string"
+
+
 def allocated(rows: DataFrame, previous: DataFrame) -> DataFrame:
     """Distinct versions inside each lineage, given in the order of the sources; a version that another source holds becomes the next free major.
 
     ``rows`` as given by ``resolved``; ``previous`` (lineage, root_id, root_version, version): every version that the lineage has
-    ever used is held, also those of sources that have left. A lineage has at most LAST_MAJOR free versions, so it fits a row.
+    ever used is held, also those of sources that have left. A lineage's drafts pass through one task in order, a batch at a time,
+    as each takes what those before have left; what is kept is who holds each version, of which two digits allow 9,900.
     """
-    held = previous.groupBy("lineage").agg(F.collect_set(F.struct("version", source_key().alias("owner"))).alias("held"))
-    draft = F.struct(F.lower("root_id").alias("root_id"), "root_version", "process_index", source_key().alias("owner"), "version", "change", F.col("previous_version").isNotNull().alias("known"))
-    lineages = rows.groupBy("lineage").agg(F.array_sort(F.collect_list(draft)).alias("drafts")).join(held, "lineage", "left")
-    taken_type, out_type = "array<struct<version:string,owner:string>>", "array<struct<process_index:bigint,version:string,change:string>>"
-    start = F.struct(F.coalesce("held", F.array().cast(taken_type)).alias("held"), F.array().cast(out_type).alias("out"))
-
-    def place(state: Column, d: Column) -> Column:
-        lost = F.exists(state["held"], lambda h: (h["version"] == d["version"]) & (h["owner"] != d["owner"]))
-        names = F.transform(F.sequence(F.substring(d["version"], 1, 2).cast("int"), F.lit(LAST_MAJOR)), lambda m: F.format_string("%02d.00.000", m))
-        free = F.get(F.array_except(names, F.transform(state["held"], lambda h: h["version"])), F.lit(0))
-        version = F.when(lost, free).otherwise(d["version"])
-        change = F.when(lost, F.when(d["known"], "major").otherwise("initial")).otherwise(d["change"])
-        mine = F.array_compact(F.array(F.when(version.isNotNull(), F.struct(version.alias("version"), d["owner"].alias("owner")))))
-        out = F.struct(d["process_index"].cast("bigint").alias("process_index"), version.alias("version"), change.alias("change"))
-        return F.struct(F.array_union(state["held"], mine).cast(taken_type).alias("held"), F.array_append(state["out"], out).cast(out_type).alias("out"))
-
-    done = lineages.select("lineage", F.explode(F.aggregate("drafts", start, place, lambda s: s["out"])).alias("d"))
-    return done.select("d.process_index", "lineage", "d.version", "d.change")
+    owner, none = source_key(), F.lit(None)
+    known = previous.where("lineage is not null and version is not null").groupBy("lineage", "version").agg(F.min(owner).alias("owner"), F.max(owner).alias("other"))
+    held = known.select("lineage", F.lit(False).alias("draft"), none.cast("string").alias("source"), none.cast("string").alias("source_version"), none.cast("bigint").alias("process_index"), "version", none.cast("string").alias("change"), F.lit(False).alias("known"), "owner", "other")
+    drafts = rows.select("lineage", F.lit(True), F.lower("root_id"), "root_version", F.col("process_index").cast("bigint"), "version", "change", F.col("previous_version").isNotNull(), owner, none.cast("string"))
+    order = ("lineage", "draft", "source", "source_version", "process_index", "version", "change")
+    every = held.union(drafts).repartition("lineage").sortWithinPartitions(*order)
+    return every.select("lineage", "draft", "process_index", "version", "change", "known", "owner", "other").mapInArrow(_allocate, ALLOCATED)
+
+
+def _allocate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names, many = [f"{m:02d}.00.000" for m in range(LAST_MAJOR + 1)], object()
+    at, holders, free = None, {}, {}  # of the lineage: the owner of each version held, and from each major the first that may be free
+    for batch in batches:
+        out = []
+        for lineage, draft, process, version, change, known, owner, other in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if lineage != at:
+                at, holders, free = lineage, {}, {}
+            if not draft:
+                holders[version] = owner if owner == other else many
+                continue
+            if version is not None:
+                holder = holders.get(version)
+                if holder is not None and holder != owner:
+                    first = int(version[:2])
+                    major = free.get(first, first)
+                    while major <= LAST_MAJOR and names[major] in holders:
+                        major += 1
+                    free[first] = major
+                    version, change = names[major] if major <= LAST_MAJOR else None, "major" if known else "initial"
+                if version is not None:
+                    holders[version] = owner
+            out.append((process, lineage, version, change))
+        columns = zip(*out, strict=True) if out else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.string()), strict=True)], ["process_index", "lineage", "version", "change"])

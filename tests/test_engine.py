@@ -75,6 +75,20 @@ def test_variants_of_a_lineage(spark):
     assert rows(versioning.overflows(out), "subject") == [("9",)]
 
 
+def test_a_lineage_of_any_size_is_allocated_in_order(spark):
+    n = 3000
+    drafts = spark.range(n).selectExpr("id AS process_index", "'r' AS lineage", "format_string('S%05d', id) AS root_id", "'01.00.000' AS root_version", "'a' AS semantic_hash", "'a' AS significant_hash", "'a' AS content_hash")
+    held = [(i, "r", f"gone{i}", "01.00.000", "a", "a", "a", v) for i, v in enumerate(("02.00.000", "04.00.000"))] + [(5, "r", "s00007", "01.00.000", "a", "a", "a", "07.00.000"), (6, "other", "x", "01.00.000", "a", "a", "a", "03.00.000")]
+    previous = spark.createDataFrame(held, PREVIOUS)
+    out = versioning.allocated(versioning.resolved(drafts, previous), previous)
+    free = [m for m in range(1, 100) if m not in (2, 4, 7)]
+    want, change = dict(zip([i for i in range(n) if i != 7], (f"{m:02d}.00.000" for m in free), strict=False)), {7: "reuse"}
+    want[7] = "07.00.000"
+    assert {r.process_index: (r.version, r.change) for r in out.collect()} == {i: (want.get(i), change.get(i, "initial")) for i in range(n)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "collect_set" not in plan  # no lineage is gathered in a row
+
+
 def test_job_and_task_states(spark):
     cases = [("running", True, 1, True, "running"), ("running", False, 0, True, "succeeded"), ("cancelling", False, None, True, "cancelled"), ("queued", False, 3, True, "failed")]
     cases += [("running", False, None, True, "interrupted"), ("queued", False, None, False, "queued"), ("interrupted", False, 0, True, "interrupted"), ("failed", False, 0, True, "failed")]
