@@ -1,8 +1,10 @@
 """Whole documents: result processes and lifecycle models, from source documents, inventories, impacts and edges.
 
-Spark joins, orders and builds every part as JSON; a small Arrow function sets the parts into the source document and
-writes the canonical text. One document holds one process's rows, as one file does. Orders that the reference sorts by
-language rules are collated (root locale), not binary.
+Spark joins, orders and builds every part as JSON. Lists (exchanges, impacts, instances) are written by Spark in canonical
+form; an Arrow function sets the small parts into the source document, and gives its canonical text in pieces between
+which the lists are put, so that no list passes through Python but the items of one that hold other than plain characters.
+One document holds one process's rows, as one file does. Orders that the reference sorts by language rules are collated
+(root locale), not binary.
 
 The frames: ``axes`` (process_index, root_id, root_version, flow_id, raw_direction, normalization_scale,
 normalized_mean_amount, document: the source's JSON text, version, result_version), ``lci`` (process_index, flow_id,
@@ -13,12 +15,14 @@ flow_version, direction, unit, location, amount), ``lcia`` (process_index, metho
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cindermill.functions import variants
-from cindermill.functions.canonical import NOT_SIGNIFICANT, canonical_json, json_hash, model_uuid, number_text, result_uuid
+from cindermill.functions.canonical import NOT_SIGNIFICANT, canonical_json, es6_number, json_hash, model_uuid, number_text, result_uuid
 
 #: The layers of a result, by what their documents are called.
 LABELS = {"lci": "aggregated LCI result", "lci-lcia": "aggregated LCI/LCIA result"}
@@ -37,47 +41,129 @@ def collated(*parts: Column | str) -> Column:
     return F.collate(F.concat_ws("|", *parts), "UNICODE")
 
 
+def reference(type_: str, category: str, uuid: Column, version: Column, description: str) -> dict:
+    """The fields of a global reference; ``uuid`` in lower case."""
+    return {"@refObjectId": uuid, "@type": type_, "@uri": [f"../{category}/", uuid, "_", version, ".json"], "@version": version, "common:shortDescription": {"#text": description, "@xml:lang": "en"}}
+
+
+def struct_of(fields: dict) -> Column:
+    """Fields as a struct: a text is fixed, a list is joined, a dict is nested, a tuple of one column is a field that may be missing."""
+    value = lambda v: F.lit(v) if isinstance(v, str) else F.concat(*map(value, v)) if isinstance(v, list) else struct_of(v) if isinstance(v, dict) else v[0] if isinstance(v, tuple) else v
+    return F.struct(*[value(v).alias(k) for k, v in fields.items()])
+
+
+def plain_json(fields: dict) -> Column:
+    """Fields as canonical text, where all columns are plain texts (see ``odd``). A field that may be missing can't be the last of its object."""
+    out: list = []
+
+    def put(x) -> None:
+        if isinstance(x, str) and out and isinstance(out[-1], str):
+            out[-1] += x
+        else:
+            out.append(x)
+
+    def write(fields: dict) -> None:
+        last = max(fields)
+        put("{")
+        for k in sorted(fields):
+            v, name = fields[k], f"{json.dumps(k)}:"
+            comma = "" if k == last else ","
+            if isinstance(v, tuple):
+                assert comma
+                put(F.when(v[0].isNotNull(), F.concat_ws("", F.lit(f'{name}"'), v[0], F.lit('",'))).otherwise(""))
+                continue
+            put(name)
+            if isinstance(v, dict):
+                write(v)
+            else:
+                put('"')
+                for x in v if isinstance(v, list) else [v]:
+                    put(json.dumps(x, ensure_ascii=False)[1:-1] if isinstance(x, str) else x)
+                put('"')
+            put(comma)
+        put("}")
+
+    write(fields)
+    return F.concat_ws("", *[F.lit(x) if isinstance(x, str) else x for x in out])  # inside lambdas concat is far slower
+
+
 def global_reference(type_: str, category: str, uuid: Column, version: Column, description: str) -> Column:
-    uuid = F.lower(uuid)
-    text = F.struct(F.lit("en").alias("@xml:lang"), F.lit(description).alias("#text"))
-    return F.struct(uuid.alias("@refObjectId"), F.lit(type_).alias("@type"), F.concat(F.lit(f"../{category}/"), uuid, F.lit("_"), version, F.lit(".json")).alias("@uri"), version.alias("@version"), text.alias("common:shortDescription"))
+    return struct_of(reference(type_, category, F.lower(uuid), version, description))
+
+
+#: Fields of items that hold numbers as texts. A number that Spark can't write as ECMAScript does is marked, for ``_settled``.
+AMOUNTS, MARK = ("meanAmount", "resultingAmount", "@multiplicationFactor"), "\x00"
+
+
+def amount_text(amount: Column) -> Column:
+    """An amount as ECMAScript prints it, or marked. Decimals of 15 digits at most that give the same double are its shortest text."""
+    amount = amount.cast("double")
+    short = amount.try_cast("decimal(15,3)")
+    text = F.rtrim(F.rtrim(short.cast("string"), F.lit("0")), F.lit("."))
+    return F.when(~F.isnan(amount), F.when(short.cast("double") == amount, text).otherwise(F.concat(F.lit(MARK), amount.cast("string"))))
+
 
+def odd(*texts: Column) -> Column:
+    """Whether any of these is missing or has other characters than those that stand for themselves in JSON text and have one Unicode form."""
+    return ~F.coalesce(F.concat(*texts).rlike(r"\A[ !#-\[\]-~]*\z"), F.lit(False))
 
-def in_order(key: Column, value: Column) -> Column:
-    """The values of a group in the order of a key; equal keys by value."""
-    return F.transform(F.array_sort(F.collect_list(F.struct(key.alias("k"), F.to_json(value).alias("v")))), lambda x: x["v"])
 
+def _settled(text: str) -> str:
+    item = json.loads(text)
+    for k in AMOUNTS:
+        if str(item.get(k, "")).startswith(MARK):
+            item[k] = es6_number(float(item[k][1:]))
+    return canonical_json(item, nfc=True)
 
-def numbered_json(items: Column) -> Column:
-    """JSON objects with their places (from 1) as ids in front."""
-    return F.transform(items, lambda x, i: F.concat(F.lit('{"@dataSetInternalID":"'), (i + 1).cast("string"), F.lit('",'), F.substring(x, 2, 1 << 30)))
+
+def settled(is_odd: Column, fields: dict) -> Column:
+    """The canonical text of the items that are odd, for ``listed``; null for all others."""
+    return F.pandas_udf(lambda s: s.map(lambda x: None if x is None else _settled(x)), "string")(F.when(is_odd, F.to_json(struct_of(fields))))
+
+
+def listed(items: Column, fields: Callable, number: bool = True) -> Column:
+    """The items of a list (``settled`` or plain ``fields``) as canonical text, with their places (from 1) as ids in front."""
+    text = lambda x: F.coalesce(x["settled"], plain_json(fields(lambda c: x[c])))
+    if not number:
+        return F.array_join(F.transform(items, text), ",")
+    return F.array_join(F.transform(items, lambda x, i: F.concat_ws("", F.lit(',{"@dataSetInternalID":"'), (i + 1).cast("string"), F.lit('",'), F.substring(text(x), 2, 1 << 30))), "")
 
 
 def proper_direction(c: str) -> Column:
     return F.initcap(F.lower(c))
 
 
+def exchange(c: Callable) -> dict:
+    flow = reference("flow data set", "flows", c("flow_id"), c("flow_version"), "Aggregated inventory flow")
+    return {"referenceToFlowDataSet": flow, "location": (c("location"),), "exchangeDirection": c("direction"), "meanAmount": c("text"), "resultingAmount": c("text"), "dataDerivationTypeStatus": "Calculated"}
+
+
 def inventories(axes: DataFrame, lci: DataFrame) -> DataFrame:
-    """process_index, exchanges (JSON objects in order, numbered), n_lci: all of a process's rows count, those of its own reference flow and direction are not exchanges."""
+    """process_index, exchanges (JSON objects in order, numbered, each after a comma), n_lci: all of a process's rows count, those of its own reference flow and direction are not exchanges."""
+    c = F.col
     own = axes.select("process_index", F.lower("flow_id").alias("own_flow"), "raw_direction")
-    rows = lci.join(own, "process_index").withColumn("text", number_text(F.col("amount").cast("double")))
-    direction = proper_direction("direction")
-    exchange = F.struct(
-        global_reference("flow data set", "flows", F.col("flow_id"), F.col("flow_version"), "Aggregated inventory flow").alias("referenceToFlowDataSet"), F.nullif("location", F.lit("")).alias("location"), direction.alias("exchangeDirection"),
-        F.col("text").alias("meanAmount"), F.col("text").alias("resultingAmount"), F.lit("Calculated").alias("dataDerivationTypeStatus"),
-    )
-    kept = ~((F.lower("flow_id") == F.col("own_flow")) & (direction == F.col("raw_direction")))
     key = collated("flow_id", "flow_version", "direction", "unit", F.coalesce("location", F.lit("")))
-    rows = rows.select("process_index", F.when(kept, F.struct(key.alias("k"), F.to_json(exchange).alias("v"))).alias("x"))
-    sorted_ = F.transform(F.array_sort(F.collect_list("x")), lambda x: x["v"])  # nulls are not collected
-    return rows.groupBy("process_index").agg(numbered_json(sorted_).alias("exchanges"), F.count("*").alias("n_lci"))
+    rows = lci.join(own, "process_index").select(
+        "process_index", "own_flow", "raw_direction", key.alias("k"), F.lower("flow_id").alias("flow_id"), "flow_version", F.nullif("location", F.lit("")).alias("location"), proper_direction("direction").alias("direction"), amount_text(c("amount")).alias("text")
+    )
+    rows = rows.withColumn("settled", settled(odd(c("flow_id"), c("flow_version"), c("direction"), F.coalesce("location", F.lit("")), c("text")), exchange(c)))
+    kept = ~((c("flow_id") == c("own_flow")) & (c("direction") == c("raw_direction")))
+    found = F.collect_list(F.when(kept, F.struct("k", "flow_id", "flow_version", "location", "direction", "text", "settled")))  # nulls are not collected
+    per = rows.groupBy("process_index").agg(F.array_sort(found).alias("found"), F.count("*").alias("n_lci"))
+    return per.select("process_index", listed(c("found"), exchange).alias("exchanges"), "n_lci")
+
+
+def impact(c: Callable) -> dict:
+    return {"referenceToLCIAMethodDataSet": reference("LCIA method data set", "lciamethods", c("method_id"), c("method_version"), "LCIA method result"), "meanAmount": c("text")}
 
 
 def impacts(lcia: DataFrame) -> DataFrame:
-    """process_index, impacts (JSON objects in order), n_lcia."""
-    rows = lcia.withColumn("text", number_text(F.col("amount").cast("double")))
-    value = F.struct(global_reference("LCIA method data set", "lciamethods", F.col("method_id"), F.col("method_version"), "LCIA method result").alias("referenceToLCIAMethodDataSet"), F.col("text").alias("meanAmount"))
-    return rows.groupBy("process_index").agg(in_order(collated("method_id", "method_version"), value).alias("impacts"), F.count("*").alias("n_lcia"))
+    """process_index, impacts (JSON objects in order, with commas between), n_lcia."""
+    c = F.col
+    rows = lcia.select("process_index", collated("method_id", "method_version").alias("k"), F.lower("method_id").alias("method_id"), "method_version", amount_text(c("amount")).alias("text"))
+    rows = rows.withColumn("settled", settled(odd(c("method_id"), c("method_version"), c("text")), impact(c)))
+    per = rows.groupBy("process_index").agg(F.array_sort(F.collect_list(F.struct("k", "method_id", "method_version", "text", "settled"))).alias("found"), F.count("*").alias("n_lcia"))
+    return per.select("process_index", listed(c("found"), impact, number=False).alias("impacts"), "n_lcia")
 
 
 def set_parts(document: dict, root: str, parts: dict, suffix: str, gone: tuple[str, ...] = ()) -> dict:
@@ -103,13 +189,42 @@ def suffix_names(name: dict, suffix: str) -> dict:
     return name
 
 
-def result_text(source: str, parts: str, suffix: str) -> str:
-    return canonical_json(set_parts(json.loads(source), "processDataSet", json.loads(parts), suffix, ("exchanges", "LCIAResults")), nfc=True) + "\n"
+def pieces(build: Callable[[str], dict], lists: int) -> list[str]:
+    """The canonical text of a document in the pieces between its lists; ``build`` sets the text it is given as their item. A text that the document has elsewhere too is no mark."""
+    for i in count():
+        found = (canonical_json(build(f"{MARK}{i}"), nfc=True) + "\n").split(json.dumps(f"{MARK}{i}"))
+        if len(found) == lists + 1:
+            return found
+
+
+def result_pieces(source: str, parts: str, suffix: str) -> list[str]:
+    """Before the impacts (if there are any), before the exchanges and after them."""
+    lists = 1 + ("LCIAResults" in json.loads(parts))
+
+    def build(mark: str) -> dict:
+        own = json.loads(parts)
+        own["exchanges"]["exchange"].append(mark)
+        if lists == 2:
+            own["LCIAResults"]["LCIAResult"].append(mark)
+        return set_parts(json.loads(source), "processDataSet", own, suffix, ("exchanges", "LCIAResults"))
+
+    *first, before, after = pieces(build, lists)
+    return [*first, before[:-1], after]  # less the comma, as every exchange has one
 
 
-def model_text(source: str, parts: str, suffix: str) -> str:
-    """A model's document: what it takes over from the source's, and its own parts."""
-    data, own = json.loads(source)["processDataSet"], json.loads(parts)
+def model_pieces(source: str, parts: str, suffix: str) -> list[str]:
+    """Before the instances of providers and after them: what a model takes over from the source's document, and its own parts."""
+
+    def build(mark: str) -> dict:
+        own = json.loads(parts)
+        own["instances"].append(mark)
+        return model_document(json.loads(source)["processDataSet"], own, suffix)
+
+    before, after = pieces(build, 1)
+    return [before[:-1], after]
+
+
+def model_document(data: dict, own: dict, suffix: str) -> dict:
     info = data["processInformation"]["dataSetInformation"]
     publication = data["administrativeInformation"]["publicationAndOwnership"]
     publication.update(own["publication"])
@@ -124,11 +239,11 @@ def model_text(source: str, parts: str, suffix: str) -> str:
         "lifeCycleModelInformation": {"dataSetInformation": information, "quantitativeReference": {"referenceToReferenceProcess": 0}, "technology": {"processes": {"processInstance": own["instances"]}}},
         "modellingAndValidation": validation, "administrativeInformation": data["administrativeInformation"],
     }
-    return canonical_json({"lifeCycleModelDataSet": body}, nfc=True) + "\n"
+    return {"lifeCycleModelDataSet": body}
 
 
 def rendered(f, source: Column, parts: Column, suffix: str) -> Column:
-    return F.pandas_udf(lambda s, p: s.combine(p, lambda a, b: f(a, b, suffix)), "string")(source, parts)
+    return F.pandas_udf(lambda s, p: s.combine(p, lambda a, b: f(a, b, suffix)), "array<string>")(source, parts)
 
 
 def publication(uuid: str, page: str) -> list[Column]:
@@ -149,7 +264,7 @@ def result_documents(axes: DataFrame, lci: DataFrame, lcia: DataFrame, calculati
     if layer == "lci-lcia":
         rows = rows.join(impacts(lcia), "process_index", "left")
     else:
-        rows = rows.withColumns({"impacts": F.lit(None).cast("array<string>"), "n_lcia": F.lit(0)})
+        rows = rows.withColumns({"impacts": F.lit(None).cast("string"), "n_lcia": F.lit(0)})
     d = variants.at(variants.document(F.col("document")), "processDataSet")
     reference = variants.text(d, "processInformation", "quantitativeReference", "referenceToReferenceFlow")
     x = F.get(F.filter(variants.many(variants.at(d, "exchanges", "exchange")), lambda e: variants.text(e, "@dataSetInternalID") == F.col("reference")), F.lit(0))
@@ -165,25 +280,33 @@ def result_documents(axes: DataFrame, lci: DataFrame, lcia: DataFrame, calculati
         F.lit("LCI result").alias("modellingAndValidation/LCIMethodAndAllocation/typeOfDataSet"), F.lit("0").alias("processInformation/quantitativeReference/referenceToReferenceFlow"),
         *[c.alias(f"{publish}/{name}") for c, name in zip(publication("uuid", page), ("common:dataSetVersion", "common:permanentDataSetURI", "common:workflowAndPublicationStatus"), strict=True)],
     ))
-    exchanges = array_json(F.concat(F.array(own), F.coalesce("exchanges", F.array().cast("array<string>"))))
-    results = F.when(F.size("impacts") > 0, F.concat(F.lit(',"LCIAResults":{"LCIAResult":'), array_json(F.col("impacts")), F.lit("}"))).otherwise("")
-    parts = F.concat(F.left(scalars, F.length(scalars) - 1), F.lit(',"exchanges":{"exchange":'), exchanges, F.lit("}"), results, F.lit("}"))
+    results = F.when(F.col("n_lcia") > 0, F.lit(',"LCIAResults":{"LCIAResult":[]}')).otherwise("")
+    parts = F.concat(F.left(scalars, F.length(scalars) - 1), F.lit(',"exchanges":{"exchange":['), own, F.lit("]}"), results, F.lit("}"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return rows.select("process_index", "uuid", "version", zero("n_lci"), zero("n_lcia"), rendered(result_text, F.col("document"), parts, label).alias("document"))
+    rows = rows.select("process_index", "uuid", "version", zero("n_lci"), zero("n_lcia"), "exchanges", "impacts", rendered(result_pieces, F.col("document"), parts, label).alias("p"))
+    p, exchanges = F.col("p"), F.coalesce("exchanges", F.lit(""))
+    document = F.when(F.col("n_lcia") > 0, F.concat(p[0], "impacts", p[1], exchanges, p[2])).otherwise(F.concat(p[0], exchanges, p[1]))
+    return rows.select("process_index", "uuid", "version", "n_lci", "n_lcia", document.alias("document"))
+
+
+def instance(c: Callable) -> dict:
+    down = {"@id": "0", "@flowUUID": c("flow_id"), "@version": c("flow_version"), "@location": (c("location"),)}
+    provider = reference("process data set", "processes", c("result_uuid"), c("result_version"), "Provider aggregated Result Process")
+    return {"@multiplicationFactor": c("factor"), "referenceToProcess": provider, "connections": {"outputExchange": {"@flowUUID": c("flow_id"), "@version": c("flow_version"), "downstreamProcess": down}}}
 
 
 def model_documents(axes: DataFrame, edges: DataFrame, page: str, schema: str) -> DataFrame:
     """process_index, uuid, version, providers, document (canonical text) of every axis's model: itself as instance 0 and one instance an edge, whose provider's result is named."""
     named = axes.withColumn("uuid", model_uuid(F.col("root_id"), F.col("flow_id"), schema)).withColumn("result_uuid", result_uuid(F.col("root_id"), F.col("flow_id")))
     results = named.select(F.col("process_index").alias("balancing_index"), "result_uuid", "result_version")
-    linked = edges.join(results, "balancing_index").withColumn("factor", number_text(F.col("activity").cast("double")))
-    down = F.struct(F.lit("0").alias("@id"), F.col("flow_id").alias("@flowUUID"), F.col("flow_version").alias("@version"), F.nullif("location", F.lit("")).alias("@location"))
-    instance = F.struct(
-        F.col("factor").alias("@multiplicationFactor"), global_reference("process data set", "processes", F.col("result_uuid"), F.col("result_version"), "Provider aggregated Result Process").alias("referenceToProcess"),
-        F.struct(F.struct(F.col("flow_id").alias("@flowUUID"), F.col("flow_version").alias("@version"), down.alias("downstreamProcess")).alias("outputExchange")).alias("connections"),
+    c = F.col
+    key = F.struct(F.collate(c("exchange_id").cast("string"), "UNICODE").alias("a"), c("balancing_index").alias("b"), F.collate(c("flow_id"), "UNICODE").alias("c"))
+    linked = edges.join(results, "balancing_index").select(
+        c("dependent_index").alias("process_index"), key.alias("k"), c("flow_id").cast("string").alias("flow_id"), "flow_version", F.nullif("location", F.lit("")).alias("location"), amount_text(c("activity")).alias("factor"), F.lower("result_uuid").alias("result_uuid"), "result_version"
     )
-    key = F.struct(F.collate(F.col("exchange_id").cast("string"), "UNICODE").alias("a"), F.col("balancing_index").alias("b"), F.collate(F.col("flow_id"), "UNICODE").alias("c"))
-    per = linked.groupBy(F.col("dependent_index").alias("process_index")).agg(numbered_json(in_order(key, instance)).alias("instances"), F.count("*").alias("providers"))
+    linked = linked.withColumn("settled", settled(odd(c("flow_id"), c("flow_version"), F.coalesce("location", F.lit("")), c("factor"), c("result_uuid"), c("result_version")), instance(c)))
+    found = F.collect_list(F.struct("k", "factor", "result_uuid", "result_version", "flow_id", "flow_version", "location", "settled"))
+    per = linked.groupBy("process_index").agg(F.array_sort(found).alias("found"), F.count("*").alias("providers")).select("process_index", listed(c("found"), instance).alias("instances"), "providers")
     rows = named.join(per, "process_index", "left").withColumn("scale_text", number_text(F.col("normalization_scale")))
     root = F.to_json(F.struct(F.lit("0").alias("@dataSetInternalID"), F.col("scale_text").alias("@multiplicationFactor"), global_reference("process data set", "processes", F.col("root_id"), F.col("root_version"), "Root Unit Process").alias("referenceToProcess")))
     information = F.struct(
@@ -191,21 +314,22 @@ def model_documents(axes: DataFrame, edges: DataFrame, page: str, schema: str) -
         F.struct(F.lit("en").alias("@xml:lang"), F.lit(MODEL_COMMENT).alias("#text")).alias("common:generalComment"),
     )
     head = F.to_json(F.struct(information.alias("information"), F.struct(*publication("uuid", page)).alias("publication")))
-    parts = F.concat(F.left(head, F.length(head) - 1), F.lit(',"instances":'), array_json(F.concat(F.array(root), F.coalesce("instances", F.array().cast("array<string>")))), F.lit("}"))
-    return rows.select("process_index", "uuid", "version", F.coalesce("providers", F.lit(0)).cast("long").alias("providers"), rendered(model_text, F.col("document"), parts, MODEL_LABEL).alias("document"))
+    parts = F.concat(F.left(head, F.length(head) - 1), F.lit(',"instances":['), root, F.lit("]}"))
+    rows = rows.select("process_index", "uuid", "version", F.coalesce("providers", F.lit(0)).cast("long").alias("providers"), "instances", rendered(model_pieces, F.col("document"), parts, MODEL_LABEL).alias("p"))
+    document = F.concat(F.col("p")[0], F.coalesce("instances", F.lit("")), F.col("p")[1])
+    return rows.select("process_index", "uuid", "version", "providers", document.alias("document"))
 
 
 #: The profile of a layer's results.
 PROFILES = {"lci": "lci-result.v2", "lci-lcia": "lci-lcia-result.v2"}
 
 
-def semantic_projection(document: Column, schema: str, profile: str) -> Column:
-    """What a result document means, as JSON: beside the columns uuid, root_id, root_version and pivot (JSON), its references, exchanges and impacts without names, numbers of places or texts. ``schema`` names the contract."""
-    d = variants.at(variants.document(document), "processDataSet")
+def semantic_projection(d: Column, schema: str, profile: str) -> Column:
+    """What a result document (``d``: its data set as a variant) means, as JSON: beside the columns uuid, root_id, root_version and pivot (JSON), its references, exchanges and impacts without names, numbers of places or texts. ``schema`` names the contract."""
     identity = lambda v: F.struct(F.lower(variants.text(v, "@refObjectId")).alias("uuid"), variants.text(v, "@version").alias("version"))
     location = lambda x: F.coalesce(F.to_json(variants.at(x, "location")), F.lit("null"))
-    exchange = lambda x: F.concat(
-        F.lit('{"location":'), location(x), F.lit(","), F.substring(F.to_json(F.struct(identity(variants.at(x, "referenceToFlowDataSet")).alias("flow"), variants.text(x, "exchangeDirection").alias("direction"), variants.text(x, "meanAmount").alias("meanAmount"))), 2, 1 << 30)
+    exchange = lambda x: F.concat_ws(
+        "", F.lit('{"location":'), location(x), F.lit(","), F.substring(F.to_json(F.struct(identity(variants.at(x, "referenceToFlowDataSet")).alias("flow"), variants.text(x, "exchangeDirection").alias("direction"), variants.text(x, "meanAmount").alias("meanAmount"))), 2, 1 << 30)
     )
     impact = lambda x: F.to_json(F.struct(identity(variants.at(x, "referenceToLCIAMethodDataSet")).alias("method"), variants.text(x, "meanAmount").alias("meanAmount")))
     head = F.to_json(F.struct(
@@ -220,6 +344,7 @@ def semantic_projection(document: Column, schema: str, profile: str) -> Column:
 
 def with_hashes(rows: DataFrame, schema: str, layer: str = "lci-lcia") -> DataFrame:
     """Result documents (uuid, root_id, root_version, pivot, document) with the hashes of what they mean, of what counts as a change, and of all of it."""
-    return rows.withColumns({
-        "semantic_hash": json_hash(semantic_projection(F.col("document"), schema, PROFILES[layer])), "significant_hash": json_hash(F.col("document"), without=NOT_SIGNIFICANT), "content_hash": json_hash(F.col("document")),
-    })
+    read = rows.withColumn("d", variants.at(variants.document(F.col("document")), "processDataSet"))
+    return read.withColumns({
+        "semantic_hash": json_hash(semantic_projection(F.col("d"), schema, PROFILES[layer])), "significant_hash": json_hash(F.col("document"), without=NOT_SIGNIFICANT), "content_hash": json_hash(F.col("document")),
+    }).drop("d")

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from cindermill.functions.canonical import canonical_json
 from cindermill.operators import constraints, documents
 
 PAGE = "https://data.example.org/p"
@@ -66,3 +67,17 @@ def test_models_name_their_providers(spark):
     information = d["lifeCycleModelInformation"]["dataSetInformation"]
     assert information["referenceToResultingProcess"]["@refObjectId"] == results[0] and "classificationInformation" not in information
     assert d["administrativeInformation"]["publicationAndOwnership"] == {"kept": 1, "common:dataSetVersion": "03.00.000", "common:permanentDataSetURI": f"{PAGE}?uuid={rows[0].uuid}&version=03.00.000", "common:workflowAndPublicationStatus": "Working draft"}
+
+
+def test_lists_stay_in_spark_and_odd_items_are_canonical(spark):
+    rows = [(0, 'q"\\', "1", "input", "kg", "é\x01", 1e-9), (0, "p", "1", "output", "kg", "\x1f", 123456789012345680.0), (0, "o", "1", "output", "kg", None, float("nan")), (0, "n", None, "output", "kg", "DE", -0.0), (0, "m", "1", "output", "kg", "DE", 0.1 + 0.2), (0, "l", "1", "output", "kg", "DE", -1234.5)]
+    source = axes(spark, 1).withColumn("document", F.replace("document", F.lit('"kept": [1'), F.lit('"kept": ["\\u00000"')))
+    frame = documents.result_documents(source, spark.createDataFrame(rows, LCI), spark.createDataFrame([(0, "ü", "1", 2.5), (0, "v", "1", 1e21)], LCIA), "c", PAGE)
+    text = frame.first().document
+    data = json.loads(text)
+    assert text == canonical_json(data, nfc=True) + "\n" and data["processDataSet"]["other"]["kept"][0] == "\x000"
+    found = data["processDataSet"]["exchanges"]["exchange"][1:]
+    assert [(x["referenceToFlowDataSet"]["@refObjectId"], x.get("location"), x.get("meanAmount")) for x in found] == [("l", "DE", "-1234.5"), ("m", "DE", "0.30000000000000004"), ("n", "DE", "0"), ("o", None, None), ("p", "\x1f", "123456789012345680"), ('q"\\', "é\x01", "1e-9")]
+    assert [x["meanAmount"] for x in data["processDataSet"]["LCIAResults"]["LCIAResult"]] == ["2.5", "1e+21"] and "@uri" not in found[2]["referenceToFlowDataSet"]
+    python = [line for line in frame._jdf.queryExecution().optimizedPlan().toString().splitlines() if "EvalPython" in line]
+    assert python and not any("exchanges#" in line or "impacts#" in line for line in python)
