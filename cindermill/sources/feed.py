@@ -19,6 +19,8 @@ from cindermill.sources.files import Rejected, exists, place, read_json
 #: Items of a page, pages of one look-up, the kind of job that a calculation is.
 PAGE, PAGES = 200, 5
 JOB_KIND = "lcia_result.package_build"
+#: A feed of more pages has several in a partition.
+PARTITIONS = 256
 FIRST = "first"
 
 
@@ -34,6 +36,11 @@ class Pages:
 
     def get(self, cursor: str) -> tuple[list[str], str | None] | None:
         """The items' texts and the next cursor of a page; None where it isn't there (yet)."""
+        page = self.read(cursor)
+        return page and ([json.dumps(i, ensure_ascii=False) for i in page[0]], page[1])
+
+    def read(self, cursor: str) -> tuple[list, str | None] | None:
+        """As ``get``, the items as they are."""
         system, inner = place(self.path)
         at = f"{inner}/{page_name(cursor)}"
         if not exists(system, at):
@@ -43,39 +50,44 @@ class Pages:
         items = page.get("items") if isinstance(page.get("items"), list) else []
         if len(items) > PAGE:
             raise Rejected("feed_page_too_large", f"{cursor}: {len(items)}")
-        return [json.dumps(i, ensure_ascii=False) for i in items], page.get("nextCursor") or None
+        return items, page.get("nextCursor") or None
+
 
+class PageRange(InputPartition):
+    """Pages in a row: the first one's number (0: the row of what is beyond) and the cursors."""
 
-class Page(InputPartition):
-    def __init__(self, number: int, cursor: str):
-        self.number, self.cursor = number, cursor
+    def __init__(self, number: int, cursors: list[str]):
+        self.number, self.cursors = number, cursors
 
 
 class PageReader(DataSourceReader):
-    """Follows the cursors when planned (at most ``maxPages``), reads a page in a task. A feed that goes on beyond has a last row without an item, of which the cursor is the next page's."""
+    """Follows the cursors when planned (at most ``maxPages``), reads a page in a task, or several in a row where there are more than ``PARTITIONS``. A feed that goes on beyond has a last row without an item, of which the cursor is the next page's."""
 
     def __init__(self, options):
         self.pages, self.most = Pages(options["path"]), int(options.get("maxPages", PAGES))
 
-    def partitions(self) -> list[Page]:
+    def partitions(self) -> list[PageRange]:
         out, cursor, seen = [], FIRST, set()
         while cursor and len(out) < self.most:
             if cursor in seen:
                 raise Rejected("feed_cursor_repeats", cursor)
             seen.add(cursor)
-            page = self.pages.get(cursor)
+            page = self.pages.read(cursor)
             if page is None:
                 raise Rejected("feed_page_missing", cursor)
-            out.append(Page(len(out) + 1, cursor))
+            out.append(cursor)
             cursor = page[1]
-        return [*out, Page(0, cursor)] if cursor else out
+        size = -(-len(out) // PARTITIONS) or 1
+        ranges = [PageRange(i + 1, out[i : i + size]) for i in range(0, len(out), size)]
+        return [*ranges, PageRange(0, [cursor])] if cursor else ranges
 
-    def read(self, partition: Page) -> Iterator[tuple]:
+    def read(self, partition: PageRange) -> Iterator[tuple]:
         if not partition.number:
-            yield None, partition.cursor, None, None
+            yield None, partition.cursors[0], None, None
             return
-        for place_in_page, item in enumerate(self.pages.get(partition.cursor)[0], 1):
-            yield partition.number, partition.cursor, place_in_page, item
+        for number, cursor in enumerate(partition.cursors, partition.number):
+            for place_in_page, item in enumerate(self.pages.get(cursor)[0], 1):
+                yield number, cursor, place_in_page, item
 
 
 class PageStream(SimpleDataSourceStreamReader):

@@ -34,6 +34,15 @@ def test_pages_are_partitions_and_the_bound_shows(spark, tmp_path):
     assert every.count() == 21 and every.where("workerStatus is null").count() == 21
 
 
+def test_a_long_feed_has_bounded_partitions(spark, tmp_path):
+    folder = f"{tmp_path}/pages"
+    chain(folder, 600, 2)
+    rows = feed.feed(spark, folder, 599)
+    assert rows.rdd.getNumPartitions() == 201
+    assert sorted((r.page, r.position, r.cursor) for r in rows.where("item is not null").collect()) == [(p, i, feed.FIRST if p == 1 else f"c/{p - 1}?") for p in range(1, 600) for i in (1, 2)]
+    assert [r.cursor for r in rows.where("item is null").collect()] == ["c/599?"]
+
+
 @pytest.mark.parametrize("job,pages,want", [("job-7", 5, (3, None)), ("job-20", 5, (None, "calculation_task_lookup_incomplete")), ("job-20", 7, (7, None)), ("job-99", 7, (None, "calculation_task_not_found"))])
 def test_lookup(spark, tmp_path, job, pages, want):
     folder = f"{tmp_path}/pages"
