@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,19 +24,36 @@ def inventory_sum(rows: DataFrame, key: tuple[str, ...] = KEY, amount: str = "am
     return rows.groupBy(*key).agg(F.sum(amount).alias(amount))
 
 
+def by_process(rows: DataFrame) -> DataFrame:
+    """Rows parted by process into as many parts as the session's shuffles have; that number holds, as packed rows are small and parts are not to be merged by their size."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "process_index")
+
+
+def contributions(biosphere: DataFrame, edges: DataFrame, lci: DataFrame) -> DataFrame:
+    """Direct inventory, and each provider's inventory times the activity required of it: several rows may have one key. They are parted by process."""
+    scaled = edges.join(lci, edges.balancing_index == lci.process_index).select(edges.dependent_index, *[lci[c] for c in KEY[1:]], edges.activity * lci.amount)
+    return normalised(by_process(biosphere.select(*KEY, "amount").union(scaled)))  # by position
+
+
 def reconstructed(biosphere: DataFrame, edges: DataFrame, lci: DataFrame) -> DataFrame:
-    """Direct inventory plus each provider's inventory times the activity required of it."""
-    scaled = edges.join(lci, edges.balancing_index == lci.process_index).select(
-        edges.dependent_index.alias("process_index"), *[lci[c] for c in KEY[1:]], (edges.activity * lci.amount).alias("amount")
-    )
-    return inventory_sum(normalised(biosphere.select(*KEY, "amount").unionByName(scaled)))
+    """The contributions summed by key."""
+    return inventory_sum(contributions(biosphere, edges, lci))
 
 
 def compared(observed: DataFrame, expected: DataFrame) -> DataFrame:
-    """Full comparison by key (missing: 0), each difference against the scale of its process, direction and unit."""
-    expected = inventory_sum(normalised(expected.select(*KEY, "amount")))
-    both = observed.withColumnRenamed("amount", "observed").join(expected.withColumnRenamed("amount", "target"), list(KEY), "full")
-    both = both.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("observed", "target")})
+    """Full comparison by key (missing: 0), each difference against the scale of its process, direction and unit.
+
+    Rows of either side, several a key as they come, are parted by process; sums, scales and what is counted by process
+    stay there. A key with a null in it equals none, so its sides stay apart.
+    """
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in KEY])
+    sides = []
+    for rows, name in ((observed, "observed"), (normalised(expected.select(*KEY, "amount")), "target")):
+        other = {c: F.lit(None) for c in ("observed", "target") if c != name}
+        rows = by_process(rows).withColumnRenamed("amount", name).withColumns(other)
+        sides.append(rows.withColumn("side", F.when(~known, F.lit(name))))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("observed", "target")]
+    both = sides[0].unionByName(sides[1]).groupBy(*KEY, "side").agg(*sums)
     group = Window.partitionBy("process_index", "direction", "unit")
     scale = F.max(F.greatest(F.abs("observed"), F.abs("target"))).over(group)
     both = both.withColumn("difference", F.abs(F.col("observed") - F.col("target"))).withColumn("scale", scale)
@@ -43,7 +62,7 @@ def compared(observed: DataFrame, expected: DataFrame) -> DataFrame:
 
 def evidence(biosphere: DataFrame, edges: DataFrame, lci: DataFrame, expected: DataFrame) -> DataFrame:
     """One row a process: compared keys, provider edges, the four maxima, failed keys, whether all are within tolerance."""
-    rows = compared(reconstructed(biosphere, edges, lci), expected)
+    rows = compared(contributions(biosphere, edges, lci), expected)
     relative = F.when(F.col("scale") > 0, F.col("difference") / F.col("scale")).otherwise(0.0)
     checks = rows.groupBy("process_index").agg(
         F.count("*").alias("flow_count"), F.max(F.col("difference").cast("double")).alias("max_absolute_difference"), F.max("allowed").alias("max_allowed_difference"),
@@ -56,7 +75,7 @@ def evidence(biosphere: DataFrame, edges: DataFrame, lci: DataFrame, expected: D
 
 def mismatches(biosphere: DataFrame, edges: DataFrame, lci: DataFrame, expected: DataFrame) -> DataFrame:
     """Violations: the keys whose difference is beyond what is allowed."""
-    rows = compared(reconstructed(biosphere, edges, lci), expected).where("difference > allowed")
+    rows = compared(contributions(biosphere, edges, lci), expected).where("difference > allowed")
     return rows.select(F.lit(MISMATCH).alias("code"), F.concat_ws("|", *[F.col(c).cast("string") for c in KEY]).alias("subject"))
 
 

@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cindermill.operators.inventory import by_process
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
 VIEWS = {
@@ -60,6 +62,9 @@ VIEWS = {
 #: Views a view reads, before it.
 ORDER = ("process_axis", "order_lines", "technosphere_edges", "inventory", "provider_lci", "biosphere", "exact_lci", "expected_lci", "published_flows", "task_feed", "closures", "tasks", "hashed_documents", "artifacts", "drafts", "previous", "weights")
 
+#: Views of grouped rows: Spark parts these rows by process before, so that what reads the view by process moves nothing again.
+PARTED = ("inventory", "exact_lci")
+
 
 class Views:
     """The domain views of one folder as DataFrames; nothing is registered in the caller's session."""
@@ -79,7 +84,12 @@ class Views:
                     return f"{m[1]} {{{m[2]}}}"
 
                 sql = re.sub(rf"\b(FROM|JOIN) ({'|'.join((*TABLES, *ORDER))})\b", frame, VIEWS[name].replace("{sha}", "sha2(text, 256)"))
-                self.held[name] = self.spark.sql(sql, **used)
+                if name in PARTED:
+                    head, rows, tail = re.fullmatch(r"(.*?) FROM \((.*)\) t (GROUP BY.*)", sql, re.S).groups()
+                    rows = by_process(self.spark.sql(rows, **used))
+                    self.held[name] = self.spark.sql(f"{head} FROM {{rows}} t {tail}", rows=rows)
+                else:
+                    self.held[name] = self.spark.sql(sql, **used)
         return self.held[name]
 
 

@@ -2,15 +2,20 @@
 
 import gzip
 import hashlib
+import io
 import json
 import os
+import re
 import uuid
+from contextlib import redirect_stdout
 
 import pytest
 from pyspark.sql import functions as F
 
 from cindermill.functions import canonical
 from cindermill.operators import control, dependencies, integrity, inventory, selection, versioning
+from cindermill.plans import queries  # noqa: F401  they register themselves
+from cindermill.plans import registry as plans
 from cindermill.sources import bundle, sink
 from cindermill.streaming import jobs
 
@@ -232,3 +237,22 @@ def test_require_empty(spark):
         integrity.require_empty(spark.range(1), "code")
     twice = spark.createDataFrame([("a", "1", "x"), ("a", "1", "y"), ("b", "1", "x"), ("b", "1", "x")], "id string, version string, sha string")
     assert rows(integrity.identity_conflicts(twice, ["id", "version"], "sha"), "subject") == [("a@1",)]
+
+
+def test_the_reconstruction_moves_its_rows_by_process_alone(spark):
+    found = plans.QUERIES["one_hop_reconstruction"](spark, "/root/testdata/sf0.001")
+    assert len(found.collect()) == 100  # the final plan is known then
+    out = io.StringIO()
+    with redirect_stdout(out):
+        found.explain()
+    final = re.sub(r"#\d+L?", "", out.getvalue().split("== Initial Plan ==")[0])
+    moved = re.findall(r"[^\n]*Exchange hashpartitioning\(process_index, ([a-z0-9_]+)[^\n]*\n([^\n]*)", final)
+    assert all(second.isdigit() for second, _ in moved)  # none by key, or by group for the scale
+    assert sum("Union" in below for _, below in moved) == 1  # expected and observed read one exchange of contributions
+
+
+def test_a_key_with_a_null_equals_none(spark):
+    direct = spark.createDataFrame([(0, "a", "1", "Input", None, "DE", 2.0), (0, "a", "1", "Input", "kg", None, 3.0)], ROW)
+    edges, lci = spark.createDataFrame([], "dependent_index long, balancing_index long, activity double"), spark.createDataFrame([], ROW)
+    found = inventory.evidence(direct, edges, lci, direct.unionByName(direct.where("unit = 'kg'"))).first()
+    assert (found.flow_count, found.failed_keys, found.max_absolute_difference) == (3, 3, 3.0)
