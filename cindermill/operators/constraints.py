@@ -71,8 +71,10 @@ PIVOT = ("raw_direction", "raw_mean_amount", "signed_raw_coefficient", "normaliz
 def with_sources(axes: DataFrame, closure: DataFrame) -> DataFrame:
     """Axes (process_index, root_id, root_version, exchange_id, flow_id, flow_version, mean_amount, pivot: struct or null) beside what their source documents say (the last of a key by path wins)."""
     last = F.max_by(F.struct("role", "document"), "path").alias("s")
-    sources = closure.where("dataset_type = 'process'").groupBy(F.lower("uuid").alias("source_id"), F.col("version").alias("source_version")).agg(last)
-    rows = axes.join(sources, (F.lower("root_id") == F.col("source_id")) & (F.col("root_version") == F.col("source_version")), "left")
+    keyed = closure.where("dataset_type = 'process'").select(F.lower("uuid").alias("source_id"), F.col("version").alias("source_version"), "role", "document", "path")
+    parts = int(closure.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # by number, as packed documents are small and parts are not to be merged by their size
+    sources = keyed.repartition(parts, "source_id", "source_version").groupBy("source_id", "source_version").agg(last)  # no task sorts the documents as it reads them, and none holds all of them
+    rows = axes.join(sources.hint("merge"), (F.lower("root_id") == F.col("source_id")) & (F.col("root_version") == F.col("source_version")), "left")
     rows = rows.withColumn("d", variants.at(variants.document(F.col("s.document")), "processDataSet"))
     internal = variants.text(F.col("d"), "processInformation", "quantitativeReference", "referenceToReferenceFlow")
     rows = rows.withColumn("internal_id", internal)

@@ -63,3 +63,13 @@ def test_empty_tables(spark):
     assert constraints.axis_violations(axes.limit(0), closure).count() == 0
     assert constraints.axis_violations(axes, closure.limit(0)).groupBy("code").count().collect()[0].code == "unit_process_missing"
     assert constraints.document_violations(spark.createDataFrame([("a", "{}"), ("b", None)], "subject string, document string")).where("detail = 'quantitative_reference'").count() == 2
+
+
+def test_documents_are_dealt_before_they_are_sorted_and_never_broadcast(spark):
+    out = io.StringIO()
+    with redirect_stdout(out):
+        constraints.with_sources(*rules.faulty_axes(Views(spark, SF))).explain()
+    plan = out.getvalue()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    below = plan[plan.rindex("REPARTITION_BY_NUM") :]  # where the documents are read
+    assert "Aggregate" not in below and "Sort" not in below
