@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import json
+import zlib
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,19 +20,51 @@ from cindermill.sources.sink import write_files
 ROWS = 10_000
 
 
-def zipped(column):
-    """Text as gzip; the same text gives the same bytes."""
-    return F.pandas_udf(lambda s: s.map(lambda x: gzip.compress(x.encode(), 6, mtime=0)), "binary")(column)
+ARTIFACT = "path string, content binary, uncompressedSha256 string, uncompressedByteSize long, recordCount long, kind string"
 
 
 def artifacts(kind: str, rows: DataFrame, size: int = ROWS) -> DataFrame:
-    """The artifacts of a kind: path, content, and what the manifest says of them. Rows are dealt by hash, about ``size`` to each."""
-    shards = F.greatest(F.lit(1), F.ceil(rows.count() / F.lit(size)))
-    line = F.to_json(F.struct("*"))
-    texts = rows.select(line.alias("line")).groupBy(F.pmod(F.xxhash64("line"), shards).alias("shard")).agg(F.array_sort(F.collect_list("line")).alias("lines"))
-    plain = F.concat(F.array_join("lines", "\n"), F.lit("\n"))
-    files = texts.select(F.format_string(f"data/{kind}-%06d.ndjson.gz", "shard").alias("path"), plain.alias("plain"), F.size("lines").cast("long").alias("recordCount"))
-    return files.select("path", zipped("plain").alias("content"), F.sha2("plain", 256).alias("uncompressedSha256"), F.octet_length("plain").cast("long").alias("uncompressedByteSize"), "recordCount", F.lit(kind).alias("kind"))
+    """The artifacts of a kind: path, content, and what the manifest says of them. Rows are dealt by hash and ordered in their task, which packs them batch by batch and begins an artifact after every ``size`` of them."""
+    lines = rows.select(F.to_json(F.struct("*")).alias("line"))
+    return lines.repartition(F.xxhash64("line")).sortWithinPartitions("line").mapInArrow(_packer(kind, size), ARTIFACT)
+
+
+def _packer(kind: str, size: int):
+    """Of a task's lines, one artifact at a time: gzip, the same lines give the same bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, at = TaskContext.get().partitionId(), 0, None
+        for batch in batches:
+            lines = batch.column(0)
+            while len(lines):
+                at = at or Packed()
+                now = lines.slice(0, size - at.records)
+                at.add(now)
+                lines = lines.slice(len(now))
+                if at.records == size:
+                    yield at.row(kind, part, number)
+                    number, at = number + 1, None
+        if at:
+            yield at.row(kind, part, number)
+
+    return run
+
+
+class Packed:
+    """Lines on their way into a gzipped artifact."""
+
+    def __init__(self):
+        self.zip, self.out, self.hash, self.byte_size, self.records = zlib.compressobj(6, zlib.DEFLATED, 31), [], hashlib.sha256(), 0, 0
+
+    def add(self, lines: pa.Array) -> None:
+        text = "\n".join([*lines.to_pylist(), ""]).encode()
+        self.hash.update(text)
+        self.out.append(self.zip.compress(text))
+        self.byte_size, self.records = self.byte_size + len(text), self.records + len(lines)
+
+    def row(self, kind: str, part: int, number: int) -> pa.RecordBatch:
+        values = f"data/{kind}-{part:05d}-{number:06d}.ndjson.gz", b"".join([*self.out, self.zip.flush()]), self.hash.hexdigest(), self.byte_size, self.records, kind
+        return pa.RecordBatch.from_pydict({f.split()[0]: [x] for f, x in zip(ARTIFACT.split(", "), values, strict=True)})
 
 
 def manifest(entries: list[dict], calculation: str, schema: str) -> str:
