@@ -30,8 +30,8 @@ from cindermill.sources.files import Rejected, place
 #: How many entries and bytes an archive may hold, the manifest's name.
 MAX_ENTRIES, MAX_BYTES = 10_000, 16 * 1024**3
 MANIFEST = "calculation-bundle.json"
-#: Bytes of members in one partition (a larger member has one of its own), of one read, lines of one batch.
-PART_BYTES, CHUNK, LINES = 64 * 1024**2, 1024**2, 2000
+#: Bytes of members in one partition (a larger member has one of its own), of one read, lines of one batch; how many bytes a gzipped byte counts for.
+PART_BYTES, CHUNK, LINES, UNPACKED = 64 * 1024**2, 1024**2, 2000, 16
 
 
 @dataclass(frozen=True)
@@ -133,14 +133,15 @@ class Bundle:
 
 
 def dealt(members: list[Member], size: int = PART_BYTES) -> list[Members]:
-    """Members in partitions of about ``size`` bytes."""
+    """Members in partitions of about ``size`` bytes to read, which of a gzipped one are more than its own."""
     out, held = [], 0
     for m in members:
-        if not out or held + m.byte_size > size:
+        bytes_read = m.byte_size * (UNPACKED if m.name.endswith(".gz") else 1)
+        if not out or held + bytes_read > size:
             out.append(Members([]))
             held = 0
         out[-1].names.append(m.name)
-        held += m.byte_size
+        held += bytes_read
     return out
 
 
