@@ -64,9 +64,9 @@ class Bundle:
         return sorted(found, key=lambda m: m.name)
 
     def _files(self) -> list[Member]:
-        files = self.system.get_file_info(arrow_fs.FileSelector(self.inner, recursive=True))
-        if isinstance(self.system, arrow_fs.LocalFileSystem):  # links are a matter of local folders
+        if isinstance(self.system, arrow_fs.LocalFileSystem):  # links are a matter of local folders; before the listing, which follows them
             self._no_links(self.inner)
+        files = self.system.get_file_info(arrow_fs.FileSelector(self.inner, recursive=True))
         return [Member(f.path[len(self.inner) :].lstrip("/"), f.size) for f in files if f.type == arrow_fs.FileType.File]
 
     def _no_links(self, folder: str) -> None:
