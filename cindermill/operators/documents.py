@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from cindermill.functions import variants
 from cindermill.functions.canonical import NOT_SIGNIFICANT, canonical_json, es6_number, json_hash, model_uuid, number_text, result_uuid
+from cindermill.operators.inventory import by_process
 
 #: The layers of a result, by what their documents are called.
 LABELS = {"lci": "aggregated LCI result", "lci-lcia": "aggregated LCI/LCIA result"}
@@ -108,17 +109,17 @@ def odd(*texts: Column) -> Column:
     return ~F.coalesce(F.concat(*texts).rlike(r"\A[ !#-\[\]-~]*\z"), F.lit(False))
 
 
-def _settled(text: str) -> str:
+def _settled(text: str, of: Callable[[dict], dict]) -> str:
     item = json.loads(text)
     for k in AMOUNTS:
         if str(item.get(k, "")).startswith(MARK):
             item[k] = es6_number(float(item[k][1:]))
-    return canonical_json(item, nfc=True)
+    return canonical_json(of(item), nfc=True)
 
 
-def settled(is_odd: Column, fields: dict) -> Column:
-    """The canonical text of the items that are odd, for ``listed``; null for all others."""
-    return F.pandas_udf(lambda s: s.map(lambda x: None if x is None else _settled(x)), "string")(F.when(is_odd, F.to_json(struct_of(fields))))
+def settled(is_odd: Column, fields: dict, of: Callable[[dict], dict] = dict) -> Column:
+    """The canonical text of the items (or of what ``of`` makes of them) that are odd, for ``listed`` and ``meant``; null for all others."""
+    return F.pandas_udf(lambda s: s.map(lambda x: None if x is None else _settled(x, of)), "string")(F.when(is_odd, F.to_json(struct_of(fields))))
 
 
 def listed(items: Column, fields: Callable, number: bool = True) -> Column:
@@ -138,17 +139,29 @@ def exchange(c: Callable) -> dict:
     return {"referenceToFlowDataSet": flow, "location": (c("location"),), "exchangeDirection": c("direction"), "meanAmount": c("text"), "resultingAmount": c("text"), "dataDerivationTypeStatus": "Calculated"}
 
 
-def inventories(axes: DataFrame, lci: DataFrame) -> DataFrame:
-    """process_index, exchanges (JSON objects in order, numbered, each after a comma), n_lci: all of a process's rows count, those of its own reference flow and direction are not exchanges."""
+#: By what exchanges and impacts are put in order; equal keys go by the fields.
+EXCHANGE_ORDER = ("k", "flow_id", "flow_version", "location", "direction", "text")
+IMPACT_ORDER = ("k", "method_id", "method_version", "text")
+
+
+def exchange_rows(axes: DataFrame, lci: DataFrame) -> DataFrame:
+    """The fields of every inventory row as exchanges have them, whether it is odd, and whether it is kept: rows of a process's own reference flow and direction are not exchanges."""
     c = F.col
     own = axes.select("process_index", F.lower("flow_id").alias("own_flow"), "raw_direction")
     key = collated("flow_id", "flow_version", "direction", "unit", F.coalesce("location", F.lit("")))
     rows = lci.join(own, "process_index").select(
         "process_index", "own_flow", "raw_direction", key.alias("k"), F.lower("flow_id").alias("flow_id"), "flow_version", F.nullif("location", F.lit("")).alias("location"), proper_direction("direction").alias("direction"), amount_text(c("amount")).alias("text")
     )
-    rows = rows.withColumn("settled", settled(odd(c("flow_id"), c("flow_version"), c("direction"), F.coalesce("location", F.lit("")), c("text")), exchange(c)))
     kept = ~((c("flow_id") == c("own_flow")) & (c("direction") == c("raw_direction")))
-    found = F.collect_list(F.when(kept, F.struct("k", "flow_id", "flow_version", "location", "direction", "text", "settled")))  # nulls are not collected
+    is_odd = odd(c("flow_id"), c("flow_version"), c("direction"), F.coalesce("location", F.lit("")), c("text"))
+    return rows.select("process_index", *EXCHANGE_ORDER, kept.alias("kept"), is_odd.alias("odd"))
+
+
+def inventories(axes: DataFrame, lci: DataFrame) -> DataFrame:
+    """process_index, exchanges (JSON objects in order, numbered, each after a comma), n_lci: all of a process's rows count."""
+    c = F.col
+    rows = exchange_rows(axes, lci).withColumn("settled", settled(c("odd"), exchange(c)))
+    found = F.collect_list(F.when(c("kept"), F.struct(*EXCHANGE_ORDER, "settled")))  # nulls are not collected
     per = rows.groupBy("process_index").agg(F.array_sort(found).alias("found"), F.count("*").alias("n_lci"))
     return per.select("process_index", listed(c("found"), exchange).alias("exchanges"), "n_lci")
 
@@ -157,12 +170,17 @@ def impact(c: Callable) -> dict:
     return {"referenceToLCIAMethodDataSet": reference("LCIA method data set", "lciamethods", c("method_id"), c("method_version"), "LCIA method result"), "meanAmount": c("text")}
 
 
+def impact_rows(lcia: DataFrame) -> DataFrame:
+    c = F.col
+    rows = lcia.select("process_index", collated("method_id", "method_version").alias("k"), F.lower("method_id").alias("method_id"), "method_version", amount_text(c("amount")).alias("text"))
+    return rows.withColumn("odd", odd(c("method_id"), c("method_version"), c("text")))
+
+
 def impacts(lcia: DataFrame) -> DataFrame:
     """process_index, impacts (JSON objects in order, with commas between), n_lcia."""
     c = F.col
-    rows = lcia.select("process_index", collated("method_id", "method_version").alias("k"), F.lower("method_id").alias("method_id"), "method_version", amount_text(c("amount")).alias("text"))
-    rows = rows.withColumn("settled", settled(odd(c("method_id"), c("method_version"), c("text")), impact(c)))
-    per = rows.groupBy("process_index").agg(F.array_sort(F.collect_list(F.struct("k", "method_id", "method_version", "text", "settled"))).alias("found"), F.count("*").alias("n_lcia"))
+    rows = impact_rows(lcia).withColumn("settled", settled(c("odd"), impact(c)))
+    per = rows.groupBy("process_index").agg(F.array_sort(F.collect_list(F.struct(*IMPACT_ORDER, "settled"))).alias("found"), F.count("*").alias("n_lcia"))
     return per.select("process_index", listed(c("found"), impact, number=False).alias("impacts"), "n_lcia")
 
 
@@ -189,10 +207,10 @@ def suffix_names(name: dict, suffix: str) -> dict:
     return name
 
 
-def pieces(build: Callable[[str], dict], lists: int) -> list[str]:
+def pieces(build: Callable[[str], dict], lists: int, end: str = "\n") -> list[str]:
     """The canonical text of a document in the pieces between its lists; ``build`` sets the text it is given as their item. A text that the document has elsewhere too is no mark."""
     for i in count():
-        found = (canonical_json(build(f"{MARK}{i}"), nfc=True) + "\n").split(json.dumps(f"{MARK}{i}"))
+        found = (canonical_json(build(f"{MARK}{i}"), nfc=True) + end).split(json.dumps(f"{MARK}{i}"))
         if len(found) == lists + 1:
             return found
 
@@ -348,3 +366,86 @@ def with_hashes(rows: DataFrame, schema: str, layer: str = "lci-lcia") -> DataFr
     return read.withColumns({
         "semantic_hash": json_hash(semantic_projection(F.col("d"), schema, PROFILES[layer])), "significant_hash": json_hash(F.col("document"), without=NOT_SIGNIFICANT), "content_hash": json_hash(F.col("document")),
     }).drop("d")
+
+
+def _scalar(value) -> str | None:
+    return None if value is None or isinstance(value, (dict, list)) else value if isinstance(value, str) else canonical_json(value)
+
+
+def _meaning(item: dict, reference: str, name: str, **fields) -> dict:
+    to = item.get(reference)
+    to = to if isinstance(to, dict) else {}
+    uuid, version = _scalar(to.get("@refObjectId")), _scalar(to.get("@version"))
+    identity = {"uuid": uuid and uuid.lower(), "version": version}
+    texts = {k: _scalar(item.get(v)) for k, v in fields.items()}
+    return {name: {k: v for k, v in identity.items() if v is not None}} | {k: v for k, v in texts.items() if v is not None}
+
+
+def exchange_meaning(item: dict) -> dict:
+    """What an exchange of a document means, as in ``semantic_projection``."""
+    return _meaning(item, "referenceToFlowDataSet", "flow", direction="exchangeDirection", meanAmount="meanAmount") | {"location": item.get("location")}
+
+
+def impact_meaning(item: dict) -> dict:
+    return _meaning(item, "referenceToLCIAMethodDataSet", "method", meanAmount="meanAmount")
+
+
+def exchanges_meant(axes: DataFrame, lci: DataFrame) -> DataFrame:
+    """process_index, exchanges: what the exchanges of ``inventories`` mean, in the same order, with commas between."""
+    c = F.col
+    rows = exchange_rows(axes, lci).where("kept").withColumn("settled", settled(c("odd"), exchange(c), exchange_meaning))
+    location = F.coalesce(F.concat(F.lit('"'), "location", F.lit('"')), F.lit("null"))
+    plain = F.concat(F.lit('{"direction":"'), "direction", F.lit('","flow":{"uuid":"'), "flow_id", F.lit('","version":"'), "flow_version", F.lit('"},"location":'), location, F.lit(',"meanAmount":"'), "text", F.lit('"}'))
+    return rows.groupBy("process_index").agg(meant(EXCHANGE_ORDER, plain).alias("exchanges"))
+
+
+def impacts_meant(lcia: DataFrame) -> DataFrame:
+    """process_index, impacts: what those of ``impacts`` mean, in the same order, with commas between."""
+    c = F.col
+    rows = impact_rows(lcia).withColumn("settled", settled(c("odd"), impact(c), impact_meaning))
+    plain = plain_json({"meanAmount": c("text"), "method": {"uuid": c("method_id"), "version": c("method_version")}})
+    return rows.groupBy("process_index").agg(meant(IMPACT_ORDER, plain).alias("impacts"))
+
+
+def meant(order: tuple[str, ...], plain: Column) -> Column:
+    """The ``settled`` or ``plain`` meanings of a group's items, written before they are gathered, so that no lambda runs over them."""
+    found = F.sort_array(F.collect_list(F.struct(*order, F.coalesce("settled", plain).alias("meaning"))))
+    return F.array_join(found["meaning"], ",")
+
+
+def meaning_pieces(source: str, head: str) -> list[str]:
+    """Before a result's further exchanges, from these to its impacts, and after them: what its document means, as in ``semantic_projection``.
+
+    ``head`` has what the source has not, and the result's own fields of the reference exchange.
+    """
+    data, means = json.loads(source)["processDataSet"], json.loads(head)
+    quantity, many = data["processInformation"]["quantitativeReference"], data["exchanges"]["exchange"]
+    flow = _scalar(quantity["referenceToReferenceFlow"])
+    found = [x for x in (many if isinstance(many, list) else [many]) if isinstance(x, dict) and _scalar(x.get("@dataSetInternalID")) == flow]
+    if flow is None or not found:
+        raise ValueError("reference exchange missing")
+    own = {"location": found[0].get("location"), "referenceToFlowDataSet": found[0]["referenceToFlowDataSet"]} | means.pop("own")
+    means["quantitativeReference"] = quantity | {"referenceToReferenceFlow": "0"}
+    first, *others = pieces(lambda mark: means | {"exchanges": [exchange_meaning(own), mark], "lciaResults": [mark]}, 2, "")
+    return [first[:-1], *others]  # less the comma, as there may be no further exchange
+
+
+def semantic_hashes(axes: DataFrame, lci: DataFrame, lcia: DataFrame, schema: str, layer: str = "lci-lcia") -> DataFrame:
+    """process_index, uuid, version, semantic_hash of every axis's result document, as ``with_hashes`` finds it in the text; ``axes`` with pivot (JSON).
+
+    The text of a document is not written and read again: what the items of its lists mean is written by Spark, and put
+    between the pieces of what the rest means.
+    """
+    c = F.col
+    rows = by_process(axes).withColumns({"uuid": result_uuid(c("root_id"), c("flow_id")), "amount_text": number_text(c("normalized_mean_amount"))})
+    head = F.to_json(F.struct(
+        F.lit(schema).alias("schema"), F.lit(PROFILES[layer]).alias("profile"), F.lit("LCI result").alias("typeOfDataSet"), c("uuid"), F.struct(c("root_id").alias("id"), c("root_version").alias("version")).alias("sourceProcess"),
+        F.struct(c("raw_direction").alias("exchangeDirection"), c("amount_text").alias("meanAmount")).alias("own"),
+    ))
+    head = F.concat(F.left(head, F.length(head) - 1), F.lit(',"referencePivot":'), "pivot", F.lit("}"))
+    cut = F.pandas_udf(lambda s, h: s.combine(h, lambda a, b: None if b is None else meaning_pieces(a, b)), "array<string>")
+    rows = rows.select("process_index", "uuid", "version", cut("document", head).alias("p")).join(exchanges_meant(axes, lci), "process_index", "left")
+    rows = rows.join(impacts_meant(lcia), "process_index", "left") if layer == "lci-lcia" else rows.withColumn("impacts", F.lit(None).cast("string"))
+    p, none = c("p"), F.lit("")
+    text = F.concat(p[0], F.coalesce(F.concat(F.lit(","), "exchanges"), none), p[1], F.coalesce("impacts", none), p[2])
+    return rows.select("process_index", "uuid", "version", F.sha2(text, 256).alias("semantic_hash"))

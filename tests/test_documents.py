@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from cindermill.functions.canonical import canonical_json
 from cindermill.operators import constraints, documents
+from cindermill.plans import rendering  # noqa: F401  it registers its queries
+from cindermill.plans.registry import QUERIES
 
 PAGE = "https://data.example.org/p"
 SOURCE = {
@@ -81,3 +83,26 @@ def test_lists_stay_in_spark_and_odd_items_are_canonical(spark):
     assert [x["meanAmount"] for x in data["processDataSet"]["LCIAResults"]["LCIAResult"]] == ["2.5", "1e+21"] and "@uri" not in found[2]["referenceToFlowDataSet"]
     python = [line for line in frame._jdf.queryExecution().optimizedPlan().toString().splitlines() if "EvalPython" in line]
     assert python and not any("exchanges#" in line or "impacts#" in line for line in python)
+
+
+def test_meanings_are_those_of_the_documents(spark):
+    names = ["a-10", "B-1", "b-1", "ä-1", 'q"\\', "K-1", "e\u0301", "a\x00b"]
+    rows = [(i, n, v, d, "kg", loc, a) for i in (0, 1) for n in names for v, d, loc, a in (("1", "input", None, 0.1), ("1", "OUTPUT", "", 1e-9), ("02.00.000", "output", "é\x01", 123456789012345680.0), (None, "Input", "DE", float("nan")))]
+    rows += [(0, "b-1", "1", "input", "kg", None, a) for a in (3.0, 20.0, -0.0)] + [(0, "F0", "1", "OUTPUT", "kg", "DE", 5.0), (2, "f0", "1", "output", "kg", None, 5.0)]
+    lci = spark.createDataFrame(rows, LCI)
+    lcia = spark.createDataFrame([(0, n, v, a) for n in ("B", "a", "é") for v, a in (("1", 2.5), (None, 1e21))] + [(2, "m", "1", 1.0)], LCIA)
+    other = F.replace(F.replace("document", F.lit('"location": "FR"'), F.lit('"location": {"b": 1.50, "a": null}')), F.lit('"@version": "01.00.000"'), F.lit('"@version": 7'))
+    pivot = F.to_json(F.struct(F.col("raw_direction").alias("rawDirection"), F.col("normalized_mean_amount").alias("normalizedMeanAmount")))
+    frame = axes(spark, 4).withColumn("document", F.when(F.col("process_index") == 1, other).when(F.col("process_index") == 2, F.replace("document", F.lit('"FR"'), F.lit("null"))).otherwise(F.col("document"))).withColumn("pivot", pivot)
+    for layer in ("lci", "lci-lcia"):
+        texts = documents.result_documents(frame, lci, lcia, "c", PAGE, layer).join(frame.select("process_index", "root_id", "root_version", "pivot"), "process_index")
+        want = {r.process_index: (r.uuid, r.semantic_hash) for r in documents.with_hashes(texts, "s", layer).collect()}
+        got = documents.semantic_hashes(frame, lci, lcia, "s", layer)
+        assert {r.process_index: (r.uuid, r.semantic_hash) for r in got.collect()} == want and len({h for _, h in want.values()}) == 4
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "parse_json" not in plan and "lambdafunction" not in plan  # no list is written and read again, or written item by item in a lambda
+
+
+def test_the_query_of_meanings_writes_no_documents(spark):
+    plan = QUERIES["semantic_hash"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "parse_json" not in plan and "lambdafunction" not in plan
